@@ -1,0 +1 @@
+"""Nothing lives here: every input is a finished table and every result is rebuilt from it."""
