@@ -64,6 +64,11 @@ def link_rows(lines: DataFrame) -> DataFrame:
     ).select("src_title", T.normalize_name(F.col("link")).alias("dst_title"))
 
 
+def repeated_titles(docs: DataFrame) -> DataFrame:
+    """(`title`, `n`) of titles with more than one line."""
+    return docs.groupBy("title").agg(F.count("*").alias("n")).where("n > 1")
+
+
 def latest_documents(docs: DataFrame, order: str = "seq") -> DataFrame:
     """Stored document per title: decoded `text` of the line that comes last by `order`."""
     from linkseek.operators.tables import last_per_key

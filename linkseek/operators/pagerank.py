@@ -30,13 +30,18 @@ def initial_state(graph: LinkGraph) -> DataFrame:
     return graph.vertices.withColumn("pr", F.lit(1.0) / F.lit(graph.n_total))
 
 
+def edge_keys(graph: LinkGraph) -> list[str]:
+    """What edges meet their source's share on: `salt` takes part only if some page needs it."""
+    return ["src"] if graph.max_salts == 1 else ["src", "salt"]
+
+
 def salted_edges(graph: LinkGraph) -> DataFrame:
-    """Edges with the `salt` that spreads a page of very many targets over several keys.
+    """Edges, with the `salt` that spreads a page of very many targets over several keys.
 
-    Only pages above the limit are looked up; without any the salt is constant.
+    Only pages above the limit are looked up, at most one per `SALT_ROWS` edges.
     """
     if graph.max_salts == 1:
-        return graph.edges.withColumn("salt", F.lit(0))
+        return graph.edges
     hot = graph.vertices.where("salts > 1").select(F.col("node").alias("src"), "salts")
     return graph.edges.join(hot, "src", "left").select(
         "src", "dst", "mult",
@@ -45,7 +50,7 @@ def salted_edges(graph: LinkGraph) -> DataFrame:
 
 
 def rank_step(
-    state: DataFrame, edges: DataFrame, base: Column, damping: float = DAMPING
+    state: DataFrame, edges: DataFrame, keys: list[str], base: Column, damping: float = DAMPING
 ) -> DataFrame:
     """One turn: state(node, outdeg, salts, pr) to the same with `prev`.
 
@@ -53,12 +58,12 @@ def rank_step(
     target travel on. `base` is what every page gets without links.
     """
     shares = state.where("outdeg > 0").select(
-        F.col("node").alias("src"),
-        (F.col("pr") / F.col("outdeg")).alias("share"),
-        F.explode(F.expr("sequence(0, salts - 1)")).alias("salt"),
+        F.col("node").alias("src"), (F.col("pr") / F.col("outdeg")).alias("share"), "salts"
     )
+    if "salt" in keys:
+        shares = shares.withColumn("salt", F.explode(F.expr("sequence(0, salts - 1)")))
     inflow = (
-        edges.join(shares, ["src", "salt"])
+        edges.join(shares, keys)
         .groupBy("dst")
         .agg(F.sum(F.col("share") * F.col("mult")).alias("inflow"))
     )
@@ -83,11 +88,15 @@ def pagerank(
     never overwritten and storage stays at two states.
     """
     spark = work.spark
+    keys = edge_keys(graph)
     edges = (
         salted_edges(graph)
-        .repartition(_edge_partitions(graph), "src", "salt")
+        .repartition(_edge_partitions(graph), *keys)
+        .sortWithinPartitions(*keys)
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    # Filled before the first turn: only then do plans see how the edges are laid out.
+    edges.count()
     state = initial_state(graph)
     dead_mass = graph.n_dead / graph.n_total if graph.n_total else 0.0
     rows: list[tuple] = []
@@ -96,7 +105,7 @@ def pagerank(
             turn = len(rows) + 1
             base = F.lit(teleport(dead_mass, graph.n_total, damping))
             sums = Observation()
-            step = rank_step(state, edges, base, damping).observe(
+            step = rank_step(state, edges, keys, base, damping).observe(
                 sums,
                 F.sum("pr").alias("total_rank"),
                 F.sum(F.abs(F.col("prev") - F.col("pr"))).alias("error"),
@@ -118,7 +127,7 @@ def pagerank(
 def _edge_partitions(graph: LinkGraph) -> int:
     """Session shuffle partitions, fewer for a small graph, more above 20M edges in each."""
     session = int(graph.edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(session, graph.n_edges // 200_000 + 1), graph.n_edges // 20_000_000)
+    return max(2, min(session, graph.n_edges // 200_000 + 1), graph.n_edges // 20_000_000)
 
 
 def rank_order(n_docs) -> list[Column]:

@@ -40,14 +40,15 @@ def missing_words(queries: DataFrame, tf: DataFrame) -> DataFrame:
     )
 
 
-def intersect_postings(queries: DataFrame, tf: DataFrame) -> DataFrame:
+def intersect_postings(queries: DataFrame, tf: DataFrame, work: Workspace) -> DataFrame:
     """(`query_id`, `doc_id`, `tf`): documents with all words; `tf` is the least of them.
 
     Each query starts from its rarest word, and every candidate is checked against the
     others by (word, document). Rows moved follow the rarest words, and a frequent word
-    spreads by document.
+    spreads by document. The query words are saved so that Spark knows their size and
+    broadcasts them only if they are small.
     """
-    wanted = wanted_words(queries)
+    wanted = work.save(wanted_words(queries), "wanted")
     lists = word_lists(tf, wanted)
     found = wanted.join(lists.groupBy("word").agg(F.count("*").alias("df")), "word")
     sizes = wanted.groupBy("query_id").agg(F.count("*").alias("n_words"))
@@ -122,7 +123,7 @@ def search(
         absent = missing_words(queries, tf).first()
         if absent is not None:
             raise MissingKeys(absent["word"])
-    matches = work.save(intersect_postings(queries, tf), "matches")
+    matches = work.save(intersect_postings(queries, tf, work), "matches")
     return top_results(score(matches, ranks, n_docs), n_docs, k)
 
 
