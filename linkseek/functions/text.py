@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,19 +35,24 @@ def encode_entities(text: Column) -> Column:
 
 def capitalize_ascii(text: Column) -> Column:
     """Upper-case the first character if it is an ASCII letter; leave the rest alone."""
-    first = F.substring(text, 1, 1)
-    return F.when(
-        first.between("a", "z"), F.concat(F.upper(first), F.substr(text, F.lit(2)))
-    ).otherwise(text)
+    first = F.translate(F.substring(text, 1, 1), string.ascii_lowercase, string.ascii_uppercase)
+    return F.concat(first, F.substr(text, F.lit(2)))
 
 
 def normalize_name(text: Column) -> Column:
     return capitalize_ascii(decode_entities(text))
 
 
+def required(text: Column, message: str) -> Column:
+    """`text`, or an error if it is empty. Never null, so joins add no null filter that would
+    be evaluated below the extraction and repeat it."""
+    missing = F.raise_error(F.lit(message)).cast("string")
+    return F.coalesce(F.when(text != "", text), missing, F.lit(""))
+
+
 def raw_title(line: Column) -> Column:
     """Title as written; empty when the line has none (a match is never empty)."""
-    return F.regexp_extract(line, TITLE, 1)
+    return F.coalesce(F.regexp_extract(line, TITLE, 1), F.lit(""))
 
 
 def raw_links(line: Column) -> Column:
@@ -55,11 +62,12 @@ def raw_links(line: Column) -> Column:
 
 def raw_body(line: Column) -> Column:
     """Body as written; empty when the line has none (a match is never empty)."""
-    return F.regexp_extract(line, BODY, 1)
+    return F.coalesce(F.regexp_extract(line, BODY, 1), F.lit(""))
 
 
 def has_empty_body(line: Column) -> Column:
-    return F.rlike(line, F.lit(EMPTY_BODY))
+    """Whether the line has the tag of an empty text; looked at only without a body."""
+    return F.coalesce(F.rlike(line, F.lit(EMPTY_BODY)), F.lit(False))
 
 
 def words(text: Column) -> Column:

@@ -13,26 +13,32 @@ NO_BODY = "line has no text"
 
 def titles(lines: DataFrame) -> DataFrame:
     """`title` of every line, other columns but `value` kept; a line without one raises."""
-    raw = F.nullif(T.raw_title(F.col("value")), F.lit(""))
-    checked = F.coalesce(raw, F.raise_error(F.lit(NO_TITLE)).cast("string"))
-    return lines.select("*", T.normalize_name(checked).alias("title")).drop("value")
+    kept = [c for c in lines.columns if c != "value"]
+    found = lines.select(*kept, T.raw_title(F.col("value")).alias("title"))
+    return found.select(*kept, _name().alias("title"))
 
 
 def documents(lines: DataFrame) -> DataFrame:
     """`title` and undecoded `raw_text` of every line; a malformed line raises when read."""
-    value = F.col("value")
-    title = F.coalesce(
-        F.nullif(T.raw_title(value), F.lit("")), F.raise_error(F.lit(NO_TITLE)).cast("string")
-    )
+    kept = [c for c in lines.columns if c != "value"]
     body = F.coalesce(
-        F.nullif(T.raw_body(value), F.lit("")),
-        F.when(T.has_empty_body(value), F.lit("")).otherwise(
-            F.raise_error(F.lit(NO_BODY)).cast("string")
-        ),
+        F.when(F.col("raw_text") != "", F.col("raw_text")),
+        F.when(T.has_empty_body(F.col("value")), F.lit("")),
+        F.raise_error(F.lit(NO_BODY)).cast("string"),
+        F.lit(""),
     )
+    return _extracted(lines).select(*kept, _name().alias("title"), body.alias("raw_text"))
+
+
+def _extracted(lines: DataFrame) -> DataFrame:
+    value = F.col("value")
     return lines.select(
-        "*", T.normalize_name(title).alias("title"), body.alias("raw_text")
-    ).drop("value")
+        "*", T.raw_title(value).alias("title"), T.raw_body(value).alias("raw_text")
+    )
+
+
+def _name():
+    return T.normalize_name(T.required(F.col("title"), NO_TITLE))
 
 
 def bad_lines(lines: DataFrame) -> DataFrame:
@@ -45,23 +51,22 @@ def good_lines(lines: DataFrame) -> DataFrame:
 
 
 def _with_reason(lines: DataFrame) -> DataFrame:
-    value = F.col("value")
-    reason = F.when(T.raw_title(value) == "", F.lit(NO_TITLE)).when(
-        (T.raw_body(value) == "") & ~T.has_empty_body(value), F.lit(NO_BODY)
+    reason = F.when(F.col("title") == "", F.lit(NO_TITLE)).when(
+        (F.col("raw_text") == "") & ~T.has_empty_body(F.col("value")), F.lit(NO_BODY)
     )
-    return lines.select("*", reason.alias("reason"))
+    return _extracted(lines).select(*lines.columns, reason.alias("reason"))
 
 
 def link_rows(lines: DataFrame) -> DataFrame:
     """One row (`src_title`, `dst_title`) per link of a line, repeats and self links kept.
 
-    Links come from the whole line. They are exploded as written and decoded as plain rows,
-    which keeps the work in generated code.
+    Links come from the whole line. They are cut out where they are exploded, so each line
+    is searched once, and decoded as plain rows, which keeps the work in generated code.
     """
-    named = titles(lines.select("value", T.raw_links(F.col("value")).alias("links")))
+    named = titles(lines.select("value", F.col("value").alias("line")))
     return named.select(
-        F.col("title").alias("src_title"), F.explode("links").alias("link")
-    ).select("src_title", T.normalize_name(F.col("link")).alias("dst_title"))
+        F.col("title").alias("src_title"), F.explode(T.raw_links(F.col("line"))).alias("link")
+    ).select("src_title", T.normalize_name(F.coalesce("link", F.lit(""))).alias("dst_title"))
 
 
 def repeated_titles(docs: DataFrame) -> DataFrame:

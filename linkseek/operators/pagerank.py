@@ -99,6 +99,7 @@ def pagerank(
     edges.count()
     state = initial_state(graph)
     dead_mass = graph.n_dead / graph.n_total if graph.n_total else 0.0
+    paths = [work.fresh("state"), work.fresh("state")]
     rows: list[tuple] = []
     try:
         while graph.n_nodes:
@@ -112,7 +113,7 @@ def pagerank(
                 F.coalesce(F.sum(F.when(F.col("outdeg") == 0, F.col("pr"))), F.lit(0.0))
                 .alias("dead_mass"),
             )
-            state = work.save(step.drop("prev"), f"state-{turn % 2}")
+            state = work.write(step.drop("prev"), paths[turn % 2])
             seen = sums.get
             rows.append((turn, dead_mass, graph.n_dead, seen["total_rank"], seen["error"]))
             dead_mass = seen["dead_mass"]

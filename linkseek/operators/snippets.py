@@ -12,58 +12,64 @@ TAIL = 50
 MAX_PARTS = 3
 
 
-def snippet_list(text: Column, words: Column) -> Column:
-    """At most three snippets of `text` for the query's `words`, in reading order of the rule.
+def snippets(results: DataFrame, queries: DataFrame) -> DataFrame:
+    """`results` that carry a `text`, with at most three `snippets` in its place.
 
-    Words are looked up as ` word ` in the masked, padded text. Up to three words that occur
-    count; of a third only its first match does. First matches come first, the last such word
-    leading; further matches follow by word. A snippet runs from its match to `TAIL`
-    characters past it, but never beyond the length of the unpadded text.
+    Words are looked up as ` word ` in the masked, padded text; a match uses up its spaces.
+    Up to three words that occur count, of a third only its first match does. First matches
+    come first, the last such word leading; further matches follow by word. A snippet runs
+    from its match to `TAIL` characters past it, but never beyond the length of the unpadded
+    text. All of it is one row's work, so nothing is exchanged.
     """
-    masked = T.mask_non_letters(T.pad(text))
-    spans = F.filter(
-        F.transform(words, lambda w: _match_spans(masked, T.pad(w))), lambda m: F.size(m) > 0
-    )
-    spans = F.slice(spans, 1, MAX_PARTS)
-    firsts = F.reverse(F.transform(spans, lambda m: m[0]))
-    others = F.flatten(
-        F.transform(
-            spans, lambda m, i: F.when(i < MAX_PARTS - 1, F.slice(m, 2, MAX_PARTS - 1))
-            .otherwise(F.slice(m, 1, 0))
-        )
-    )
-    chosen = F.slice(F.concat(firsts, others), 1, MAX_PARTS)
-    padded, limit = T.pad(text), F.length(text)
-    return F.transform(
-        chosen,
-        lambda s: F.substr(
-            padded, s["start"], F.least(limit, s["end"] + TAIL) - s["start"] + 1
-        ),
+    kept = [c for c in results.columns if c != "text"]
+    return (
+        results.join(queries.select("query_id", "words"), "query_id")
+        .withColumn("padded", T.pad(F.col("text")))
+        .withColumn("masked", T.mask_non_letters(F.col("padded")))
+        .withColumn("found", F.transform("words", _pieces))
+        .withColumn("found", F.filter("found", lambda w: F.size(w["gaps"]) > 1))
+        .withColumn("found", F.transform(F.slice("found", 1, MAX_PARTS), _matches))
+        .withColumn("firsts", F.reverse(F.transform("found", lambda w: _span(w["starts"][0], w))))
+        .withColumn("others", F.flatten(F.transform("found", _further_spans)))
+        .withColumn("chosen", F.slice(F.concat("firsts", "others"), 1, MAX_PARTS))
+        .select(*kept, F.transform("chosen", _cut).alias("snippets"))
     )
 
 
-def _match_spans(masked: Column, needle: Column) -> Column:
-    """Up to three matches as (`start` 1-based, `end` exclusive 0-based); a match uses up
-    its spaces, so the next one is looked for after them."""
-    starts = [F.position(needle, masked)]
-    for _ in range(MAX_PARTS - 1):
-        last = starts[-1]
-        starts.append(
-            F.when(last > 0, F.position(needle, masked, last + F.length(needle))).otherwise(0)
-        )
-    spans = F.array(
-        *[F.struct(s.alias("start"), (s + F.length(needle) - 1).alias("end")) for s in starts]
-    )
-    return F.filter(spans, lambda s: s["start"] > 0)
+def _pieces(word: Column) -> Column:
+    """Lengths of the pieces when the masked text is split at the word's first matches.
 
+    Only a word of letters can match masked text.
+    """
+    needle = F.when(F.rlike(word, F.lit("^[A-Za-z]+$")), T.pad(word)).otherwise(F.lit("(?!)"))
+    lengths = F.transform(F.split(F.col("masked"), needle, MAX_PARTS + 1), F.length)
+    return F.struct((F.length(word) + 2).alias("width"), lengths.alias("gaps"))
 
-def snippets(results: DataFrame, queries: DataFrame) -> DataFrame:
-    """`results` that carry a `text`, with `snippets` in its place."""
-    return (
-        results.join(queries.select("query_id", "words"), "query_id")
-        .withColumn("snippets", snippet_list(F.col("text"), F.col("words")))
-        .drop("text", "words")
+
+def _matches(word: Column) -> Column:
+    """Offsets of the matches: one starts after the pieces and matches before it."""
+    width, gaps = word["width"], word["gaps"]
+    starts = F.transform(
+        F.slice(gaps, F.lit(1), F.size(gaps) - 1),
+        lambda _, i: F.aggregate(
+            F.slice(gaps, F.lit(1), i + 1), F.lit(0), lambda n, gap: n + gap
+        ) + i * width,
     )
+    return F.struct(width.alias("width"), starts.alias("starts"))
+
+
+def _span(start: Column, word: Column) -> Column:
+    return F.struct(start.alias("start"), word["width"].alias("width"))
+
+
+def _further_spans(word: Column, i: Column) -> Column:
+    more = F.when(i < MAX_PARTS - 1, MAX_PARTS - 1).otherwise(0)
+    return F.transform(F.slice(word["starts"], F.lit(2), more), lambda s: _span(s, word))
+
+
+def _cut(span: Column) -> Column:
+    end = F.least(F.length("padded") - 2, span["start"] + span["width"] + TAIL)
+    return F.substr(F.col("padded"), span["start"] + 1, end - span["start"])
 
 
 def _number(value: Column, places: int | None) -> Column:

@@ -45,7 +45,11 @@ def registered(query: Query) -> Query:
 
 
 def _pages(spark: SparkSession, folder: str) -> DataFrame:
-    return A.page_lines(A.table(spark, folder, "pages"))
+    return A.page_lines(A.spread(A.table(spark, folder, "pages")))
+
+
+def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    return A.document_corpus(A.spread(A.table(spark, folder, "documents")))
 
 
 def _page_graph(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -77,7 +81,7 @@ def _document_ranks(spark: SparkSession, folder: str, work: Workspace) -> DataFr
 
 
 def _document_tf(spark: SparkSession, folder: str) -> DataFrame:
-    docs = A.document_corpus(A.table(spark, folder, "documents"))
+    docs = _documents(spark, folder)
     return I.term_frequencies(docs, _document_ranks(spark, folder, Workspace(spark)))
 
 
@@ -108,7 +112,7 @@ def corpus_titles(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def corpus_text(spark: SparkSession, folder: str) -> DataFrame:
-    docs = D.documents(A.document_lines(A.table(spark, folder, "documents")))
+    docs = D.documents(A.document_lines(A.spread(A.table(spark, folder, "documents"))))
     return docs.select("seq", "title", T.decode_entities(F.col("raw_text")).alias("text"))
 
 
@@ -120,7 +124,7 @@ def page_text(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def corpus_stats(spark: SparkSession, folder: str) -> DataFrame:
     pages = D.documents(_pages(spark, folder)).withColumn("corpus", F.lit("pages"))
-    docs = D.documents(A.document_lines(A.table(spark, folder, "documents")))
+    docs = D.documents(A.document_lines(A.spread(A.table(spark, folder, "documents"))))
     return (
         pages.unionByName(docs.withColumn("corpus", F.lit("documents")))
         .groupBy("corpus")
@@ -248,7 +252,7 @@ def rank_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Ranks written as sorted text and read back."""
     work = Workspace(spark)
     ranked = _ranked_pages(spark, folder, work)
-    path = f"{work.path}/rank-lines"
+    path = work.fresh("rank-lines")
     L.write_lines(L.rank_lines(ranked.ranks.orderBy("doc_id")), path)
     read = L.parse_rank_lines(spark.read.text(path))
     return read.select("title", F.round("pr", 12).alias("pr"))
@@ -291,14 +295,14 @@ def postings_decode(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def tf_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Term frequencies written as text and read back."""
-    path = f"{Workspace(spark).path}/tf-lines"
+    path = Workspace(spark).fresh("tf-lines")
     L.write_lines(L.tf_lines(_document_tf(spark, folder)), path)
     return L.parse_tf_lines(spark.read.text(path))
 
 
 @registered
 def word_positions(spark: SparkSession, folder: str) -> DataFrame:
-    docs = A.document_corpus(A.table(spark, folder, "documents"))
+    docs = _documents(spark, folder)
     lists = I.positional_postings(docs, _document_ranks(spark, folder, Workspace(spark)))
     return lists.select(
         "word", "doc_id", "seq", "tf", F.array_join(F.col("positions").cast("array<string>"), " ")

@@ -14,13 +14,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _line(title: Column, body: Column) -> Column:
+def spread(df: DataFrame) -> DataFrame:
+    """A table scanned by fewer tasks than there are cores, dealt out to all of them.
+
+    For one small file of texts that take long to cut up. Large tables stay where they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def _lines(parts: DataFrame) -> DataFrame:
     """One document per line, as corpus files hold them."""
-    text = F.when(body == "", F.lit('<text xml:space="preserve" />')).otherwise(
-        F.concat(F.lit('<text xml:space="preserve">'), body, F.lit("</text>"))
+    text = F.when(F.col("text") == "", F.lit('<text xml:space="preserve" />')).otherwise(
+        F.concat(F.lit('<text xml:space="preserve">'), "text", F.lit("</text>"))
     )
-    return F.concat(
-        F.lit("<page><title>"), title, F.lit("</title>"), text, F.lit("</page>")
+    return parts.select(
+        "seq",
+        F.concat(F.lit("<page><title>"), "title", F.lit("</title>"), text, F.lit("</page>"))
+        .alias("value"),
     )
 
 
@@ -34,22 +45,27 @@ def page_lines(pages: DataFrame) -> DataFrame:
     Title is the first token of the page title; the text is the article without tags,
     followed by the page's own-site links as `[[target]]`.
     """
-    flat = pages.select(F.col("page_id").alias("seq"), _one_line(F.col("html")).alias("html"))
     article = F.regexp_extract("html", "<article>(.*)</article>", 1)
-    hrefs = F.regexp_extract_all("html", F.lit('href="/([^"]+)"'), F.lit(1))
-    links = F.when(
-        F.size(hrefs) > 0, F.concat(F.lit(" [["), F.array_join(hrefs, "]] [["), F.lit("]]"))
-    ).otherwise("")
-    title = F.split_part(F.trim(T.raw_title(F.col("html"))), F.lit(" "), F.lit(1))
-    body = F.concat(F.regexp_replace(article, "<[^>]*>", " "), links)
-    return flat.select("seq", _line(title, body).alias("value"))
+    parts = pages.select(
+        F.col("page_id").alias("seq"), _one_line(F.col("html")).alias("html")
+    ).select(
+        "seq",
+        F.split_part(F.trim(T.raw_title(F.col("html"))), F.lit(" "), F.lit(1)).alias("title"),
+        F.regexp_replace(article, "<[^>]*>", " ").alias("text"),
+        F.regexp_extract_all("html", F.lit('href="/([^"]+)"'), F.lit(1)).alias("hrefs"),
+    )
+    marked = F.concat(F.lit(" [["), F.array_join("hrefs", "]] [["), F.lit("]]"))
+    links = F.when(F.size("hrefs") > 0, marked).otherwise("")
+    return _lines(parts.select("seq", "title", F.concat("text", links).alias("text")))
 
 
 def document_lines(documents: DataFrame) -> DataFrame:
     """A document table as corpus lines (`seq`, `value`), markup characters encoded."""
-    return documents.select(
-        F.col("doc_id").alias("seq"),
-        _line(_document_title(), T.encode_entities(_one_line(F.col("text")))).alias("value"),
+    text = T.encode_entities(_one_line(F.col("text")))
+    return _lines(
+        documents.select(
+            F.col("doc_id").alias("seq"), _document_title().alias("title"), text.alias("text")
+        )
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import uuid
 
@@ -34,8 +35,15 @@ class Workspace:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.path = f"{shared_folder(spark)}/linkseek-{uuid.uuid4().hex}"
+        self._numbers = itertools.count()
+
+    def fresh(self, name: str) -> str:
+        """A path not used before, so no earlier result loses the files it reads."""
+        return f"{self.path}/{next(self._numbers)}-{name}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.path}/{name}"
+        return self.write(df, self.fresh(name))
+
+    def write(self, df: DataFrame, path: str) -> DataFrame:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
