@@ -57,16 +57,21 @@ def _with_reason(lines: DataFrame) -> DataFrame:
     return _extracted(lines).select(*lines.columns, reason.alias("reason"))
 
 
-def link_rows(lines: DataFrame) -> DataFrame:
-    """One row (`src_title`, `dst_title`) per link of a line, repeats and self links kept.
+def linked_titles(lines: DataFrame) -> DataFrame:
+    """`title` of every line with its `links` as written: the small part of a corpus, which
+    the graph reads several times and is worth saving."""
+    return titles(lines.withColumn("links", T.raw_links(F.col("value"))))
 
-    Links come from the whole line. They are cut out where they are exploded, so each line
-    is searched once, and decoded as plain rows, which keeps the work in generated code.
+
+def link_rows(linked: DataFrame) -> DataFrame:
+    """One row (`src_title`, `dst_title`) per link, repeats and self links kept.
+
+    Links come from the whole line. They are decoded as plain rows, not inside arrays, which
+    keeps the work in generated code.
     """
-    named = titles(lines.select("value", F.col("value").alias("line")))
-    return named.select(
-        F.col("title").alias("src_title"), F.explode(T.raw_links(F.col("line"))).alias("link")
-    ).select("src_title", T.normalize_name(F.coalesce("link", F.lit(""))).alias("dst_title"))
+    rows = linked.select(F.col("title").alias("src_title"), F.explode("links").alias("link"))
+    name = T.normalize_name(F.coalesce("link", F.lit("")))
+    return rows.select("src_title", name.alias("dst_title"))
 
 
 def repeated_titles(docs: DataFrame) -> DataFrame:

@@ -50,27 +50,22 @@ def salted_edges(graph: LinkGraph) -> DataFrame:
 
 
 def rank_step(
-    state: DataFrame, edges: DataFrame, keys: list[str], base: Column, damping: float = DAMPING
+    state: DataFrame, edges: DataFrame, keys: list[str], base: float, damping: float = DAMPING
 ) -> DataFrame:
     """One turn: state(node, outdeg, salts, pr) to the same with `prev`.
 
     Edges stay where they are; the per-page share travels to them, and partial sums per
     target travel on. `base` is what every page gets without links.
     """
-    shares = state.where("outdeg > 0").select(
-        F.col("node").alias("src"), (F.col("pr") / F.col("outdeg")).alias("share"), "salts"
-    )
+    shares = state.where("outdeg > 0").selectExpr("node AS src", "pr / outdeg AS share", "salts")
     if "salt" in keys:
-        shares = shares.withColumn("salt", F.explode(F.expr("sequence(0, salts - 1)")))
+        shares = shares.withColumn("salt", F.expr("explode(sequence(0, salts - 1))"))
     inflow = (
-        edges.join(shares, keys)
-        .groupBy("dst")
-        .agg(F.sum(F.col("share") * F.col("mult")).alias("inflow"))
+        edges.join(shares, keys).groupBy("dst").agg(F.expr("sum(share * mult) AS inflow"))
     )
-    return state.join(inflow, F.col("node") == F.col("dst"), "left").select(
-        "node", "outdeg", "salts",
-        F.col("pr").alias("prev"),
-        (damping * F.coalesce("inflow", F.lit(0.0)) + base).alias("pr"),
+    return state.join(inflow, F.expr("node = dst"), "left").selectExpr(
+        "node", "outdeg", "salts", "pr AS prev",
+        f"{damping!r}D * coalesce(inflow, 0D) + {base!r}D AS pr",
     )
 
 
@@ -104,14 +99,13 @@ def pagerank(
     try:
         while graph.n_nodes:
             turn = len(rows) + 1
-            base = F.lit(teleport(dead_mass, graph.n_total, damping))
+            base = teleport(dead_mass, graph.n_total, damping)
             sums = Observation()
             step = rank_step(state, edges, keys, base, damping).observe(
                 sums,
-                F.sum("pr").alias("total_rank"),
-                F.sum(F.abs(F.col("prev") - F.col("pr"))).alias("error"),
-                F.coalesce(F.sum(F.when(F.col("outdeg") == 0, F.col("pr"))), F.lit(0.0))
-                .alias("dead_mass"),
+                F.expr("sum(pr) AS total_rank"),
+                F.expr("sum(abs(prev - pr)) AS error"),
+                F.expr("coalesce(sum(CASE WHEN outdeg = 0 THEN pr END), 0D) AS dead_mass"),
             )
             state = work.write(step.drop("prev"), paths[turn % 2])
             seen = sums.get

@@ -68,7 +68,7 @@ def _further_spans(word: Column, i: Column) -> Column:
 
 
 def _cut(span: Column) -> Column:
-    end = F.least(F.length("padded") - 2, span["start"] + span["width"] + TAIL)
+    end = F.least(F.length("masked") - 2, span["start"] + span["width"] + TAIL)
     return F.substr(F.col("padded"), span["start"] + 1, end - span["start"])
 
 

@@ -50,15 +50,22 @@ def rank_links(pages: DataFrame, links: DataFrame, work: Workspace) -> RankedCor
 
 
 def rank_corpus(lines: DataFrame, work: Workspace) -> RankedCorpus:
-    return rank_links(docs_op.titles(lines).select("title"), docs_op.link_rows(lines), work)
+    """Titles and links are cut out of the texts once and saved."""
+    linked = work.save(docs_op.linked_titles(lines).select("title", "links"), "linked")
+    return rank_links(linked.select("title"), docs_op.link_rows(linked), work)
 
 
 def index_corpus(docs: DataFrame, ranked: RankedCorpus, work: Workspace) -> SearchTables:
-    """Index of `docs(seq, title, raw_text)`, stored in word order so lookups skip files."""
+    """Index and stored texts of `docs(seq, title, raw_text)`.
+
+    The index is saved in word order so lookups skip files; the texts leave their window
+    sorted by title, so lookups skip parts of files.
+    """
     tf = index_op.term_frequencies(docs, ranked.ranks)
     tf = tf.repartitionByRange("word", "doc_id").sortWithinPartitions("word", "doc_id")
+    texts = docs_op.latest_documents(docs)
     return SearchTables(
-        ranked.ranks, work.save(tf, "tf"), docs_op.latest_documents(docs), ranked.n_docs
+        ranked.ranks, work.save(tf, "tf"), work.save(texts, "documents"), ranked.n_docs
     )
 
 
@@ -71,9 +78,10 @@ def answer(
     queries: DataFrame, tables: SearchTables, work: Workspace, k: int = TOP_K, strict: bool = False
 ) -> DataFrame:
     """Top results with their snippets; texts are fetched for the results alone."""
-    found = search(queries, tables.tf, tables.ranks, tables.n_docs, work, k, strict)
+    asked = work.save(queries.select("query_id", "words"), "queries")
+    found = search(asked, tables.tf, tables.ranks, tables.n_docs, work, k, strict)
     results = work.save(found, "results")
-    return snippets(with_texts(results, tables.documents), queries)
+    return snippets(with_texts(results, tables.documents), asked)
 
 
 def build_stats(tables: SearchTables) -> DataFrame:

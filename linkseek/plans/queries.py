@@ -53,8 +53,9 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _page_graph(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    lines = _pages(spark, folder)
-    return D.titles(lines).select("title"), D.link_rows(lines)
+    linked = D.linked_titles(_pages(spark, folder))
+    linked = Workspace(spark).save(linked.select("title", "links"), "linked")
+    return linked.select("title"), D.link_rows(linked)
 
 
 def _page_edges(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -161,7 +162,7 @@ def bad_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def link_extract(spark: SparkSession, folder: str) -> DataFrame:
-    return D.link_rows(_pages(spark, folder))
+    return D.link_rows(D.linked_titles(_pages(spark, folder)))
 
 
 @registered
@@ -202,7 +203,7 @@ def entity_edges(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def pagerank_step(spark: SparkSession, folder: str) -> DataFrame:
     graph = G.build_graph(*_page_graph(spark, folder), Workspace(spark))
-    base = F.lit(teleport(graph.n_dead / graph.n_total, graph.n_total))
+    base = teleport(graph.n_dead / graph.n_total, graph.n_total)
     step = P.rank_step(
         P.initial_state(graph), P.salted_edges(graph), P.edge_keys(graph), base
     )
@@ -261,9 +262,9 @@ def rank_lines(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def titles_without_id(spark: SparkSession, folder: str) -> DataFrame:
     """Link targets looked up in the id map."""
-    ranked = _ranked_pages(spark, folder, Workspace(spark))
-    targets = D.link_rows(_pages(spark, folder)).select(F.col("dst_title").alias("title"))
-    return N.titles_without_id(targets, ranked.ranks)
+    pages, links = _page_graph(spark, folder)
+    ranked = B.rank_links(pages, links, Workspace(spark))
+    return N.titles_without_id(links.withColumnRenamed("dst_title", "title"), ranked.ranks)
 
 
 @registered
@@ -278,8 +279,7 @@ def doc_frequency(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def postings(spark: SparkSession, folder: str) -> DataFrame:
-    lists = I.postings(_document_tf(spark, folder))
-    return lists.select("word", "block", "df").join(L.posting_text(lists), ["word", "block"])
+    return L.posting_text(I.postings(_document_tf(spark, folder)))
 
 
 @registered

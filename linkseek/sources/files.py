@@ -60,9 +60,9 @@ def parse_tf_lines(lines: DataFrame) -> DataFrame:
 
 
 def posting_text(postings: DataFrame) -> DataFrame:
-    """(`word`, `block`, `entries`) with entries as `id tf;id tf`."""
+    """(`word`, `block`, `df`, `entries`) with entries as `id tf;id tf`."""
     pairs = F.transform("postings", lambda p: F.concat_ws(" ", p["doc_id"], p["tf"]))
-    return postings.select("word", "block", F.array_join(pairs, ";").alias("entries"))
+    return postings.select("word", "block", "df", F.array_join(pairs, ";").alias("entries"))
 
 
 def posting_lines(postings: DataFrame) -> DataFrame:

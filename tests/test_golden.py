@@ -30,7 +30,7 @@ def test_titles(spark):
 
 def test_first_turn(spark, work):
     lines = corpus(spark, LINES)
-    graph = build_graph(D.titles(lines), D.link_rows(lines), work)
+    graph = build_graph(D.titles(lines), D.link_rows(D.linked_titles(lines)), work)
     run = P.pagerank(graph, work, max_turns=1)
     assert {r.title: round(r.pr, 9) for r in run.ranks.collect()} == FIRST_TURN
     row = run.metrics.first()
@@ -52,7 +52,7 @@ def test_converged_ranks(built):
 @pytest.mark.parametrize("salt_rows", [1, 2])
 def test_salted_sources_give_the_same_ranks(spark, work, salt_rows):
     lines = corpus(spark, LINES)
-    graph = build_graph(D.titles(lines), D.link_rows(lines), work, salt_rows=salt_rows)
+    graph = build_graph(D.titles(lines), D.link_rows(D.linked_titles(lines)), work, salt_rows=salt_rows)
     assert graph.max_salts == (2 if salt_rows == 1 else 1)
     got = {r.title: round(r.pr, 9) for r in P.pagerank(graph, work).ranks.collect()}
     assert got == dict(RANKS)
