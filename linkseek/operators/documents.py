@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkseek.functions import text as T
+from linkseek.workspace import Workspace
 
 NO_TITLE = "line has no title"
 NO_BODY = "line has no text"
@@ -79,9 +80,18 @@ def repeated_titles(docs: DataFrame) -> DataFrame:
     return docs.groupBy("title").agg(F.count("*").alias("n")).where("n > 1")
 
 
-def latest_documents(docs: DataFrame, order: str = "seq") -> DataFrame:
-    """Stored document per title: decoded `text` of the line that comes last by `order`."""
-    from linkseek.operators.tables import last_per_key
+def latest_documents(docs: DataFrame, work: Workspace) -> DataFrame:
+    """Stored document per title: decoded `text` of its last line by `seq`.
 
-    latest = last_per_key(docs.select("title", "raw_text", order), "title", order)
-    return latest.select("title", T.decode_entities(F.col("raw_text")).alias("text"))
+    Only titles and line numbers are exchanged to find the lines that were written over.
+    Those are saved, so as long as they are few Spark broadcasts them and no text moves;
+    otherwise texts are joined by line number, which is unique.
+    """
+    keys = docs.select("title", "seq")
+    last = keys.groupBy("title").agg(F.max("seq").alias("last"))
+    repeated = last.join(repeated_titles(keys).select("title"), "title", "left_semi")
+    stale = keys.join(repeated, "title").where("seq < last").select("seq")
+    stale = work.save(stale, "stale")
+    return docs.join(stale, "seq", "left_anti").select(
+        "title", T.decode_entities(F.col("raw_text")).alias("text")
+    )

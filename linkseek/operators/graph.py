@@ -48,35 +48,35 @@ def dead_ends(pages: DataFrame, edges: DataFrame) -> DataFrame:
     return pages.select("title").distinct().join(linking, "title", "left_anti")
 
 
-def adjacency(pages: DataFrame, edges: DataFrame, max_rows: int = ADJACENCY_ROWS) -> DataFrame:
+def adjacency(
+    pages: DataFrame, edges: DataFrame, work: Workspace, max_rows: int = ADJACENCY_ROWS
+) -> DataFrame:
     """Array view: every page with its sorted (`dst_title`, `mult`) links.
 
     A page with more than `max_rows` targets is spread over several rows numbered by `part`,
-    so no task ever builds one page's whole list.
+    so no task ever builds one page's whole list. Such pages are saved apart: there is at
+    most one per `max_rows` edges.
     """
     targets = edges.groupBy("src_title").agg(F.count("*").alias("n_targets"))
-    parts = pages.select("title").distinct().join(
-        targets, F.col("title") == F.col("src_title"), "left"
-    ).select(
-        "title",
-        F.greatest(F.lit(1), F.ceil(F.coalesce("n_targets", F.lit(0)) / max_rows))
-        .cast("int").alias("n_parts"),
+    many = work.save(
+        targets.where(F.col("n_targets") > max_rows).select(
+            "src_title", F.ceil(F.col("n_targets") / max_rows).cast("int").alias("n_parts")
+        ),
+        "long-lists",
     )
-    many = parts.where("n_parts > 1").select(F.col("title").alias("src_title"), "n_parts")
     part = F.coalesce(F.expr("pmod(xxhash64(dst_title), n_parts)").cast("int"), F.lit(0))
     lists = (
         edges.join(many, "src_title", "left")
-        .groupBy("src_title", part.alias("part"))
+        .select(F.col("src_title").alias("title"), part.alias("part"), "dst_title", "mult")
+        .repartition("title", "part")
+        .groupBy("title", "part")
         .agg(F.sort_array(F.collect_list(F.struct("dst_title", "mult"))).alias("links"))
     )
-    slots = parts.select("title", F.explode(F.expr("sequence(0, n_parts - 1)")).alias("part"))
-    return slots.join(
-        lists.withColumnRenamed("src_title", "title"), ["title", "part"], "left"
-    ).select(
-        "title", "part",
-        F.coalesce("links", F.expr("cast(array() as array<struct<dst_title:string,mult:bigint>>)"))
-        .alias("links"),
+    none = F.expr("cast(array() as array<struct<dst_title:string,mult:bigint>>)")
+    unlinked = dead_ends(pages, edges).select(
+        "title", F.lit(0).alias("part"), none.alias("links")
     )
+    return lists.unionByName(unlinked)
 
 
 @dataclass(frozen=True)

@@ -13,6 +13,12 @@ from linkseek.workspace import Workspace
 # Fixed value: results per query.
 TOP_K = 10
 
+# Checks broadcast to the word lists; more are joined by exchange.
+MAX_BROADCAST_CHECKS = 200_000
+
+# Keys over which one query's results are spread while they are scored.
+SCORE_SALTS = 16
+
 
 def query_words(queries: DataFrame) -> DataFrame:
     """`queries(query_id, words)` as (`query_id`, `ord`, `word`), order and repeats kept."""
@@ -43,26 +49,29 @@ def missing_words(queries: DataFrame, tf: DataFrame) -> DataFrame:
 def intersect_postings(queries: DataFrame, tf: DataFrame, work: Workspace) -> DataFrame:
     """(`query_id`, `doc_id`, `tf`): documents with all words; `tf` is the least of them.
 
-    Each query starts from its rarest word, and every candidate is checked against the
-    others by (word, document). Rows moved follow the rarest words, and a frequent word
-    spreads by document. The query words are saved so that Spark knows their size and
+    Each query starts from its rarest word, and every candidate is checked against all its
+    words by (word, document). Rows moved follow the rarest words, and a frequent word
+    spreads by document. The per-query tables are saved, so Spark knows their size and
     broadcasts them only if they are small.
     """
     wanted = work.save(wanted_words(queries), "wanted")
     lists = word_lists(tf, wanted)
     found = wanted.join(lists.groupBy("word").agg(F.count("*").alias("df")), "word")
     sizes = wanted.groupBy("query_id").agg(F.count("*").alias("n_words"))
-    rarest = (
+    rarest = work.save(
         found.groupBy("query_id")
         .agg(F.min(F.struct("df", "word")).alias("first"), F.count("*").alias("n_found"))
         .join(sizes, "query_id")
         .where("n_found = n_words")
-        .select("query_id", "n_words", F.col("first.word").alias("word"))
+        .select("query_id", "n_words", "first.word", "first.df"),
+        "rarest",
     )
     candidates = lists.join(rarest, "word").select("query_id", "n_words", "doc_id")
     checks = candidates.join(wanted, "query_id")
+    if _check_rows(rarest) <= MAX_BROADCAST_CHECKS:
+        checks = F.broadcast(checks)
     return (
-        checks.join(lists, ["word", "doc_id"])
+        lists.join(checks, ["word", "doc_id"])
         .groupBy("query_id", "n_words", "doc_id")
         .agg(F.min("tf").alias("tf"), F.count("*").alias("n_hit"))
         .where("n_hit = n_words")
@@ -70,22 +79,30 @@ def intersect_postings(queries: DataFrame, tf: DataFrame, work: Workspace) -> Da
     )
 
 
+def _check_rows(rarest: DataFrame) -> int:
+    """How many (query, document, word) checks there will be."""
+    return rarest.agg(F.coalesce(F.sum(F.col("df") * F.col("n_words")), F.lit(0))).first()[0]
+
+
 def removed_documents(first: DataFrame, other: DataFrame) -> DataFrame:
     """Documents of one list that are not in another."""
     return first.select("doc_id").join(other.select("doc_id"), "doc_id", "left_anti")
 
 
-def score(matches: DataFrame, ranks: DataFrame, n_docs: int) -> DataFrame:
+def score(matches: DataFrame, ranks: DataFrame, n_docs: int, work: Workspace) -> DataFrame:
     """Score columns for `matches(query_id, doc_id, tf)`.
 
-    `df` is the size of the query's own result. It is counted apart and joined back, so
-    no task holds a whole result.
+    `df` is the size of the query's own result. It is counted apart and joined back. Past
+    broadcasting size that join goes by query and salt, so a query with very many results
+    is spread out and reaches the ranking as the best few of each task.
     """
-    df = matches.groupBy("query_id").agg(F.count("*").alias("df"))
+    df = work.save(matches.groupBy("query_id").agg(F.count("*").alias("df")), "result-sizes")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SCORE_SALTS - 1)))
     weight = scoring.tfidf(F.col("tf"), F.lit(float(n_docs)), F.col("df"))
     return (
         matches.join(ranks.select("doc_id", "title", "pr"), "doc_id")
-        .join(df, "query_id")
+        .withColumn("salt", F.pmod("doc_id", F.lit(SCORE_SALTS)).cast("int"))
+        .join(df.withColumn("salt", salts), ["query_id", "salt"])
         .withColumn("tfidf", weight)
         .withColumn("score", scoring.total_score(F.col("pr"), F.col("tfidf")))
     )
@@ -124,7 +141,7 @@ def search(
         if absent is not None:
             raise MissingKeys(absent["word"])
     matches = work.save(intersect_postings(queries, tf, work), "matches")
-    return top_results(score(matches, ranks, n_docs), n_docs, k)
+    return top_results(score(matches, ranks, n_docs, work), n_docs, k)
 
 
 def with_texts(results: DataFrame, documents: DataFrame) -> DataFrame:

@@ -23,15 +23,18 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def replace_table(df: DataFrame, name: str, *key: str) -> DataFrame:
+def replace_table(df: DataFrame, name: str, *key: str, buckets: int | None = None) -> DataFrame:
     """Write `df` as table `name`, sorted by `key` so that lookups read few files.
 
-    Ranges, not hashes: a key with very many rows spans several files when `key` names a
-    finer column after it.
+    With `buckets`, for unique keys, rows are hashed and a lookup opens only its keys'
+    buckets. Without, rows are split by range: a frequent first key spans several files when
+    a finer key follows it.
     """
-    df.repartitionByRange(*key).sortWithinPartitions(*key).write.mode("overwrite").format(
-        "parquet"
-    ).saveAsTable(name)
+    if buckets:
+        writer = df.repartition(buckets, *key).write.bucketBy(buckets, *key).sortBy(*key)
+    else:
+        writer = df.repartitionByRange(*key).sortWithinPartitions(*key).write
+    writer.mode("overwrite").format("parquet").saveAsTable(name)
     return df.sparkSession.table(name)
 
 

@@ -58,12 +58,12 @@ def rank_corpus(lines: DataFrame, work: Workspace) -> RankedCorpus:
 def index_corpus(docs: DataFrame, ranked: RankedCorpus, work: Workspace) -> SearchTables:
     """Index and stored texts of `docs(seq, title, raw_text)`.
 
-    The index is saved in word order so lookups skip files; the texts leave their window
-    sorted by title, so lookups skip parts of files.
+    The index is saved in word order so lookups skip files. The texts are saved as they lie;
+    `publish` lays them out for repeated lookups.
     """
     tf = index_op.term_frequencies(docs, ranked.ranks)
     tf = tf.repartitionByRange("word", "doc_id").sortWithinPartitions("word", "doc_id")
-    texts = docs_op.latest_documents(docs)
+    texts = docs_op.latest_documents(docs, work)
     return SearchTables(
         ranked.ranks, work.save(tf, "tf"), work.save(texts, "documents"), ranked.n_docs
     )
@@ -98,12 +98,18 @@ def build_stats(tables: SearchTables) -> DataFrame:
     )
 
 
-def publish(tables: SearchTables, database: str) -> None:
-    """Replace the stored tables of `database`, each sorted by its lookup key."""
-    replace_table(tables.ranks, f"{database}.rank_table", "doc_id")
+def publish(tables: SearchTables, database: str, buckets: int | None = None) -> None:
+    """Replace the stored tables of `database`, each laid out for lookups by its key.
+
+    Tables with unique keys are bucketed, by default into the session's shuffle partitions;
+    those keyed by word are split by range, as one word may have very many rows.
+    """
+    spark = tables.tf.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    replace_table(tables.ranks, f"{database}.rank_table", "doc_id", buckets=buckets)
+    replace_table(tables.documents, f"{database}.document_table", "title", buckets=buckets)
     replace_table(tables.tf, f"{database}.index_table", "word", "doc_id")
     replace_table(index_op.postings(tables.tf), f"{database}.posting_table", "word", "block")
-    replace_table(tables.documents, f"{database}.document_table", "title")
     build_stats(tables).write.mode("overwrite").format("parquet").saveAsTable(
         f"{database}.build_stats"
     )

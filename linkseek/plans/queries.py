@@ -184,7 +184,7 @@ def out_degree(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def adjacency(spark: SparkSession, folder: str) -> DataFrame:
     pairs = F.transform("links", lambda e: F.concat_ws("*", e["dst_title"], e["mult"]))
-    return G.adjacency(*_page_edges(spark, folder)).select(
+    return G.adjacency(*_page_edges(spark, folder), Workspace(spark)).select(
         "title", F.col("part").cast("bigint").alias("part"),
         F.array_join(pairs, " ").alias("links"),
     )
@@ -388,7 +388,7 @@ def search_report(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def document_table(spark: SparkSession, folder: str) -> DataFrame:
-    return D.latest_documents(D.documents(_pages(spark, folder)))
+    return D.latest_documents(D.documents(_pages(spark, folder)), Workspace(spark))
 
 
 @registered

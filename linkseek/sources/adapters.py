@@ -103,7 +103,7 @@ def entity_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 def entity_links(spark: SparkSession, folder: str) -> DataFrame:
     """Customer to parts ordered and nation, part to suppliers, supplier to nation to region."""
-    lineitem = table(spark, folder, "lineitem")
+    lineitem = spread(table(spark, folder, "lineitem"))
     ordered = table(spark, folder, "orders").join(
         lineitem, F.col("o_orderkey") == F.col("l_orderkey")
     )

@@ -11,12 +11,8 @@ from linkseek.workspace import Workspace  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from pyspark.sql import SparkSession
-
-    SparkSession.builder.config(
-        "spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse"))
-    )
-    session = local_session(4, partitions=4)
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
+    session = local_session(4, partitions=4, **{"spark.sql.warehouse.dir": warehouse})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

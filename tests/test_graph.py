@@ -61,8 +61,8 @@ def test_edges(pages, links):
 
 
 @pytest.mark.parametrize("max_rows", [5, 100_000])
-def test_adjacency(pages, links, max_rows):
-    rows = G.adjacency(pages, G.link_edges(links, pages), max_rows).collect()
+def test_adjacency(pages, links, work, max_rows):
+    rows = G.adjacency(pages, G.link_edges(links, pages), work, max_rows).collect()
     got = Counter()
     for r in rows:
         got.update({(r.title, e.dst_title): e.mult for e in r.links})

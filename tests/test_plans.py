@@ -1,9 +1,11 @@
 import pytest
 
+from linkseek.operators import documents as D
 from linkseek.operators import graph as G
 from linkseek.operators import index as I
 from linkseek.operators import pagerank as P
 from linkseek.operators import search as S
+from linkseek.operators import tables as K
 from linkseek.sources import adapters as A
 
 FOLDER = "/root/testdata/sf0.001"
@@ -74,4 +76,29 @@ def test_search_plan(spark, docs, ids, work):
     matches = work.save(S.intersect_postings(query, tf, work), "matches")
     top = plan(S.search(query, tf, ids, 10, work))
     assert "WindowGroupLimit" in top and "Partial" in top
-    assert "SinglePartition" not in plan(S.score(matches, ids, 10))
+    assert "SinglePartition" not in plan(S.score(matches, ids, 10, work))
+
+
+def test_hot_query_is_cut_before_it_gathers(spark, docs, ids, work, no_broadcast):
+    """Without broadcasts too, ranking keeps the best of each task before the exchange."""
+    matches = work.save(ids.selectExpr("1L AS query_id", "doc_id", "1L AS tf"), "matches")
+    text = plan(S.top_results(S.score(matches, ids, 10, work), 10))
+    first, last = text.index("WindowGroupLimit"), text.rindex("WindowGroupLimit")
+    assert "Exchange hashpartitioning(query_id" in text[first:last]
+    assert "Final" in text[first : first + 200] and "Partial" in text[last : last + 200]
+
+
+def test_stored_texts_do_not_move(spark, docs, work):
+    """Few lines are written over, so they are broadcast against the texts."""
+    text = plan(D.latest_documents(docs, work))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+
+
+def test_lookup_reaches_the_scan(spark, docs):
+    spark.sql("DROP TABLE IF EXISTS bucketed")
+    table = K.replace_table(docs.select("title", "raw_text"), "bucketed", "title", buckets=8)
+    assert len(table.inputFiles()) == 8
+    keys = docs.where("seq < 2").select("title")
+    found = K.lookup_many(table, keys, "title", "raw_text")
+    assert "PushedFilters: [In(title" in plan(found) and found.count() == 2
+    K.drop_table(spark, "bucketed")

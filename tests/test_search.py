@@ -80,10 +80,12 @@ def test_unknown_title(docs, ids):
     assert [r.doc_id for r in N.ids_without_title(ids, fewer).collect()] == [3]
 
 
+@pytest.mark.parametrize("broadcast_checks", [200_000, 0])
 @pytest.mark.parametrize("literal_keys", [1000, 0])
-def test_intersection(docs, ids, queries, work, monkeypatch, literal_keys):
-    """The pruned-scan path and the join path give the same documents."""
+def test_intersection(docs, ids, queries, work, monkeypatch, literal_keys, broadcast_checks):
+    """Pruned scan or join, broadcast or exchange: the documents are the same."""
     monkeypatch.setattr(K, "MAX_LITERAL_KEYS", literal_keys)
+    monkeypatch.setattr(S, "MAX_BROADCAST_CHECKS", broadcast_checks)
     tf = work.save(I.term_frequencies(docs, ids), "tf")
     got = {(r.query_id, r.doc_id): r.tf for r in S.intersect_postings(queries, tf, work).collect()}
     assert got == matches_by_hand()

@@ -88,11 +88,11 @@ def test_title_needs_no_text(spark):
     assert D.titles(lines(spark, "<title>t</title> [[u]]")).first().title == "T"
 
 
-def test_last_text_wins(spark):
+def test_last_text_wins(spark, work):
     corpus = lines(
         spark, "<title>a</title><text>one &lt;</text>", "<title>A</title><text>two &amp;</text>"
     )
-    got = D.latest_documents(D.documents(corpus)).collect()
+    got = D.latest_documents(D.documents(corpus), work).collect()
     assert [(r.title, r.text) for r in got] == [("A", "two &")]
     assert [tuple(r) for r in D.repeated_titles(D.documents(corpus)).collect()] == [("A", 2)]
 
