@@ -345,12 +345,14 @@ SELECT key, value FROM (
   UNION ALL SELECT o_custkey, o_orderpriority, 1, o_orderkey FROM orders)
 QUALIFY row_number() OVER (PARTITION BY key ORDER BY batch DESC, seq DESC) = 1""",
     "table_delete": "SELECT c_custkey, c_name FROM customer "
-                    "WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+                    "WHERE c_custkey NOT IN (SELECT o_custkey FROM orders "
+                    "WHERE o_orderpriority = '1-URGENT')",
     "table_lookup": "SELECT doc_id, text FROM documents WHERE doc_id = 7",
     "table_multi_lookup": "SELECT doc_id, lang, n_chars FROM documents "
                           "WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)",
     "missing_keys": "SELECT c_custkey FROM customer "
-                    "WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+                    "WHERE c_custkey NOT IN (SELECT o_custkey FROM orders "
+                    "WHERE o_orderpriority = '1-URGENT')",
     "table_scan": "SELECT doc_id, source FROM documents ORDER BY doc_id",
     "input_file_ids": "SELECT CAST(1 AS BIGINT) AS file_id, 'documents.parquet' AS file_name",
 }

@@ -404,12 +404,16 @@ def table_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return K.put_rows(base, changes, "key", "seq")
 
 
+def _urgent_customers(spark: SparkSession, folder: str) -> DataFrame:
+    urgent = A.table(spark, folder, "orders").where("o_orderpriority = '1-URGENT'")
+    return urgent.select(F.col("o_custkey").alias("c_custkey"))
+
+
 @registered
 def table_delete(spark: SparkSession, folder: str) -> DataFrame:
-    """Customers left after deleting those with an order."""
+    """Customers left after deleting those with an urgent order."""
     base = A.table(spark, folder, "customer").select("c_custkey", "c_name")
-    ordering = A.table(spark, folder, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    return K.delete_rows(base, ordering, "c_custkey")
+    return K.delete_rows(base, _urgent_customers(spark, folder), "c_custkey")
 
 
 @registered
@@ -428,10 +432,9 @@ def table_multi_lookup(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def missing_keys(spark: SparkSession, folder: str) -> DataFrame:
-    """Customers looked up in the orders."""
+    """Customers looked up among those with an urgent order."""
     return K.missing_keys(
-        A.table(spark, folder, "orders").withColumnRenamed("o_custkey", "c_custkey"),
-        A.table(spark, folder, "customer"), "c_custkey",
+        _urgent_customers(spark, folder), A.table(spark, folder, "customer"), "c_custkey"
     )
 
 

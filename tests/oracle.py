@@ -25,6 +25,10 @@ def connect(folder):
     return con
 
 
+# Spark type to DuckDB type.
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+
+
 def _cell(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else f"{value:.12g}"
@@ -44,6 +48,10 @@ def differences(df, con, sql):
     want_rows = relation.fetchall()
     if sorted(columns) != sorted(df.columns):
         return f"columns {sorted(df.columns)} against {sorted(columns)}"
+    types = {c[0]: str(c[1]) for c in relation.description}
+    wrong = [c for c, t in df.dtypes if TYPES.get(t) != types[c]]
+    if wrong:
+        return f"types of {wrong}: {dict(df.dtypes)} against {types}"
     got, want = _rows(df.columns, got_rows), _rows(columns, want_rows)
     if got == want:
         return None
