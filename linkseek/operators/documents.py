@@ -87,10 +87,9 @@ def latest_documents(docs: DataFrame, work: Workspace) -> DataFrame:
     Those are saved, so as long as they are few Spark broadcasts them and no text moves;
     otherwise texts are joined by line number, which is unique.
     """
-    keys = docs.select("title", "seq")
-    last = keys.groupBy("title").agg(F.max("seq").alias("last"))
-    repeated = last.join(repeated_titles(keys).select("title"), "title", "left_semi")
-    stale = keys.join(repeated, "title").where("seq < last").select("seq")
+    keys = work.save(docs.select("title", "seq"), "titles")
+    last = keys.groupBy("title").agg(F.max("seq").alias("last"), F.count("*").alias("n"))
+    stale = keys.join(last.where("n > 1"), "title").where("seq < last").select("seq")
     stale = work.save(stale, "stale")
     return docs.join(stale, "seq", "left_anti").select(
         "title", T.decode_entities(F.col("raw_text")).alias("text")

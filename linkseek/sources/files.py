@@ -11,9 +11,14 @@ from linkseek.workspace import Workspace
 TOO_MANY_TABS = "more than one tab in a rank line"
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Corpus lines of a file or folder as (`value`, `seq`); `seq` follows the files' order."""
-    return spark.read.text(path).withColumn("seq", F.monotonically_increasing_id())
+def read_lines(spark: SparkSession, path: str, work: Workspace) -> DataFrame:
+    """Corpus lines of a file or folder as (`value`, `seq`); `seq` follows the files' order.
+
+    The numbered lines are saved: a line's number depends on how the files are split, which
+    may change between reads, and the compressed table is cheaper to read again than text.
+    """
+    lines = spark.read.text(path).withColumn("seq", F.monotonically_increasing_id())
+    return work.save(lines, "lines")
 
 
 def rank_lines(ranks: DataFrame) -> DataFrame:

@@ -20,9 +20,9 @@ def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_corpus_file(spark, tmp_path):
+def test_corpus_file(spark, work, tmp_path):
     (tmp_path / "corpus.txt").write_text("\n".join(LINES) + "\n", encoding="utf-8")
-    lines = L.read_lines(spark, str(tmp_path))
+    lines = L.read_lines(spark, str(tmp_path), work)
     assert [r.value for r in lines.orderBy("seq").collect()] == LINES
     assert D.documents(lines).count() == 6
 
