@@ -1,7 +1,9 @@
 import pytest
 from oracle import connect, differences
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from linkseek.plans.oracle import ORACLE
+from linkseek.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -12,12 +14,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    assert differences(queries()[name](spark, FOLDER), con, oracle_sql()[name]) is None
+    assert differences(QUERIES[name](spark, FOLDER), con, ORACLE[name]) is None
 
 
 def test_entry(spark):
