@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from linkseek.llm.exact_dedup import exact_groups
 from linkseek.llm.mixing import mix_sources, word_count
+from linkseek.llm.near_dedup import near_classes
+from linkseek.llm.pieces import encode_pieces
 from linkseek.llm.sharding import shuffle_to_shards
 from linkseek.llm.token_counts import count_tokens
 from linkseek.llm.workers import reach
@@ -17,6 +19,11 @@ from linkseek.sources.adapters import table
 from linkseek.workspace import Workspace
 
 
+def pieces(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return encode_pieces(table(spark, folder, "documents"), path)
+
+
 def token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return count_tokens(table(spark, folder, "documents"), path)
@@ -35,6 +42,10 @@ def mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_classes(table(spark, folder, "documents"), Workspace(spark)).drop("text_key")
+
+
 def sharding(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select(
         "doc_id",
@@ -53,9 +64,11 @@ def _reached(query):
 
 
 _ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pieces": pieces,
     "op3_token_counts": token_counts,
     "op6_exact_dedup": exact_dedup,
     "op7_mixing": mixing,
+    "op8_near_dedup": near_dedup,
     "op9_sharding": sharding,
 }
 
