@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkseek.llm.exact_dedup import exact_groups
+from linkseek.llm.html_text import main_text
 from linkseek.llm.mixing import mix_sources, word_count
 from linkseek.llm.near_dedup import near_classes
 from linkseek.llm.pieces import encode_pieces
@@ -59,6 +60,10 @@ def sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text(table(spark, folder, "pages"), Workspace(spark))
+
+
 def _reached(query):
     return lambda spark, folder: query(reach(spark), folder)
 
@@ -70,6 +75,7 @@ _ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_mixing": mixing,
     "op8_near_dedup": near_dedup,
     "op9_sharding": sharding,
+    "op10_html_text": html_text,
 }
 
 QUERIES = {name: _reached(query) for name, query in _ALL.items()}
