@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from linkseek.llm.exact_dedup import exact_groups
 from linkseek.llm.html_text import main_text
+from linkseek.llm.line_dedup import dedup_lines
 from linkseek.llm.mixing import mix_sources, word_count
 from linkseek.llm.near_dedup import near_classes
 from linkseek.llm.pieces import encode_pieces
@@ -30,6 +31,10 @@ def token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), path)
 
 
+def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return dedup_lines(table(spark, folder, "documents"), Workspace(spark))
+
+
 def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(table(spark, folder, "documents"), Workspace(spark))
 
@@ -71,6 +76,7 @@ def _reached(query):
 _ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pieces": pieces,
     "op3_token_counts": token_counts,
+    "op5_line_dedup": line_dedup,
     "op6_exact_dedup": exact_dedup,
     "op7_mixing": mixing,
     "op8_near_dedup": near_dedup,
