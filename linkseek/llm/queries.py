@@ -14,6 +14,7 @@ from linkseek.llm.line_dedup import dedup_lines
 from linkseek.llm.mixing import mix_sources, word_count
 from linkseek.llm.near_dedup import near_classes
 from linkseek.llm.pieces import encode_pieces
+from linkseek.llm.quality import fit_quality, score_quality
 from linkseek.llm.sharding import shuffle_to_shards
 from linkseek.llm.token_counts import count_tokens
 from linkseek.llm.workers import reach
@@ -31,6 +32,11 @@ def token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), path)
 
 
+def quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return score_quality(docs, fit_quality(docs)).drop("text")
+
+
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_lines(table(spark, folder, "documents"), Workspace(spark))
 
@@ -76,6 +82,7 @@ def _reached(query):
 _ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pieces": pieces,
     "op3_token_counts": token_counts,
+    "op4_quality": quality,
     "op5_line_dedup": line_dedup,
     "op6_exact_dedup": exact_dedup,
     "op7_mixing": mixing,
