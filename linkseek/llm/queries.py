@@ -13,6 +13,7 @@ from linkseek.llm.html_text import main_text
 from linkseek.llm.line_dedup import dedup_lines
 from linkseek.llm.mixing import mix_sources, word_count
 from linkseek.llm.near_dedup import near_classes
+from linkseek.llm.nn_graph import nearest_neighbours
 from linkseek.llm.pieces import encode_pieces
 from linkseek.llm.quality import fit_quality, score_quality
 from linkseek.llm.sharding import shuffle_to_shards
@@ -27,6 +28,11 @@ def pieces(spark: SparkSession, folder: str) -> DataFrame:
     return encode_pieces(table(spark, folder, "documents"), path)
 
 
+def nearest(spark: SparkSession, folder: str) -> DataFrame:
+    is_query = F.col("vec_id") % 20 == 0
+    return nearest_neighbours(table(spark, folder, "embeddings"), is_query, Workspace(spark))
+
+
 def token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return count_tokens(table(spark, folder, "documents"), path)
@@ -81,6 +87,7 @@ def _reached(query):
 
 _ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pieces": pieces,
+    "op2_nearest": nearest,
     "op3_token_counts": token_counts,
     "op4_quality": quality,
     "op5_line_dedup": line_dedup,
