@@ -8,10 +8,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkseek.llm.batches import starts, text_slices
+from linkseek.llm.keys import row_key
 from linkseek.workspace import Workspace
 
 # A cut is made where a hash of the last 2**WINDOW_BITS bytes ends in CUT_BITS zeros.
@@ -77,6 +78,7 @@ def _recipes(bits: int):
             ]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "row": batch.column("row"),
+                "row_key": batch.column("row_key"),
                 "text_sha256": [hashlib.sha256(x).hexdigest() for x in texts],
                 "recipe": pa.array(recipes, pa.list_(pa.int64())),
             })
@@ -103,7 +105,7 @@ def _chunk_rows(bits: int):
 
 def exact_groups(docs: DataFrame, work: Workspace, bits: int = HASH_BITS) -> DataFrame:
     """One row per row of `docs` (`doc_id`, `text`): `doc_id`, `keep_id`, `group_size`, `kept`,
-    `text_sha256`.
+    `text_sha256`, `row_key`.
 
     Texts are equal when identical after lower-casing A-Z; a null text is an empty one. Every
     text is cut where its content says so. Each distinct chunk moves once and is compared byte
@@ -112,14 +114,14 @@ def exact_groups(docs: DataFrame, work: Workspace, bits: int = HASH_BITS) -> Dat
     identifier lists, the only thing that is grouped. The largest `doc_id` stays; of its
     repeated rows one. A null `doc_id` is smaller than any. An empty table gives no rows.
     """
-    texts = docs.select("doc_id", "text")
+    texts = docs.select("doc_id", "text", row_key(docs["doc_id"], docs["text"]).alias("row_key"))
     recipes = work.save(
         texts.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
-            _recipes(bits), "doc_id long, row long, text_sha256 string, recipe array<long>"
+            _recipes(bits), "doc_id long, row long, row_key string, text_sha256 string, recipe array<long>"
         ),
         "recipes",
     )
-    chunks = texts.mapInArrow(
+    chunks = texts.select("text").mapInArrow(
         _chunk_rows(bits), "text_sha256 string, place int, hash long, chunk binary"
     )
     distinct = chunks.select("hash", "chunk").distinct()
@@ -137,7 +139,7 @@ def exact_groups(docs: DataFrame, work: Workspace, bits: int = HASH_BITS) -> Dat
     )
     return recipes.join(groups, ["recipe", "numbers"]).select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
-        (F.col("row") == F.col("best.row")).alias("kept"), "text_sha256",
+        (F.col("row") == F.col("best.row")).alias("kept"), "text_sha256", "row_key",
     )
 
 
@@ -155,18 +157,3 @@ def _numbers(chunks: DataFrame, distinct: DataFrame, shared: DataFrame, work: Wo
         "numbers",
     )
 
-
-def text_sha256(text: Column) -> Column:
-    """As in `exact_groups`."""
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    return F.sha2(F.translate(F.coalesce(text, F.lit("")), upper, lower), 256)
-
-
-def keep_rows(docs: DataFrame, kept: DataFrame, text_key: Column, name: str) -> DataFrame:
-    """The rows of `docs` whose `doc_id` and text key are in `kept` (`doc_id`, `name`), one each."""
-    here = kept.select(F.col("doc_id").alias("_kept_id"), F.col(name).alias("_kept_key")).distinct()
-    found = docs.withColumn("_key", text_key).join(
-        here, F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("_key") == F.col("_kept_key")),
-        "left_semi",
-    )
-    return found.dropDuplicates(["doc_id", "_key"]).drop("_key")

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkseek.llm.batches import text_slices, word_spans
+from linkseek.llm.keys import row_key
 from linkseek.operators.ids import number_rows
 from linkseek.workspace import Workspace
 
@@ -114,7 +118,7 @@ def apportion(parties: DataFrame, group: list[str], tie: list[str], work: Worksp
     )
 
 
-def _take(seed: int, block: int):
+def _take(seed: int, block: int, carried: list[str], spans: bool):
     def take(shard: pd.DataFrame) -> pd.DataFrame:
         """Words taken of each document of one shard of a source.
 
@@ -134,22 +138,45 @@ def _take(seed: int, block: int):
         def taken_up_to(x):
             return before[x // block] + drawn[x // block] * (x % block)
 
+        if spans:
+            # Every stretch of words in which neither the document nor the block changes.
+            edges = np.unique(np.concatenate([[0], end, np.minimum(np.arange(n) * block, total)]))
+            begin, until = edges[:-1], edges[1:]
+            chosen = drawn[begin // block] > 0
+            begin, until = begin[chosen], until[chosen]
+            of = np.searchsorted(end, begin, side="right")
+            first = end - np.tile(sizes, MAX_REPEATS)
+            lists = [[] for _ in range(len(shard))]
+            for i, a, b in zip(of.tolist(), (begin - first[of]).tolist(), (until - first[of]).tolist()):
+                own = lists[i % len(shard)]
+                time = i // len(shard)
+                if own and own[-1]["time"] == time and own[-1]["end"] == a:
+                    own[-1]["end"] = b
+                else:
+                    own.append({"time": time, "begin": a, "end": b})
+            shard["spans"] = lists
         taken = taken_up_to(end) - taken_up_to(end - np.tile(sizes, MAX_REPEATS))
         shard["taken"] = taken.reshape(MAX_REPEATS, -1).sum(axis=0)
-        return shard[["doc_id", "source", "size", "source_size", "target", "taken"]]
+        return shard[[*carried, "doc_id", "source", "size", "source_size", "target", "taken",
+                      *(["spans"] if spans else [])]]
 
     return take
 
 
-def mix_sources(docs: DataFrame, work: Workspace, seed: int = 0, block: int = BLOCK_WORDS) -> DataFrame:
-    """(`doc_id`, `source`, `size`, `source_size`, `target`, `taken`), a row per document.
+def mix_sources(
+    docs: DataFrame, work: Workspace, seed: int = 0, block: int = BLOCK_WORDS, spans: bool = False
+) -> DataFrame:
+    """(`doc_id`, `source`, `size`, `source_size`, `target`, `taken`), a row per document, after
+    `row_key` if `docs` has it.
 
-    `docs` has `doc_id`, `source` and `size`. Blocks go to sources by Sainte-Laguë's quotients of
+    `docs` has `doc_id`, `source` and `size`. With `spans`, a list of that name says which words
+    are taken: the words from `begin` to before `end`, the first or second `time`. Blocks go to sources by Sainte-Laguë's quotients of
     their targets, then to each source's shards by those of their sizes. A source has a shard
     for every SHARD_ROWS documents, so a hot source only has more of them. A null source is a
     source; an empty document takes nothing; the same rows give the same result.
     """
-    sized = work.save(docs.select("doc_id", "source", "size"), "sized")
+    carried = [c for c in docs.columns if c == "row_key"]
+    sized = work.save(docs.select(*carried, "doc_id", "source", "size"), "sized")
     targets = source_targets(sized)
     targets = work.save(
         targets.withColumn("source_place", F.row_number().over(
@@ -166,7 +193,7 @@ def mix_sources(docs: DataFrame, work: Workspace, seed: int = 0, block: int = BL
     dealt = sized.join(
         quota.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))
     ).select(
-        "doc_id", "source", "size", "source_size", "target", "source_place", "total",
+        *carried, "doc_id", "source", "size", "source_size", "target", "source_place", "total",
         F.xxhash64(F.lit(seed), "doc_id").alias("order"),
         F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "size"), shards).alias("shard"),
     )
@@ -181,6 +208,59 @@ def mix_sources(docs: DataFrame, work: Workspace, seed: int = 0, block: int = BL
     return dealt.drop("total").join(seats, ["source_place", "shard"]).groupBy(
         "source_place", "shard"
     ).applyInPandas(
-        _take(seed, block),
-        "doc_id long, source string, size long, source_size long, target double, taken long",
+        _take(seed, block, carried, spans),
+        ", ".join([
+            *(f"{c} string" for c in carried),
+            "doc_id long, source string, size long, source_size long, target double, taken long",
+            *(["spans array<struct<time:int,begin:long,end:long>>"] if spans else []),
+        ]),
+    )
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each time that words of a text are taken, holding these words."""
+    for batch, texts in text_slices(batches):
+        begin, end, _, text_start = word_spans(texts)
+        first = np.searchsorted(begin, text_start)
+        rows, out = [], []
+        for i, (text, n, spans) in enumerate(
+            zip(texts, np.diff(first).tolist(), batch.column("_spans").to_pylist())
+        ):
+            b, e = (x[first[i] : first[i + 1]] - text_start[i] for x in (begin, end))
+            for time in range(MAX_REPEATS):
+                own = [(x["begin"], x["end"]) for x in spans or [] if x["time"] == time]
+                if own:
+                    whole = own == [(0, n)]
+                    parts = [text[b[x] : e[y - 1]] for x, y in own]
+                    rows.append(i)
+                    out.append((text if whole else b"\n".join(parts)).decode("utf-8", "replace"))
+        taken = batch.take(pa.array(rows, pa.int64())).drop_columns(["_spans"])
+        columns = dict(zip(taken.schema.names, taken.columns)) | {"text": pa.array(out, pa.string())}
+        if "n_chars" in columns:
+            columns["n_chars"] = pa.array([len(x) for x in out], pa.int64())
+        yield pa.RecordBatch.from_pydict(columns)
+
+
+def mixed_texts(docs: DataFrame, work: Workspace, seed: int = 0) -> DataFrame:
+    """The mix itself, with the columns of `docs` (`doc_id`, `text`, `source` and any others).
+
+    A document has a row for each time that words of it are taken. Texts taken as a whole are as
+    they were; of others the taken stretches are put together by new lines, and `n_chars` is
+    theirs. A document without words isn't in the mix.
+    """
+    keyed = docs.withColumn("_row_key", row_key(docs["doc_id"], docs["text"]))
+    sizes = keyed.select(
+        F.col("_row_key").alias("row_key"), "doc_id", "source", word_count(F.col("text")).alias("size")
+    )
+    mixed = mix_sources(sizes, work, seed, spans=True).where("taken > 0")
+    # Repeated rows have one key and as many lists of spans.
+    spans = work.save(
+        mixed.groupBy(F.col("row_key").alias("_row_key")).agg(
+            F.array_sort(F.collect_list("spans")).alias("_all")), "spans",
+    )
+    nth = F.row_number().over(Window.partitionBy("_row_key").orderBy("_row_key"))
+    rows = keyed.join(spans, "_row_key").withColumn("_nth", nth).where(F.col("_nth") <= F.size("_all"))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return rows.select(*docs.columns, F.element_at("_all", F.col("_nth")).alias("_spans")).mapInArrow(
+        _cut, fields
     )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from linkseek.llm.batches import list_array, mix, signed, span_hashes, text_slices, words
 from linkseek.llm.components import components
+from linkseek.llm.keys import row_key
 from linkseek.workspace import Workspace
 
 SHINGLE_WORDS = 5
@@ -142,7 +143,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, start = sketch_keys(*shingles(texts))
         yield pa.RecordBatch.from_pydict({
             "doc_id": batch.column("doc_id"), "row": batch.column("row"),
-            "text_key": pa.array(text_keys(texts), pa.binary()), "keys": list_array(signed(keys), start),
+            "row_key": batch.column("row_key"), "text_key": pa.array(text_keys(texts), pa.binary()), "keys": list_array(signed(keys), start),
         })
 
 
@@ -183,7 +184,7 @@ def _links(pairs: DataFrame, sequences: DataFrame, similarity: float, work: Work
 
 def near_classes(docs: DataFrame, work: Workspace, similarity: float = SIMILARITY) -> DataFrame:
     """One row per row of `docs` (`doc_id`, `text`): `doc_id`, `class_id`, `class_size`, `kept`,
-    `text_key`.
+    `row_key`.
 
     A class is what links of the similarity join, over any number of links; its id is its
     smallest `doc_id`, whose row stays. Texts of the same words are one node from the start, so
@@ -195,8 +196,10 @@ def near_classes(docs: DataFrame, work: Workspace, similarity: float = SIMILARIT
     """
     texts = docs.select("doc_id", "text")
     signed_rows = work.save(
-        texts.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
-            _signatures, "doc_id long, row long, text_key binary, keys array<long>"
+        texts.withColumns(
+            {"row": F.monotonically_increasing_id(), "row_key": row_key(docs["doc_id"], docs["text"])}
+        ).mapInArrow(
+            _signatures, "doc_id long, row long, row_key string, text_key binary, keys array<long>"
         ),
         "signatures",
     )
@@ -265,7 +268,7 @@ def _classes(signed_rows, nodes, labels, work) -> DataFrame:
         "text_key", F.coalesce("label", "node").alias("label")
     )
     rows = work.save(
-        signed_rows.select("doc_id", "row", "text_key").join(work.save(label, "label"), "text_key"),
+        signed_rows.select("doc_id", "row", "row_key", "text_key").join(work.save(label, "label"), "text_key"),
         "rows",
     )
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("least")
@@ -274,5 +277,5 @@ def _classes(signed_rows, nodes, labels, work) -> DataFrame:
     )
     return rows.join(classes, "label").select(
         "doc_id", F.col("least.doc_id").alias("class_id"), "class_size",
-        (F.col("row") == F.col("least.row")).alias("kept"), "text_key",
+        (F.col("row") == F.col("least.row")).alias("kept"), "row_key",
     )

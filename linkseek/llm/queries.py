@@ -48,7 +48,7 @@ def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return exact_groups(table(spark, folder, "documents"), Workspace(spark))
+    return exact_groups(table(spark, folder, "documents"), Workspace(spark)).drop("row_key")
 
 
 def mixing(spark: SparkSession, folder: str) -> DataFrame:
@@ -61,7 +61,7 @@ def mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return near_classes(table(spark, folder, "documents"), Workspace(spark)).drop("text_key")
+    return near_classes(table(spark, folder, "documents"), Workspace(spark)).drop("row_key")
 
 
 def sharding(spark: SparkSession, folder: str) -> DataFrame:
