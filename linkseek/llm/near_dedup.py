@@ -8,7 +8,7 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkseek.llm.batches import list_array, mix, signed, span_hashes, text_slices, words
@@ -24,6 +24,8 @@ SKETCHES = 24
 SKETCH_SHINGLES = 5
 # Texts of up to so many shingles also get a key for all of them and for all but each one.
 SHORT = 9
+# Rounds in which all of a bucket are compared with one of them, before the exact rest.
+ROUNDS = 3
 # Shingles that a sketch's first cut keeps on average; texts it leaves too few of go again.
 _CUT = 14
 
@@ -188,9 +190,11 @@ def near_classes(docs: DataFrame, work: Workspace, similarity: float = SIMILARIT
 
     A class is what links of the similarity join, over any number of links; its id is its
     smallest `doc_id`, whose row stays. Texts of the same words are one node from the start, so
-    that copies make no pairs. Nodes that share a sketch are candidates. First all of a bucket are
-    aligned with its smallest node, then those that are not yet in one class with each other:
-    a bucket of copies of one text is done after the first, and no link of candidates is lost.
+    that copies make no pairs. Nodes that share a sketch are candidates. A bucket's nodes that are not
+    yet in one class are aligned with one of them, drawn anew in each of a few rounds, so that
+    large groups of near copies grow together without pairs of all. Of what is left in mixed
+    buckets, pairs that can reach the similarity at all are found by prefixes of their
+    rarest shingles and aligned, so no link of candidates is lost.
     A null text is empty; empty texts are one class. Null ids are larger than any. An empty
     table gives no rows.
     """
@@ -211,21 +215,22 @@ def near_classes(docs: DataFrame, work: Workspace, similarity: float = SIMILARIT
     )
     posted = nodes.select("node", F.explode("keys").alias("key"))
     buckets = work.save(
-        posted.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1"),
-        "buckets",
-    )
-    members = work.save(posted.join(buckets.select("key", "leader"), "key"), "members")
-    pairs = work.save(
-        members.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-        .distinct(), "pairs",
+        posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "buckets",
     )
+    members = work.save(posted.join(buckets.select("key"), "key"), "members")
     sequences = _wanted_sequences(texts, nodes, members, work)
-    links = _links(pairs, sequences, similarity, work)
-    labels = components(links, work)
-    across = _across(members, labels, pairs, work)
-    if not across.isEmpty():
-        more = _links(across, sequences, similarity, work)
-        labels = components(links.union(more), work)
+    links = labels = None
+    for turn in range(ROUNDS):
+        labelled = _labelled(members, labels, work)
+        pairs = _led_pairs(labelled, turn, work)
+        pairs = work.save(pairs if links is None else pairs.join(seen, ["a", "b"], "left_anti"), "pairs")
+        seen = pairs if links is None else seen.union(pairs)
+        found = _links(pairs, sequences, similarity, work)
+        links = found if links is None else links.union(found)
+        labels = components(links, work)
+    rest = _rest_pairs(_labelled(members, labels, work), sequences, similarity, work)
+    rest = work.save(rest.join(seen, ["a", "b"], "left_anti"), "rest")
+    labels = components(links.union(_links(rest, sequences, similarity, work)), work)
     return _classes(signed_rows, nodes, labels, work)
 
 
@@ -246,21 +251,79 @@ def _wanted_sequences(texts, nodes, members, work) -> DataFrame:
     )
 
 
-def _across(members, labels, pairs, work) -> DataFrame:
-    """Candidates of one bucket and different classes that were not compared yet."""
-    labelled = members.join(labels, "node", "left").withColumn(
-        "label", F.coalesce("label", "node")
+def _labelled(members: DataFrame, labels: DataFrame | None, work: Workspace) -> DataFrame:
+    """(`key`, `node`, `label`) of buckets whose nodes are not all of one class yet."""
+    if labels is None:
+        return members.select("key", "node", F.col("node").alias("label"))
+    label = F.coalesce("label", "node").alias("label")
+    rows = work.save(members.join(labels, "node", "left").select("key", "node", label), "labelled")
+    mixed = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    mixed = work.save(mixed.where("low < high").select("key"), "mixed")
+    return work.save(rows.join(mixed, "key"), "of-mixed")
+
+
+def _led_pairs(labelled: DataFrame, turn: int, work: Workspace) -> DataFrame:
+    """(`a`, `b`): each bucket's node that comes first in the turn's order, with those of other classes."""
+    first = F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "label")).alias("first")
+    led = labelled.groupBy("key").agg(first).select(
+        "key", F.col("first.node").alias("_node"), F.col("first.label").alias("_label")
     )
-    mixed = labelled.groupBy("key").agg(
-        F.min("label").alias("_low"), F.max("label").alias("_high")
-    ).where("_low < _high")
-    mixed = work.save(labelled.join(mixed.select("key"), "key").select("key", "node", "label"), "mixed")
-    left = mixed.select("key", F.col("node").alias("x"), F.col("label").alias("_x"))
-    right = mixed.select("key", F.col("node").alias("y"), F.col("label").alias("_y"))
-    found = left.join(right, "key").where("_x < _y").select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
+    led = work.save(led, "led")  # saved, a bucket of very many nodes can be split in the join
+    return labelled.join(led, "key").where("label != _label").select(
+        F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")
     ).distinct()
-    return work.save(found.join(pairs, ["a", "b"], "left_anti"), "across")
+
+
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The labelled shingles of each sequence, a row each."""
+    for batch in batches:
+        for node, sequence in zip(batch.column("node").to_pylist(), batch.column("sequence")):
+            own = sequence.values.to_numpy().view(np.uint32).astype(np.uint64)
+            tokens = label_occurrences(own, np.zeros(len(own), np.int64))
+            yield pa.RecordBatch.from_pydict({
+                "node": pa.array([node] * len(own), pa.int64()),
+                "size": pa.array([len(own)] * len(own), pa.int64()), "token": signed(tokens),
+            })
+
+
+def _rest_pairs(mixed: DataFrame, sequences: DataFrame, similarity: float, work: Workspace) -> DataFrame:
+    """(`a`, `b`): all nodes of mixed buckets and different classes that may reach the similarity.
+
+    With shingles in one order, rare ones first, the first that two texts share leaves room for
+    enough others in both. Prefixes that end where that room does are joined by shingle; what
+    belongs to a shingle's most common class isn't joined with itself.
+    """
+    nodes = work.save(mixed.select("node", "label").distinct(), "mixed-nodes")
+    tokens = work.save(
+        sequences.join(nodes, "node", "left_semi").mapInArrow(_tokens, "node long, size long, token long"),
+        "tokens",
+    )
+    common = work.save(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "common")
+    order = Window.partitionBy("node").orderBy("df", "token")
+    placed = (
+        tokens.join(common, "token").withColumn("_nth", F.row_number().over(order))
+        .withColumn("_own", F.count("*").over(Window.partitionBy("node")))
+        # Shingles of one node alone come first: they only take places.
+        .withColumn("left", F.col("_own") - F.col("_nth") + 1)
+        .where(F.col("left") >= F.ceil(F.col("size") * similarity - 1e-9))
+        .select("token", "node", "size", "left").join(nodes, "node")
+    )
+    placed = work.save(placed, "placed")
+    classes = work.save(placed.groupBy("token", "label").agg(F.count("*").alias("n")), "token-classes")
+    most = work.save(
+        classes.groupBy("token").agg(F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("k"))
+        .where("k > 1").select("token", F.col("most.label").alias("most")),
+        "most",
+    )
+    here = work.save(placed.join(most, "token"), "here")
+    odd = here.where("label != most").select(
+        "token", *(F.col(c).alias(f"_{c}") for c in ("node", "size", "left", "label"))
+    )
+    need = F.ceil((F.col("size") + F.col("_size")) * similarity / (1 + similarity) - 1e-9)
+    room = F.least("left", "_left") >= need
+    return here.join(
+        odd, (here["token"] == odd["token"]) & (F.col("label") != F.col("_label")) & room
+    ).select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
 
 
 def _classes(signed_rows, nodes, labels, work) -> DataFrame:
