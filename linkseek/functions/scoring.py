@@ -29,3 +29,14 @@ def total_score(pr: Column, weight: Column) -> Column:
 
 def order_key(value: Column, n_docs: Column) -> Column:
     return F.round(value * n_docs, ORDER_PLACES)
+
+
+def score_order(pr: Column, tf: Column, df: Column, n_docs: Column) -> Column:
+    """Orders one query's results as their scores do. The query's own factor, however small, is
+    left out; if all documents have the words, it is zero and so are all scores."""
+    return F.when(df < n_docs, order_key(pr, n_docs) * tf * tf).otherwise(F.lit(0.0))
+
+
+def rank_order(n_docs) -> list[Column]:
+    """Best rank first, then title."""
+    return [order_key(F.col("pr"), F.lit(n_docs)).desc(), F.col("title").asc()]

@@ -89,7 +89,8 @@ def latest_documents(docs: DataFrame, work: Workspace) -> DataFrame:
     """
     keys = work.save(docs.select("title", "seq"), "titles")
     last = keys.groupBy("title").agg(F.max("seq").alias("last"), F.count("*").alias("n"))
-    stale = keys.join(last.where("n > 1"), "title").where("seq < last").select("seq")
+    last = work.save(last.where("n > 1"), "rewritten")
+    stale = keys.join(last, "title").where("seq < last").select("seq")
     stale = work.save(stale, "stale")
     return docs.join(stale, "seq", "left_anti").select(
         "title", T.decode_entities(F.col("raw_text")).alias("text")

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from linkseek.operators.ids import number_rows
 from linkseek.workspace import Workspace
 
 # Most edge rows that share one join key in the rank loop, and most links in one array row.
@@ -44,7 +45,7 @@ def out_degrees(edges: DataFrame) -> DataFrame:
 
 def dead_ends(pages: DataFrame, edges: DataFrame) -> DataFrame:
     """Pages without a surviving link."""
-    linking = edges.select(F.col("src_title").alias("title"))
+    linking = edges.select(F.col("src_title").alias("title")).distinct()
     return pages.select("title").distinct().join(linking, "title", "left_anti")
 
 
@@ -53,20 +54,15 @@ def adjacency(
 ) -> DataFrame:
     """Array view: every page with its sorted (`dst_title`, `mult`) links.
 
-    A page with more than `max_rows` targets is spread over several rows numbered by `part`,
-    so no task ever builds one page's whole list. Such pages are saved apart: there is at
-    most one per `max_rows` edges.
+    A page's links are numbered in the order of their targets and cut into rows of `max_rows`,
+    numbered by `part`: all links of a part come before those of the next. No task ever builds
+    a longer list, and the numbers come from one distributed sort.
     """
-    targets = edges.groupBy("src_title").agg(F.count("*").alias("n_targets"))
-    many = work.save(
-        targets.where(F.col("n_targets") > max_rows).select(
-            "src_title", F.ceil(F.col("n_targets") / max_rows).cast("int").alias("n_parts")
-        ),
-        "long-lists",
-    )
-    part = F.coalesce(F.expr("pmod(xxhash64(dst_title), n_parts)").cast("int"), F.lit(0))
+    numbered = number_rows(edges, [F.col("src_title"), F.col("dst_title")], work, "_place")
+    first = work.save(numbered.groupBy("src_title").agg(F.min("_place").alias("_first")), "first-links")
+    part = F.floor((F.col("_place") - F.col("_first")) / max_rows).cast("int")
     lists = (
-        edges.join(many, "src_title", "left")
+        numbered.join(first, "src_title")
         .select(F.col("src_title").alias("title"), part.alias("part"), "dst_title", "mult")
         .repartition("title", "part")
         .groupBy("title", "part")

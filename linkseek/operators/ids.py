@@ -7,7 +7,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkseek.operators.pagerank import rank_order
+from linkseek.functions.scoring import rank_order
 from linkseek.workspace import Workspace
 
 # monotonically_increasing_id puts the partition above these bits and the row below.

@@ -31,8 +31,9 @@ def term_frequencies(
 ) -> DataFrame:
     """(`word`, `doc_id`, `tf`) of `docs(title, raw_text)`; repeated titles add up.
 
-    The exchange hashes word and document together, after counting inside each task, so
-    neither a frequent word nor a repeated title piles up in one place.
+    The exchange hashes word and document together, after counting inside each task, so a
+    frequent word doesn't pile up. Ids are joined by title; Spark splits that join for a title with very
+    many lines, as both of its sides are plain tables.
     """
     word = F.lower("word") if lower else F.col("word")
     found = with_doc_ids(docs.select("title", "raw_text"), ids, strict).select(
@@ -46,14 +47,14 @@ def document_frequencies(tf: DataFrame) -> DataFrame:
 
 
 def postings(tf: DataFrame, block: int = POSTING_BLOCK) -> DataFrame:
-    """(`word`, `block`, `df`, `postings`): entries in id order, `df` of the row's own block.
+    """(`word`, `block`, `n`, `postings`): entries in id order, `n` of them in the row's block.
 
     Ids are dense, so a block holds at most `block` entries however frequent the word; the
     word's list is its rows in block order.
     """
     entry = F.struct("doc_id", "tf")
     return tf.groupBy("word", F.floor(F.col("doc_id") / block).alias("block")).agg(
-        F.count("*").alias("df"), F.sort_array(F.collect_list(entry)).alias("postings")
+        F.count("*").alias("n"), F.sort_array(F.collect_list(entry)).alias("postings")
     )
 
 

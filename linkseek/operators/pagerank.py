@@ -8,7 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from linkseek.functions.scoring import DAMPING, TOLERANCE, order_key, teleport
+from linkseek.functions.scoring import DAMPING, TOLERANCE, teleport
 from linkseek.operators.graph import LinkGraph
 from linkseek.workspace import Workspace
 
@@ -123,8 +123,3 @@ def _edge_partitions(graph: LinkGraph) -> int:
     """Session shuffle partitions, fewer for a small graph, more above 20M edges in each."""
     session = int(graph.edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(2, min(session, graph.n_edges // 200_000 + 1), graph.n_edges // 20_000_000)
-
-
-def rank_order(n_docs) -> list[Column]:
-    """Best rank first, then title."""
-    return [order_key(F.col("pr"), F.lit(n_docs)).desc(), F.col("title").asc()]

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from linkseek.functions import scoring
-from linkseek.operators.tables import MissingKeys, literal_keys, lookup_many
+from linkseek.operators.tables import MissingKeys, literal_keys
 from linkseek.workspace import Workspace
 
 # Fixed value: results per query.
@@ -16,8 +16,8 @@ TOP_K = 10
 # Checks broadcast to the word lists; more are joined by exchange.
 MAX_BROADCAST_CHECKS = 200_000
 
-# Keys over which one query's results are spread while they are scored.
-SCORE_SALTS = 16
+# Results of one query that share one key while they are scored.
+SALT_ROWS = 1_000_000
 
 
 def query_words(queries: DataFrame) -> DataFrame:
@@ -40,23 +40,41 @@ def word_lists(tf: DataFrame, words: DataFrame) -> DataFrame:
 
 def missing_words(queries: DataFrame, tf: DataFrame) -> DataFrame:
     """(`query_id`, `word`) of words that are not in the index."""
-    wanted = wanted_words(queries)
-    return wanted.join(word_lists(tf, wanted).select("word").distinct(), "word", "left_anti").select(
-        "query_id", "word"
+    words = wanted_words(queries)
+    absent = words.select("word").distinct().join(
+        word_lists(tf, words).select("word").distinct(), "word", "left_anti"
     )
+    return words.join(absent, "word", "left_semi").select("query_id", "word")
 
 
-def intersect_postings(queries: DataFrame, tf: DataFrame, work: Workspace) -> DataFrame:
+def intersect_postings(
+    queries: DataFrame, tf: DataFrame, work: Workspace, df: DataFrame | None = None
+) -> DataFrame:
     """(`query_id`, `doc_id`, `tf`): documents with all words; `tf` is the least of them.
 
-    Each query starts from its rarest word, and every candidate is checked against all its
+    Queries of the same words are answered once. `df(word, df)`, if there is one, saves counting
+    the words' lists. Each query starts from its rarest word, and every candidate is checked against all its
     words by (word, document). Rows moved follow the rarest words, and a frequent word
     spreads by document. The per-query tables are saved, so Spark knows their size and
     broadcasts them only if they are small.
     """
-    wanted = work.save(wanted_words(queries), "wanted")
+    words = F.array_sort(F.array_distinct("words"))
+    asked = work.save(queries.select(F.col("query_id").alias("_asked"), words.alias("words")), "asked")
+    sets = work.save(asked.groupBy("words").agg(F.min("_asked").alias("query_id")), "word-sets")
+    found = _intersected(sets, tf, work, df)
+    return (
+        work.save(found, "intersected")
+        .join(work.save(asked.join(sets, "words").select("_asked", "query_id"), "askers"), "query_id")
+        .select(F.col("_asked").alias("query_id"), "doc_id", "tf")
+    )
+
+
+def _intersected(sets: DataFrame, tf: DataFrame, work: Workspace, df: DataFrame | None) -> DataFrame:
+    wanted = work.save(wanted_words(sets), "wanted")
     lists = word_lists(tf, wanted)
-    found = wanted.join(lists.groupBy("word").agg(F.count("*").alias("df")), "word")
+    if df is None:
+        df = lists.groupBy("word").agg(F.count("*").alias("df"))
+    found = wanted.join(work.save(word_lists(df, wanted), "frequencies"), "word")
     sizes = wanted.groupBy("query_id").agg(F.count("*").alias("n_words"))
     rarest = work.save(
         found.groupBy("query_id")
@@ -84,9 +102,11 @@ def _check_rows(rarest: DataFrame) -> int:
     return rarest.agg(F.coalesce(F.sum(F.col("df") * F.col("n_words")), F.lit(0))).first()[0]
 
 
-def removed_documents(first: DataFrame, other: DataFrame) -> DataFrame:
-    """Documents of one list that are not in another."""
-    return first.select("doc_id").join(other.select("doc_id"), "doc_id", "left_anti")
+def removed_documents(
+    first: DataFrame, other: DataFrame, by: tuple[str, ...] | list[str] = ("doc_id",)
+) -> DataFrame:
+    """Documents of one list, or of each query's, that are not in another."""
+    return first.select(*by).join(other.select(*by).distinct(), list(by), "left_anti")
 
 
 def score(matches: DataFrame, ranks: DataFrame, n_docs: int, work: Workspace) -> DataFrame:
@@ -96,13 +116,16 @@ def score(matches: DataFrame, ranks: DataFrame, n_docs: int, work: Workspace) ->
     broadcasting size that join goes by query and salt, so a query with very many results
     is spread out and reaches the ranking as the best few of each task.
     """
-    df = work.save(matches.groupBy("query_id").agg(F.count("*").alias("df")), "result-sizes")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SCORE_SALTS - 1)))
+    df = matches.groupBy("query_id").agg(F.count("*").alias("df"))
+    # Over as many keys as the largest result needs; small tables are broadcast anyway.
+    df = work.save(df, "result-sizes")
+    salts = -(-(df.agg(F.max("df")).first()[0] or 1) // SALT_ROWS)
+    salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     weight = scoring.tfidf(F.col("tf"), F.lit(float(n_docs)), F.col("df"))
     return (
         matches.join(ranks.select("doc_id", "title", "pr"), "doc_id")
-        .withColumn("salt", F.pmod("doc_id", F.lit(SCORE_SALTS)).cast("int"))
-        .join(df.withColumn("salt", salts), ["query_id", "salt"])
+        .withColumn("salt", F.pmod("doc_id", F.lit(salts)).cast("int"))
+        .join(df.withColumn("salt", salt), ["query_id", "salt"])
         .withColumn("tfidf", weight)
         .withColumn("score", scoring.total_score(F.col("pr"), F.col("tfidf")))
     )
@@ -113,9 +136,8 @@ def top_results(scored: DataFrame, n_docs: int, k: int = TOP_K) -> DataFrame:
 
     The group limit runs inside each task first.
     """
-    best = W.partitionBy("query_id").orderBy(
-        scoring.order_key(F.col("score"), F.lit(n_docs)).desc(), F.col("title")
-    )
+    order = scoring.score_order(F.col("pr"), F.col("tf"), F.col("df"), F.lit(n_docs))
+    best = W.partitionBy("query_id").orderBy(order.desc(), F.col("title"))
     return (
         scored.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
@@ -131,6 +153,7 @@ def search(
     work: Workspace,
     k: int = TOP_K,
     strict: bool = False,
+    df: DataFrame | None = None,
 ) -> DataFrame:
     """Ranked results of `queries(query_id, words)`; `strict` raises on an unknown word.
 
@@ -140,10 +163,20 @@ def search(
         absent = missing_words(queries, tf).first()
         if absent is not None:
             raise MissingKeys(absent["word"])
-    matches = work.save(intersect_postings(queries, tf, work), "matches")
+    matches = work.save(intersect_postings(queries, tf, work, df), "matches")
     return top_results(score(matches, ranks, n_docs, work), n_docs, k)
 
 
 def with_texts(results: DataFrame, documents: DataFrame) -> DataFrame:
-    """Texts of the results only; `results` should be a saved table, as it is read twice."""
-    return results.join(lookup_many(documents, results, "title", "text"), "title")
+    """Texts of the results only; a result without a stored text raises.
+
+    `results` should be a saved table: it is read twice, and its size decides how it is joined.
+    """
+    few = literal_keys(results, "title")
+    texts = documents.select("title", "text")
+    if few is not None:
+        texts = texts.where(F.col("title").isin(few))
+    missing = F.raise_error(F.concat(F.lit("no stored text for title "), F.col("title")))
+    return results.join(texts, "title", "left").withColumn(
+        "text", F.coalesce("text", missing.cast("string"))
+    )

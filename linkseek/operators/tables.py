@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -23,14 +25,18 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def replace_table(df: DataFrame, name: str, *key: str, buckets: int | None = None) -> DataFrame:
+def replace_table(
+    df: DataFrame, name: str, *key: str, buckets: int | None = None, ordered: bool = False
+) -> DataFrame:
     """Write `df` as table `name`, sorted by `key` so that lookups read few files.
 
     With `buckets`, for unique keys, rows are hashed and a lookup opens only its keys'
     buckets. Without, rows are split by range: a frequent first key spans several files when
-    a finer key follows it.
+    a finer key follows it. `ordered` rows lie that way already and are only written.
     """
-    if buckets:
+    if ordered:
+        writer = df.write
+    elif buckets:
         writer = df.repartition(buckets, *key).write.bucketBy(buckets, *key).sortBy(*key)
     else:
         writer = df.repartitionByRange(*key).sortWithinPartitions(*key).write
@@ -57,17 +63,38 @@ def last_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def put_rows(base: DataFrame, changes: DataFrame, key: str, order: str) -> DataFrame:
-    """`base` with `changes` written over it; the last write of a key wins."""
+    """`base` with `changes` written over it; the last write of a key wins.
+
+    Only the changes are sorted out by key; rows of `base` without a change stay as they are.
+    """
     columns = [c for c in changes.columns if c != order]
     check_columns(base, changes.select(columns))
-    stored = base.withColumn("_batch", F.lit(0)).withColumn("_order", F.lit(None))
-    put = changes.withColumn("_batch", F.lit(1)).withColumnRenamed(order, "_order")
-    both = stored.unionByName(put).withColumn("_seq", F.struct("_batch", "_order"))
-    return last_per_key(both, key, "_seq").select(base.columns)
+    put = last_per_key(changes, key, order).select(base.columns)
+    return delete_rows(base, put, key).unionByName(put)
 
 
 def delete_rows(base: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    return base.join(keys.select(key), key, "left_anti")
+    return base.join(keys.select(key).distinct(), key, "left_anti")
+
+
+def switch_table(df: DataFrame, name: str) -> DataFrame:
+    """Store `df`, which may read table `name`, as its next version, and then take its place."""
+    spark = df.sparkSession
+    version = f"{name}_{uuid.uuid4().hex}"
+    df.write.format("parquet").saveAsTable(version)
+    drop_table(spark, name)
+    spark.sql(f"ALTER TABLE {version} RENAME TO {name}")
+    return spark.table(name)
+
+
+def put_stored(spark: SparkSession, name: str, changes: DataFrame, key: str, order: str) -> DataFrame:
+    """Write rows over those of a stored table."""
+    return switch_table(put_rows(spark.table(name), changes, key, order), name)
+
+
+def delete_stored(spark: SparkSession, name: str, keys: DataFrame, key: str) -> DataFrame:
+    """Delete rows of a stored table by key."""
+    return switch_table(delete_rows(spark.table(name), keys, key), name)
 
 
 def lookup(table: DataFrame, key: str, value, column: str) -> DataFrame:
@@ -99,7 +126,7 @@ def lookup_many(table: DataFrame, keys: DataFrame, key: str, *columns: str) -> D
 
 
 def missing_keys(table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    return keys.select(key).distinct().join(table.select(key), key, "left_anti")
+    return keys.select(key).distinct().join(table.select(key).distinct(), key, "left_anti")
 
 
 def require_keys(table: DataFrame, keys: DataFrame, key: str) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,12 +35,17 @@ class RankedCorpus:
 
 @dataclass(frozen=True)
 class SearchTables:
-    """What a query needs: ranks, tf(word, doc_id, tf), documents(title, text)."""
+    """What a query needs: ranks, tf(word, doc_id, tf), documents(title, text), df(word, df).
+
+    `bad(seq, value, reason)` are the lines that a permissive build left out.
+    """
 
     ranks: DataFrame
     tf: DataFrame
     documents: DataFrame
     n_docs: int
+    df: DataFrame
+    bad: DataFrame | None = None
 
 
 def rank_links(pages: DataFrame, links: DataFrame, work: Workspace) -> RankedCorpus:
@@ -64,14 +69,22 @@ def index_corpus(docs: DataFrame, ranked: RankedCorpus, work: Workspace) -> Sear
     tf = index_op.term_frequencies(docs, ranked.ranks)
     tf = tf.repartitionByRange("word", "doc_id").sortWithinPartitions("word", "doc_id")
     texts = docs_op.latest_documents(docs, work)
-    return SearchTables(
-        ranked.ranks, work.save(tf, "tf"), work.save(texts, "documents"), ranked.n_docs
-    )
-
-
-def build(lines: DataFrame, work: Workspace) -> tuple[RankedCorpus, SearchTables]:
+    tf = work.save(tf, "tf")
+    df = work.save(index_op.document_frequencies(tf), "df")
+    return SearchTables(ranked.ranks, tf, work.save(texts, "documents"), ranked.n_docs, df)
+
+
+def build(
+    lines: DataFrame, work: Workspace, mode: str = "strict"
+) -> tuple[RankedCorpus, SearchTables]:
+    """Ranks and search tables of corpus lines. A malformed line raises, or in "permissive" mode
+    goes to a table of bad lines."""
+    bad = None
+    if mode == "permissive":
+        bad = work.save(docs_op.bad_lines(lines), "bad-lines")
+        lines = docs_op.good_lines(lines)
     ranked = rank_corpus(lines, work)
-    return ranked, index_corpus(docs_op.documents(lines), ranked, work)
+    return ranked, replace(index_corpus(docs_op.documents(lines), ranked, work), bad=bad)
 
 
 def answer(
@@ -79,7 +92,7 @@ def answer(
 ) -> DataFrame:
     """Top results with their snippets; texts are fetched for the results alone."""
     asked = work.save(queries.select("query_id", "words"), "queries")
-    found = search(asked, tables.tf, tables.ranks, tables.n_docs, work, k, strict)
+    found = search(asked, tables.tf, tables.ranks, tables.n_docs, work, k, strict, tables.df)
     results = work.save(found, "results")
     return snippets(with_texts(results, tables.documents), asked)
 
@@ -108,7 +121,8 @@ def publish(tables: SearchTables, database: str, buckets: int | None = None) ->
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     replace_table(tables.ranks, f"{database}.rank_table", "doc_id", buckets=buckets)
     replace_table(tables.documents, f"{database}.document_table", "title", buckets=buckets)
-    replace_table(tables.tf, f"{database}.index_table", "word", "doc_id")
+    replace_table(tables.tf, f"{database}.index_table", "word", "doc_id", ordered=True)
+    replace_table(tables.df, f"{database}.frequency_table", "word")
     replace_table(index_op.postings(tables.tf), f"{database}.posting_table", "word", "block")
     build_stats(tables).write.mode("overwrite").format("parquet").saveAsTable(
         f"{database}.build_stats"
@@ -123,4 +137,5 @@ def published(spark: SparkSession, database: str) -> SearchTables:
         spark.table(f"{database}.index_table"),
         spark.table(f"{database}.document_table"),
         stats.first()["n"],
+        spark.table(f"{database}.frequency_table"),
     )

@@ -5,6 +5,10 @@ from __future__ import annotations
 from linkseek.plans.queries import WORD_LISTS
 
 
+# Patterns, entities, names and the report's format are those of functions and
+# operators.
+
+
 def _decode(text: str) -> str:
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"), ("&quot;", '"'),
                          ("&apos;", "''")):
@@ -174,7 +178,8 @@ scored AS (
 results AS MATERIALIZED (
   SELECT query_id, title, pr, tfidf, pr * tfidf * tfidf AS score,
     row_number() OVER (PARTITION BY query_id
-      ORDER BY round(pr * tfidf * tfidf * n, 9) DESC, title) AS rank
+      ORDER BY CASE WHEN df < n THEN round(log10(pr) + 2 * log10(tf), 9) ELSE 0 END DESC, title
+    ) AS rank
   FROM scored QUALIFY rank <= 10)"""
 
 _SCORES = """
@@ -210,10 +215,14 @@ _FOUND = (
     f"{_PAGE_TF}, {_WORD_LISTS},{_MATCHES},{_RESULTS.format(ranks='rank_table')},{_SNIPPETS}"
 )
 
-_POSTINGS = """
-SELECT word, doc_id // 65536 AS block, count(*) AS df,
+# The text file, of those in the order of their paths, that holds a line.
+_FILE = "CASE WHEN seq % 7 = 0 THEN 0 WHEN seq % 7 IN (1, 2) THEN 1 ELSE 2 END"
+
+_POSTING_ROWS = """
+SELECT word, doc_id // {block} AS block, count(*) AS n,
   string_agg(doc_id || ' ' || tf, ';' ORDER BY doc_id) AS entries
 FROM tf GROUP BY 1, 2"""
+_POSTINGS = _POSTING_ROWS.format(block=65536)
 
 
 def _pages(select: str) -> str:
@@ -263,6 +272,12 @@ WHERE {_TITLE} = '' OR ({_BODY} = '' AND NOT regexp_matches(value, '<text.*?/>')
         "coalesce(string_agg(dst || '*' || mult, ' ' ORDER BY dst), '') AS links "
         "FROM nodes LEFT JOIN edges ON src = title GROUP BY 1"
     ),
+    "adjacency_small_parts": _graph(
+        "SELECT title, coalesce(part, 0) AS part, "
+        "coalesce(string_agg(dst || '*' || mult, ' ' ORDER BY dst), '') AS links "
+        "FROM nodes LEFT JOIN (SELECT *, (row_number() OVER (PARTITION BY src ORDER BY dst) - 1) // 2 "
+        "AS part FROM edges) ON src = title GROUP BY 1, 2"
+    ),
     "dead_ends": _graph("SELECT title FROM dead"),
     "entity_edges": f"WITH {_ENTITY_GRAPH},{_EDGES} "
                     "SELECT src AS src_title, dst AS dst_title, mult FROM edges",
@@ -286,6 +301,10 @@ FROM state WHERE turn > 0""",
     "term_frequency": _doc_tf("SELECT word, doc_id, tf FROM tf"),
     "doc_frequency": _doc_tf("SELECT word, count(*) AS df FROM tf GROUP BY 1"),
     "postings": _doc_tf(_POSTINGS),
+    "postings_small_blocks": _doc_tf(
+        f"SELECT p.*, d.df FROM ({_POSTING_ROWS.format(block=64)}) p "
+        "JOIN (SELECT word, count(*) AS df FROM tf GROUP BY 1) d ON d.word = p.word"
+    ),
     "postings_text": _doc_tf(
         f"SELECT word || chr(9) || entries AS value FROM ({_POSTINGS})"
     ),
@@ -313,10 +332,10 @@ UNION ALL SELECT 'stored_documents', count(*) FROM nodes""",
     "intersection_size": f"WITH {_DOC_TF}, {_PASSAGES},{_MATCHES} "
                          "SELECT query_id, count(*) AS df, max(tf) AS max_tf "
                          "FROM matches GROUP BY 1",
-    "removed_documents": _doc_tf(
-        "SELECT doc_id FROM tf WHERE word = 'the' "
-        "AND doc_id NOT IN (SELECT doc_id FROM tf WHERE word = 'of')"
-    ),
+    "removed_documents": f"""WITH {_DOC_TF}, {_WORD_LISTS}
+SELECT query_id, doc_id FROM queries JOIN tf ON word = words[1]
+WHERE len(words) = 2
+  AND NOT EXISTS (SELECT 1 FROM tf o WHERE o.word = words[2] AND o.doc_id = tf.doc_id)""",
     "search_topk": f"{_PAGE_TF}, {_WORD_LISTS},{_MATCHES},"
                    f"{_RESULTS.format(ranks='rank_table')} {_SCORES}",
     "search_batch": f"WITH {_DOC_TF}, {_PASSAGES},{_MATCHES},"
@@ -354,5 +373,30 @@ QUALIFY row_number() OVER (PARTITION BY key ORDER BY batch DESC, seq DESC) = 1""
                     "WHERE c_custkey NOT IN (SELECT o_custkey FROM orders "
                     "WHERE o_orderpriority = '1-URGENT')",
     "table_scan": "SELECT doc_id, source FROM documents ORDER BY doc_id",
-    "input_file_ids": "SELECT CAST(1 AS BIGINT) AS file_id, 'documents.parquet' AS file_name",
+    "input_file_ids": "SELECT row_number() OVER (ORDER BY file) AS file_id, file, n_rows FROM ("
+                      + " UNION ALL ".join(
+                          f"SELECT '{name}.parquet' AS file, count(*) AS n_rows FROM {name}"
+                          for name in ("documents", "pages", "orders", "lineitem", "customer", "part",
+                                       "supplier")) + ")",
+    "table_create_drop": "SELECT count(*) AS n_rows, true AS filled, true AS created, "
+                         "true AS dropped FROM customer",
+    "table_delete_stored": "SELECT c_custkey AS key, c_mktsegment AS value FROM customer "
+                           "WHERE c_custkey NOT IN (SELECT o_custkey FROM orders "
+                           "WHERE o_orderpriority = '1-URGENT')",
+    "corpus_lines": _pages(f"SELECT row_number() OVER (ORDER BY {_FILE}, seq) - 1 AS seq, value "
+                           "FROM page_lines"),
+    "lines_document_table": _pages(
+        f"SELECT title, {_decode('raw_text')} AS text FROM page_docs QUALIFY row_number() OVER "
+        f"(PARTITION BY title ORDER BY {_FILE} DESC, seq DESC) = 1"
+    ),
+    "id_lines": f"{_PAGE_RANKS} SELECT doc_id, title FROM rank_table",
+    "bad_rank_lines": _pages(
+        "SELECT title || chr(9) || 'x' || chr(9) || CAST(seq AS DOUBLE) AS value, count(*) AS n "
+        "FROM page_docs WHERE seq % 3 = 0 GROUP BY 1"
+    ),
 }
+
+# Other ways to the same rows.
+for _name_, _same in (("lines_search", "search_topk"), ("publish_lookup", "search_topk"),
+                      ("table_put_stored", "table_upsert")):
+    ORACLE[_name_] = ORACLE[_same]

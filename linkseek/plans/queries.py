@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,11 +46,11 @@ def registered(query: Query) -> Query:
 
 
 def _pages(spark: SparkSession, folder: str) -> DataFrame:
-    return A.page_lines(A.spread(A.table(spark, folder, "pages")))
+    return A.page_lines(A.table(spark, folder, "pages"))
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    return A.document_corpus(A.spread(A.table(spark, folder, "documents")))
+    return A.document_corpus(A.table(spark, folder, "documents"))
 
 
 def _page_graph(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -60,8 +61,7 @@ def _page_graph(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]
 
 def _page_edges(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     pages, links = _page_graph(spark, folder)
-    distinct = pages.distinct()
-    return distinct, G.link_edges(links, distinct)
+    return pages, G.link_edges(links, pages)
 
 
 def _ranked_pages(spark: SparkSession, folder: str, work: Workspace) -> B.RankedCorpus:
@@ -113,7 +113,7 @@ def corpus_titles(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def corpus_text(spark: SparkSession, folder: str) -> DataFrame:
-    docs = D.documents(A.document_lines(A.spread(A.table(spark, folder, "documents"))))
+    docs = D.documents(A.document_lines(A.table(spark, folder, "documents")))
     return docs.select("seq", "title", T.decode_entities(F.col("raw_text")).alias("text"))
 
 
@@ -125,7 +125,7 @@ def page_text(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def corpus_stats(spark: SparkSession, folder: str) -> DataFrame:
     pages = D.documents(_pages(spark, folder)).withColumn("corpus", F.lit("pages"))
-    docs = D.documents(A.document_lines(A.spread(A.table(spark, folder, "documents"))))
+    docs = D.documents(A.document_lines(A.table(spark, folder, "documents")))
     return (
         pages.unionByName(docs.withColumn("corpus", F.lit("documents")))
         .groupBy("corpus")
@@ -183,8 +183,18 @@ def out_degree(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def adjacency(spark: SparkSession, folder: str) -> DataFrame:
+    return _adjacency(G.adjacency(*_page_edges(spark, folder), Workspace(spark)))
+
+
+@registered
+def adjacency_small_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """As `adjacency` in rows of two links."""
+    return _adjacency(G.adjacency(*_page_edges(spark, folder), Workspace(spark), max_rows=2))
+
+
+def _adjacency(lists: DataFrame) -> DataFrame:
     pairs = F.transform("links", lambda e: F.concat_ws("*", e["dst_title"], e["mult"]))
-    return G.adjacency(*_page_edges(spark, folder), Workspace(spark)).select(
+    return lists.select(
         "title", F.col("part").cast("bigint").alias("part"),
         F.array_join(pairs, " ").alias("links"),
     )
@@ -282,6 +292,15 @@ def postings(spark: SparkSession, folder: str) -> DataFrame:
     return L.posting_text(I.postings(_document_tf(spark, folder)))
 
 
+@registered
+def postings_small_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """As `postings` with rows of 64 document ids, and each word's document frequency."""
+    work = Workspace(spark)
+    tf = work.save(_document_tf(spark, folder), "tf")
+    df = work.save(I.document_frequencies(tf), "df")
+    return L.posting_text(I.postings(tf, block=64)).join(df, "word")
+
+
 @registered
 def postings_text(spark: SparkSession, folder: str) -> DataFrame:
     return L.posting_lines(I.postings(_document_tf(spark, folder)))
@@ -340,9 +359,15 @@ def intersection_size(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def removed_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents with the first word of a list but not the second."""
-    tf = _document_tf(spark, folder)
-    return S.removed_documents(tf.where("word = 'the'"), tf.where("word = 'of'"))
+    """For each word list of two words, documents with the first but not the second."""
+    work = Workspace(spark)
+    tf = work.save(_document_tf(spark, folder), "tf")
+    pairs = _word_list_queries(spark).where("size(words) = 2")
+    found = [
+        S.intersect_postings(pairs.select("query_id", F.slice("words", i, 1).alias("words")), tf, work)
+        for i in (1, 2)
+    ]
+    return S.removed_documents(*(x.select("query_id", "doc_id") for x in found), by=["query_id", "doc_id"])
 
 
 @registered
@@ -445,5 +470,133 @@ def table_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def input_file_ids(spark: SparkSession, folder: str) -> DataFrame:
-    files = spark.read.parquet(f"{folder}/documents.parquet")
-    return L.input_files(files, Workspace(spark))
+    """Files of all tables, by the table's name and file's place in the folder."""
+    names = ["documents", "pages", "orders", "lineitem", "customer", "part", "supplier"]
+    files = L.input_files([A.table(spark, folder, name) for name in names], Workspace(spark))
+    return files.select("file_id", F.regexp_extract("file_path", r"([^/]+\.parquet.*)$", 1).alias("file"), "n_rows")
+
+
+def _stored(spark: SparkSession, folder: str, name: str) -> str:
+    """A new table of customers (`key`, `value`) to write to."""
+    K.create_table(spark, name, "key BIGINT, value STRING")
+    base = A.table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("value")
+    )
+    return K.switch_table(spark.table(name).unionByName(base), name)
+
+
+def _dropped(spark: SparkSession, found: DataFrame, name: str) -> DataFrame:
+    found = Workspace(spark).save(found, "found")
+    K.drop_table(spark, name)
+    return found
+
+
+def _new_name() -> str:
+    return f"stored_{uuid.uuid4().hex}"
+
+
+@registered
+def table_put_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """As `table_upsert`, on a stored table."""
+    name = _new_name()
+    _stored(spark, folder, name)
+    changes = A.table(spark, folder, "orders").select(
+        F.col("o_custkey").alias("key"), F.col("o_orderpriority").alias("value"),
+        F.col("o_orderkey").alias("seq"),
+    )
+    return _dropped(spark, K.put_stored(spark, name, changes, "key", "seq"), name)
+
+
+@registered
+def table_delete_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """As `table_delete`, on a stored table."""
+    name = _new_name()
+    _stored(spark, folder, name)
+    keys = _urgent_customers(spark, folder).withColumnRenamed("c_custkey", "key")
+    return _dropped(spark, K.delete_stored(spark, name, keys, "key"), name)
+
+
+@registered
+def table_create_drop(spark: SparkSession, folder: str) -> DataFrame:
+    """A table is there once created and filled, and gone once dropped."""
+    name = _new_name()
+    rows = _stored(spark, folder, name).count()
+    there = spark.catalog.tableExists(name)
+    K.drop_table(spark, name)
+    gone = not spark.catalog.tableExists(name)
+    counted = A.table(spark, folder, "customer").agg(F.count("*").alias("n_rows"))
+    return counted.select("n_rows", (F.col("n_rows") == rows).alias("filled"),
+                          F.lit(there).alias("created"), F.lit(gone).alias("dropped"))
+
+
+def _text_files(spark: SparkSession, lines: DataFrame, work: Workspace) -> str:
+    """Lines in files of unequal size, of which Spark reads the larger ones first."""
+    path = work.fresh("corpus")
+    for part, where in enumerate(("seq % 7 = 0", "seq % 7 IN (1, 2)", "seq % 7 > 2")):
+        L.write_lines(lines.where(where).orderBy("seq"), f"{path}/part={part}")
+    return path
+
+
+@registered
+def corpus_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Page lines written to text files and read back in the files' order."""
+    work = Workspace(spark)
+    read = L.read_lines(spark, _text_files(spark, _pages(spark, folder), work), work)
+    return read.select("seq", "value")
+
+
+@registered
+def lines_document_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The last text of each title, by the order of text files that repeat titles."""
+    work = Workspace(spark)
+    read = L.read_lines(spark, _text_files(spark, _pages(spark, folder), work), work)
+    return D.latest_documents(D.documents(read), work)
+
+
+@registered
+def lines_search(spark: SparkSession, folder: str) -> DataFrame:
+    """From text files with broken lines in between to ranked results."""
+    work = Workspace(spark)
+    broken = A.table(spark, folder, "documents").select(
+        F.col("doc_id").alias("seq"), F.translate("text", "\r\n", "  ").alias("value")
+    )
+    path = _text_files(spark, _pages(spark, folder).unionByName(broken), work)
+    tables = B.build(L.read_lines(spark, path, work), work, mode="permissive")[1]
+    return _scores(
+        S.search(_word_list_queries(spark), tables.tf, tables.ranks, tables.n_docs, work, df=tables.df)
+    )
+
+
+@registered
+def id_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The id map written as text among lines without a tab, and read back."""
+    work = Workspace(spark)
+    ranked = _ranked_pages(spark, folder, work)
+    path = work.fresh("id-lines")
+    broken = ranked.ranks.select(F.concat(F.lit("no tab "), "doc_id").alias("value"))
+    L.write_lines(L.id_lines(ranked.ranks).unionByName(broken), path)
+    return L.parse_id_lines(spark.read.text(path))
+
+
+@registered
+def bad_rank_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Rank lines with a second tab among good ones."""
+    titles = D.titles(_pages(spark, folder)).select(
+        F.when(F.col("seq") % 3 == 0, F.concat_ws("\t", "title", F.lit("x"))).otherwise(F.col("title"))
+        .alias("title"), F.col("seq").cast("double").alias("pr"),
+    )
+    return L.bad_rank_lines(L.rank_lines(titles)).groupBy("value").agg(F.count("*").alias("n"))
+
+
+@registered
+def publish_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """Search tables published, read back with their saved size, and searched."""
+    work = Workspace(spark)
+    database = f"published_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    B.publish(_page_tables(spark, folder, work), database)
+    stored = B.published(spark, database)
+    found = B.answer(_word_list_queries(spark), stored, work)
+    found = work.save(_scores(found), "found")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return found

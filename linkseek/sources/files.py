@@ -2,23 +2,49 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from linkseek.operators.ids import number_rows
 from linkseek.workspace import Workspace
 
+# Most lines of a single-file export.
+SINGLE_FILE_ROWS = 100_000
+
 TOO_MANY_TABS = "more than one tab in a rank line"
 
 
 def read_lines(spark: SparkSession, path: str, work: Workspace) -> DataFrame:
-    """Corpus lines of a file or folder as (`value`, `seq`); `seq` follows the files' order.
+    """Corpus lines of a file or folder as (`value`, `seq`), numbered from 0: files in the order of
+    their paths, lines as in the file.
 
-    The numbered lines are saved: a line's number depends on how the files are split, which
-    may change between reads, and the compressed table is cheaper to read again than text.
+    Spark deals a file's splits out by size, so the order comes from each split's file and start.
+    A split's lines are read by one task in order; its first number is the number of lines of
+    all splits before it, from a table with a row per split. Lines are saved with their place.
     """
-    lines = spark.read.text(path).withColumn("seq", F.monotonically_increasing_id())
-    return work.save(lines, "lines")
+    placed = work.save(
+        spark.read.text(path).select(
+            "value",
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_start"),
+            F.monotonically_increasing_id().alias("_place"),
+        ),
+        "lines",
+    )
+    before = W.orderBy("_file", "_start").rowsBetween(W.unboundedPreceding, -1)
+    splits = work.save(
+        placed.groupBy("_file", "_start")
+        .agg(F.min("_place").alias("_least"), F.count("*").alias("_n"))
+        .withColumn("_first", F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_least"))
+        .select("_file", "_start", "_first"),
+        "splits",
+    )
+    return placed.join(splits, ["_file", "_start"]).select(
+        "value", (F.col("_first") + F.col("_place")).alias("seq")
+    )
 
 
 def rank_lines(ranks: DataFrame) -> DataFrame:
@@ -35,6 +61,11 @@ def parse_rank_lines(lines: DataFrame) -> DataFrame:
     )
 
 
+def bad_rank_lines(lines: DataFrame) -> DataFrame:
+    """Lines that `parse_rank_lines` raises at."""
+    return lines.where(F.size(F.split("value", "\t")) > 2).select("value")
+
+
 def id_lines(ids: DataFrame) -> DataFrame:
     """`id \\t title` lines."""
     return ids.select(F.concat_ws("\t", F.col("doc_id").cast("string"), "title").alias("value"))
@@ -65,9 +96,9 @@ def parse_tf_lines(lines: DataFrame) -> DataFrame:
 
 
 def posting_text(postings: DataFrame) -> DataFrame:
-    """(`word`, `block`, `df`, `entries`) with entries as `id tf;id tf`."""
+    """(`word`, `block`, `n`, `entries`) with entries as `id tf;id tf`."""
     pairs = F.transform("postings", lambda p: F.concat_ws(" ", p["doc_id"], p["tf"]))
-    return postings.select("word", "block", "df", F.array_join(pairs, ";").alias("entries"))
+    return postings.select("word", "block", "n", F.array_join(pairs, ";").alias("entries"))
 
 
 def posting_lines(postings: DataFrame) -> DataFrame:
@@ -94,11 +125,17 @@ def write_lines(lines: DataFrame, path: str) -> None:
 
 
 def write_single_file(lines: DataFrame, path: str) -> None:
-    """As `write_lines` but in one file, for small results such as a top-k report."""
+    """As `write_lines` but in one file, for small results such as a top-k report; more than
+    SINGLE_FILE_ROWS lines raise."""
+    if lines.select("value").limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
+        raise ValueError(f"more than {SINGLE_FILE_ROWS} lines for one file")
     lines.select("value").coalesce(1).write.mode("overwrite").text(path)
 
 
-def input_files(df: DataFrame, work: Workspace) -> DataFrame:
-    """(`file_id`, `file_name`) of the files behind `df`, numbered from 1 by name."""
-    names = df.select(F.col("_metadata.file_name").alias("file_name")).distinct()
-    return number_rows(names, [F.col("file_name")], work, "file_id", start=1)
+def input_files(dfs: list[DataFrame], work: Workspace) -> DataFrame:
+    """(`file_id`, `file_path`, `n_rows`) of the files behind tables, numbered from 1 by path."""
+    found = [df.groupBy(F.col("_metadata.file_path").alias("file_path")).count() for df in dfs]
+    files = reduce(DataFrame.unionByName, found).groupBy("file_path").agg(
+        F.sum("count").alias("n_rows")
+    )
+    return number_rows(files, [F.col("file_path")], work, "file_id", start=1)

@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the session names it.
+    """The folder every executor can reach: where checkpoints go, or as the session names it.
 
     A folder of our own is made only for a local master with none configured.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    configured = configured or spark.sparkContext.getCheckpointDir()
+    configured = spark.sparkContext.getCheckpointDir()
+    configured = configured or spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
@@ -25,6 +25,15 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_MADE: list[Workspace] = []
+
+
+def delete_all() -> None:
+    """Delete the tables of all runs so far, once their results are stored elsewhere."""
+    while _MADE:
+        _MADE.pop().delete()
+
+
 class Workspace:
     """One run's tables under the shared folder.
 
@@ -36,6 +45,7 @@ class Workspace:
         self.spark = spark
         self.path = f"{shared_folder(spark)}/linkseek-{uuid.uuid4().hex}"
         self._numbers = itertools.count()
+        _MADE.append(self)
 
     def fresh(self, name: str) -> str:
         """A path not used before, so no earlier result loses the files it reads."""
@@ -44,6 +54,11 @@ class Workspace:
     def save(self, df: DataFrame, name: str) -> DataFrame:
         return self.write(df, self.fresh(name))
 
+    def delete(self) -> None:
+        """Delete this run's tables; nothing may read them any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def write(self, df: DataFrame, path: str) -> DataFrame:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)

@@ -26,7 +26,8 @@ def connect(folder):
 
 
 # Spark type to DuckDB type.
-TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+         "boolean": "BOOLEAN"}
 
 
 def _cell(value):

@@ -69,7 +69,33 @@ def test_posting_lines(spark, tf, block, tmp_path):
 
 
 def test_input_files(spark, work, tmp_path):
-    for name in ("b.txt", "a.txt"):
-        (tmp_path / name).write_text("x\n")
-    got = L.input_files(spark.read.text(str(tmp_path)), work)
-    assert rows(got) == [(1, "a.txt"), (2, "b.txt")]
+    """Files of the same name in two folders are two files."""
+    for name in ("b", "a"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x.txt").write_text("x\n" * (1 + (name == "b")))
+    got = L.input_files([spark.read.text(str(tmp_path / name)) for name in ("b", "a")], work)
+    assert [(i, p.split("/")[-2], n) for i, p, n in rows(got)] == [(1, "a", 1), (2, "b", 2)]
+
+
+def test_lines_follow_the_files(spark, work, tmp_path):
+    """A small file before a large one, which Spark reads first and in several splits."""
+    (tmp_path / "a.txt").write_text("first\n")
+    (tmp_path / "b.txt").write_text("".join(f"line {i:05d}\n" for i in range(5000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        got = {r.seq: r.value for r in L.read_lines(spark, str(tmp_path), work).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == dict(enumerate(["first", *(f"line {i:05d}" for i in range(5000))]))
+
+
+def test_single_file_limit(spark, tmp_path):
+    lines = spark.range(L.SINGLE_FILE_ROWS + 1).selectExpr("cast(id as string) as value")
+    with pytest.raises(ValueError):
+        L.write_single_file(lines, str(tmp_path / "one"))
+
+
+def test_bad_rank_lines(spark):
+    lines = spark.createDataFrame([("a\t1",), ("b\tx\t2",), ("c",)], "value string")
+    assert rows(L.bad_rank_lines(lines)) == [("b\tx\t2",)]

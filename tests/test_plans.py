@@ -69,7 +69,7 @@ def test_positions_move_texts_not_words(docs, ids):
 def test_search_plan(spark, docs, ids, work):
     tf = work.save(I.term_frequencies(docs, ids), "tf")
     query = spark.createDataFrame([(1, ["the", "of"])], "query_id BIGINT, words ARRAY<STRING>")
-    text = plan(S.intersect_postings(query, tf, work))
+    text = plan(S._intersected(query, tf, work, None))
     assert "PushedFilters: [In(word, [of,the])" in text or "In(word, [the,of])" in text
     assert not any(p in text for p in PYTHON) and "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text

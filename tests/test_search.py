@@ -139,3 +139,32 @@ def test_words_of_every_document_score_zero(spark, work):
 def test_query_words_keep_order_and_repeats(queries):
     got = S.query_words(queries).where("query_id = 3").orderBy("ord").collect()
     assert [r.word for r in got] == QUERIES[3]
+
+
+def test_word_of_nearly_every_document(spark, work):
+    """However little a query's words weigh, the best ranked come first."""
+    n = 1000
+    ranks = spark.range(n).selectExpr(
+        "id as doc_id", "format_string('T%05d', id) as title", f"(0.8 + 0.4 * id / {n}) / {n} as pr")
+    tf = ranks.where("doc_id > 0").selectExpr("'w' as word", "doc_id", "1L as tf")
+    queries = spark.createDataFrame([(1, ["w"]), (2, ["w", "w"])], "query_id int, words array<string>")
+    found = S.search(queries, tf, ranks, n, work).collect()
+    assert len(found) == 20
+    assert {(r.rank, r.title) for r in found} == {(i + 1, f"T{n - 1 - i:05d}") for i in range(10)}
+
+
+def test_word_of_every_document(spark, work):
+    """All scores are zero: titles decide."""
+    ranks = spark.range(30).selectExpr(
+        "id as doc_id", "format_string('T%05d', id) as title", "(1 + id) / 465 as pr")
+    tf = ranks.selectExpr("'w' as word", "doc_id", "1L as tf")
+    queries = spark.createDataFrame([(1, ["w"])], "query_id int, words array<string>")
+    found = sorted(S.search(queries, tf, ranks, 30, work).collect(), key=lambda r: r.rank)
+    assert [r.title for r in found] == [f"T{i:05d}" for i in range(10)]
+
+
+def test_missing_text_raises(spark):
+    results = spark.createDataFrame([("A",), ("B",)], "title string")
+    texts = spark.createDataFrame([("A", "x")], "title string, text string")
+    with pytest.raises(Exception, match="no stored text for title B"):
+        S.with_texts(results, texts).collect()

@@ -72,3 +72,14 @@ def rows_of(df):
     return [
         (r["rank"], r.title, r.snippets) for r in df.orderBy("query_id", "rank").collect()
     ]
+
+
+def test_stored_put_and_delete(spark):
+    spark.sql("DROP TABLE IF EXISTS kept")
+    K.create_table(spark, "kept", "key BIGINT, value STRING")
+    one = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (1, "c", 3)], "key long, value string, seq long")
+    assert {tuple(r) for r in K.put_stored(spark, "kept", one, "key", "seq").collect()} == {(1, "c"), (2, "b")}
+    keys = spark.createDataFrame([(1,), (1,), (9,)], "key long")
+    K.delete_stored(spark, "kept", keys, "key")
+    assert [tuple(r) for r in spark.table("kept").collect()] == [(2, "b")]
+    K.drop_table(spark, "kept")
