@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import partial
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -51,7 +53,7 @@ def _signed(h: int) -> int:
 
 
 def _records(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Each selected line with the lines around it up to the next selected ones, and each stretch
+    """Each selected line with the lines around it, up to the next selected ones at least, and each stretch
     from one selected line to the next as a whole."""
     for batch, texts in text_slices(batches):
         rows = []
@@ -62,10 +64,13 @@ def _records(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Recor
             hashes = [xxhash.xxh3_64_intdigest(x) for x in lines]
             picked = fingerprints([len(x.split()) for x in lines], hashes, least)
             known = [_signed(h) for h in hashes]
+            total = list(accumulate((len(x.split()) for x in lines), initial=0))
             for before, at, after in zip([-1, *picked], picked, [*picked[1:], len(lines) - 1]):
-                left = known[max(before, 0) : at][::-1]
+                # At least `least` words each way: less is left of a run past its last shared line.
+                after = max(after, min(bisect_left(total, total[at + 1] + least), len(lines)) - 1)
+                before = min(max(before, 0), max(bisect_right(total, total[at] - least) - 1, 0))
                 key = xxhash.xxh3_128_digest(lines[at])
-                rows.append((doc, text_key, at, key, 0, left, known[at + 1 : after + 1]))
+                rows.append((doc, text_key, at, key, 0, known[before:at][::-1], known[at + 1 : after + 1]))
             for at, after in zip(picked, picked[1:]):
                 key = xxhash.xxh3_128_digest(b"\n".join([b"", *lines[at : after + 1]]))
                 rows.append((doc, text_key, at, key, after - at, [], []))
@@ -117,7 +122,7 @@ def dedup_lines(docs: DataFrame, work: Workspace, least: int = MIN_WORDS) -> Dat
 
     Lines are compared without white space around them; places are ordered by `doc_id` (null
     last), then line. Every selected line is aligned with its first place in all documents and
-    the match extended both ways up to the next selected lines; a stretch between two selected lines
+    the match extended both ways, to the next selected lines and `least` words at least; a stretch between two selected lines
     that was there before as a whole counts too. What earlier places cover is deleted, if `least`
     words of it stand together. Every deleted line has an equal one in an earlier place that stays.
     Each place is joined with one other, so a line of a third of all documents makes no

@@ -132,7 +132,10 @@ def _take(seed: int, block: int, carried: list[str], spans: bool):
         n = -(-total // block)
         key = [seed, int(shard["source_place"].iloc[0]), int(shard["shard"].iloc[0])]
         drawn = np.zeros(n + 1, np.int64)
-        drawn[np.random.default_rng(key).permutation(n)[: int(shard["seats"].iloc[0])]] = 1
+        seats = int(shard["seats"].iloc[0])
+        drawn[np.random.default_rng(key).permutation(total // block)[:seats]] = 1
+        if seats > total // block:  # the last words make a short block, drawn after all others
+            drawn[total // block : n] = 1
         before = np.concatenate([[0], np.cumsum(drawn * block)])
 
         def taken_up_to(x):

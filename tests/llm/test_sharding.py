@@ -1,0 +1,68 @@
+import zlib
+from collections import defaultdict
+
+import numpy as np
+from samples import FOLDER, ODD_ROWS
+
+from linkseek.llm.queries import QUERIES
+from linkseek.llm.sharding import by_inversion, communication_matrix, shuffle_to_shards
+
+
+def test_matrix():
+    for rows, shards in (([5, 0, 7, 1], 4), ([0], 3), ([1000] * 20, 16), ([3], 16)):
+        matrix = communication_matrix(rows, shards, 1)
+        assert matrix.sum(axis=1).tolist() == rows and (matrix >= 0).all()
+        assert np.ptp(matrix.sum(axis=0)) <= 1
+    assert (communication_matrix([9, 9], 4, 1) == communication_matrix([9, 9], 4, 1)).all()
+
+
+def test_draws_follow_the_law():
+    """Means and variances of both draws are those of the hypergeometric law."""
+    rng = np.random.default_rng(0)
+    good, bad, draws = 60, 140, 50
+    mean = draws * good / 200
+    variance = mean * (bad / 200) * (150 / 199)
+    x = np.array([by_inversion(good, bad, draws, rng) for _ in range(20_000)])
+    assert abs(x.mean() - mean) < 0.1 and abs(x.var() / variance - 1) < 0.05
+    cells = np.array([communication_matrix([50, 150], 4, s)[0] for s in range(3000)])
+    assert abs(cells.mean() - 12.5) < 0.01 and abs(cells[:, 1].var() / (12.5 * 0.75 * 150 / 199) - 1) < 0.1
+    big = [by_inversion(10**10, 3 * 10**10, 10**6, rng) for _ in range(50)]
+    assert abs(np.mean(big) - 250_000) < 500
+
+
+def check(rows, n, shards):
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+    assert sum(map(len, slots.values())) == n
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+    sizes = [len(slots.get(i, [])) for i in range(shards)]
+    assert max(sizes) - min(sizes) <= 1
+
+
+def test_query(spark):
+    rows = QUERIES["op9_sharding"](spark, FOLDER).collect()
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    check(rows, len(docs), 16)
+    for r in rows:
+        raw = (docs[r.doc_id] or "").encode()
+        assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(raw) + 1, zlib.crc32(raw), "rows", None)
+    again = QUERIES["op9_sharding"](spark, FOLDER).collect()
+    assert {(r.doc_id, r.shard, r.slot) for r in rows} == {(r.doc_id, r.shard, r.slot) for r in again}
+
+
+def test_odd_documents(odd, no_rows, work):
+    rows = shuffle_to_shards(odd, ["doc_id", "text"], work, shards=5, seed=3).collect()
+    check(rows, len(ODD_ROWS), 5)
+    assert "lang" in rows[0].asDict()
+    assert shuffle_to_shards(no_rows, ["doc_id"], work).collect() == []
+
+
+def test_uniform(spark, work):
+    """Every row is equally likely in every shard, whatever its place in the input."""
+    docs = spark.range(60).withColumnRenamed("id", "doc_id").coalesce(1)
+    counts = np.zeros((60, 4))
+    for seed in range(40):
+        for r in shuffle_to_shards(docs, ["doc_id"], work, shards=4, seed=seed).collect():
+            counts[r.doc_id, r.shard] += 1
+    assert abs(counts[:30].sum(axis=0) / 1200 - 0.25).max() < 0.05
