@@ -60,18 +60,18 @@ def rank_corpus(lines: DataFrame, work: Workspace) -> RankedCorpus:
     return rank_links(linked.select("title"), docs_op.link_rows(linked), work)
 
 
-def index_corpus(docs: DataFrame, ranked: RankedCorpus, work: Workspace) -> SearchTables:
-    """Index and stored texts of `docs(seq, title, raw_text)`.
+def index_corpus(docs: DataFrame, ranks: DataFrame, n_docs: int, work: Workspace) -> SearchTables:
+    """Index and stored texts of `docs(seq, title, raw_text)`, under the ids of `ranks`.
 
     The index is saved in word order so lookups skip files. The texts are saved as they lie;
     `publish` lays them out for repeated lookups.
     """
-    tf = index_op.term_frequencies(docs, ranked.ranks)
+    tf = index_op.term_frequencies(docs, ranks)
     tf = tf.repartitionByRange("word", "doc_id").sortWithinPartitions("word", "doc_id")
     texts = docs_op.latest_documents(docs, work)
     tf = work.save(tf, "tf")
     df = work.save(index_op.document_frequencies(tf), "df")
-    return SearchTables(ranked.ranks, tf, work.save(texts, "documents"), ranked.n_docs, df)
+    return SearchTables(ranks, tf, work.save(texts, "documents"), n_docs, df)
 
 
 def build(
@@ -84,7 +84,8 @@ def build(
         bad = work.save(docs_op.bad_lines(lines), "bad-lines")
         lines = docs_op.good_lines(lines)
     ranked = rank_corpus(lines, work)
-    return ranked, replace(index_corpus(docs_op.documents(lines), ranked, work), bad=bad)
+    tables = index_corpus(docs_op.documents(lines), ranked.ranks, ranked.n_docs, work)
+    return ranked, replace(tables, bad=bad)
 
 
 def answer(

@@ -47,23 +47,25 @@ page_flat AS MATERIALIZED (
   SELECT page_id AS seq, translate(html, chr(13) || chr(10), '  ') AS html FROM pages),
 page_parts AS MATERIALIZED (
   SELECT seq,
-    split_part(trim(regexp_extract(html, '<title>(.+?)</title>', 1)), ' ', 1) AS head,
-    regexp_replace(regexp_extract(html, '<article>(.*)</article>', 1), '<[^>]*>', ' ', 'g')
+    trim(regexp_extract(html, '<title>(.+?)</title>', 1)) AS head,
+    regexp_replace(html, '<[^>]*>', ' ', 'g')
       || CASE WHEN len(regexp_extract_all(html, 'href="/([^"]+)"', 1)) > 0
          THEN ' [[' || array_to_string(regexp_extract_all(html, 'href="/([^"]+)"', 1), ']] [[')
               || ']]' ELSE '' END AS body
   FROM page_flat),
-page_lines AS MATERIALIZED (SELECT seq, {_line('head', 'body')} AS value FROM page_parts),
+page_lines AS MATERIALIZED (
+  SELECT seq, {_line('head', 'body')} AS value, split_part(head, ' ', 1) AS first FROM page_parts),
 page_docs AS MATERIALIZED (
-  SELECT seq, value, {_name(_TITLE)} AS title, {_BODY} AS raw_text FROM page_lines)"""
+  SELECT seq, value, {_name(_TITLE)} AS title, {_name('first')} AS name, {_BODY} AS raw_text
+  FROM page_lines)"""
 
 _PAGE_GRAPH = f"""{_PAGE_LINES},
 raw_links AS MATERIALIZED (
-  SELECT title AS src_title,
+  SELECT name AS src_title,
     unnest(regexp_extract_all(value, '\\[\\[(.+?)([\\|#]|\\]\\])', 1)) AS link
   FROM page_docs),
 links AS MATERIALIZED (SELECT src_title, {_name('link')} AS dst_title FROM raw_links),
-nodes AS MATERIALIZED (SELECT DISTINCT title FROM page_docs),
+nodes AS MATERIALIZED (SELECT DISTINCT name AS title FROM page_docs),
 lines AS MATERIALIZED (SELECT CAST(count(*) AS DOUBLE) AS n FROM page_lines)"""
 
 _EDGES = """
@@ -137,13 +139,22 @@ tf AS MATERIALIZED (
     SELECT doc_id, unnest(regexp_extract_all(text, '[a-zA-Z]+')) AS word FROM doc_ranks)
   GROUP BY 1, 2)"""
 
-_PAGE_TF = f"""{_PAGE_RANKS},
+_TF_BY = """
 tf AS MATERIALIZED (
   SELECT word, doc_id, count(*) AS tf FROM (
     SELECT r.doc_id, unnest(regexp_extract_all(d.raw_text, '[a-zA-Z]+')) AS word
-    FROM page_docs d JOIN rank_table r ON r.title = d.title)
+    FROM page_docs d JOIN {ranks} r ON r.title = d.{title})
   GROUP BY 1, 2)"""
 
+# Whole titles with the ranks of their names.
+_PAGE_TF = f"""{_PAGE_RANKS},
+titled AS MATERIALIZED (SELECT DISTINCT d.title, r.pr FROM page_docs d JOIN ranks r ON r.title = d.name),
+title_table AS MATERIALIZED (
+  SELECT row_number() OVER (
+      ORDER BY round(pr * (SELECT count(*) FROM titled), 9) DESC, title) - 1 AS doc_id, title, pr
+  FROM titled),{_TF_BY.format(ranks='title_table', title='title')}"""
+_NAMED_TF = f"{_PAGE_RANKS},{_TF_BY.format(ranks='rank_table', title='name')}"
+
 _STORED = f"""
 stored AS MATERIALIZED (
   SELECT title, {_decode('raw_text')} AS text FROM page_docs
@@ -212,7 +223,7 @@ ordered AS (
   FROM hits QUALIFY place <= 3)"""
 
 _FOUND = (
-    f"{_PAGE_TF}, {_WORD_LISTS},{_MATCHES},{_RESULTS.format(ranks='rank_table')},{_SNIPPETS}"
+    f"{_PAGE_TF}, {_WORD_LISTS},{_MATCHES},{_RESULTS.format(ranks='title_table')},{_SNIPPETS}"
 )
 
 # The text file, of those in the order of their paths, that holds a line.
@@ -323,10 +334,10 @@ SELECT word, doc_id, seq, count(*) AS tf,
 FROM placed WHERE regexp_matches(word, '^[a-zA-Z]') GROUP BY 1, 2, 3""",
     "page_term_frequency": f"{_PAGE_TF} SELECT word, doc_id, tf FROM tf",
     "build_stats": f"""{_PAGE_TF}
-SELECT 'ranked_documents' AS name, count(*) AS n FROM rank_table
+SELECT 'ranked_documents' AS name, count(*) AS n FROM title_table
 UNION ALL SELECT 'index_words', count(DISTINCT word) FROM tf
 UNION ALL SELECT 'term_rows', count(*) FROM tf
-UNION ALL SELECT 'stored_documents', count(*) FROM nodes""",
+UNION ALL SELECT 'stored_documents', count(DISTINCT title) FROM page_docs WHERE raw_text IS NOT NULL""",
     "posting_intersection": f"WITH {_DOC_TF}, {_WORD_LISTS},{_MATCHES} "
                             "SELECT query_id, doc_id, tf FROM matches",
     "intersection_size": f"WITH {_DOC_TF}, {_PASSAGES},{_MATCHES} "
@@ -337,7 +348,9 @@ SELECT query_id, doc_id FROM queries JOIN tf ON word = words[1]
 WHERE len(words) = 2
   AND NOT EXISTS (SELECT 1 FROM tf o WHERE o.word = words[2] AND o.doc_id = tf.doc_id)""",
     "search_topk": f"{_PAGE_TF}, {_WORD_LISTS},{_MATCHES},"
-                   f"{_RESULTS.format(ranks='rank_table')} {_SCORES}",
+                   f"{_RESULTS.format(ranks='title_table')} {_SCORES}",
+    "lines_search": f"{_NAMED_TF}, {_WORD_LISTS},{_MATCHES},"
+                    f"{_RESULTS.format(ranks='rank_table')} {_SCORES}",
     "search_batch": f"WITH {_DOC_TF}, {_PASSAGES},{_MATCHES},"
                     f"{_RESULTS.format(ranks='doc_ranks')} {_SCORES}",
     "search_missing_words": f"{_PAGE_TF}, {_PASSAGES},{_MATCHES} "
@@ -397,6 +410,5 @@ QUALIFY row_number() OVER (PARTITION BY key ORDER BY batch DESC, seq DESC) = 1""
 }
 
 # Other ways to the same rows.
-for _name_, _same in (("lines_search", "search_topk"), ("publish_lookup", "search_topk"),
-                      ("table_put_stored", "table_upsert")):
+for _name_, _same in (("publish_lookup", "search_topk"), ("table_put_stored", "table_upsert")):
     ORACLE[_name_] = ORACLE[_same]

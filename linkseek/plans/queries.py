@@ -49,12 +49,17 @@ def _pages(spark: SparkSession, folder: str) -> DataFrame:
     return A.page_lines(A.table(spark, folder, "pages"))
 
 
+def _named_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages under the names by which links know them."""
+    return A.page_lines(A.table(spark, folder, "pages"), named=True)
+
+
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return A.document_corpus(A.table(spark, folder, "documents"))
 
 
 def _page_graph(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    linked = D.linked_titles(_pages(spark, folder))
+    linked = D.linked_titles(_named_pages(spark, folder))
     linked = Workspace(spark).save(linked.select("title", "links"), "linked")
     return linked.select("title"), D.link_rows(linked)
 
@@ -65,11 +70,18 @@ def _page_edges(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]
 
 
 def _ranked_pages(spark: SparkSession, folder: str, work: Workspace) -> B.RankedCorpus:
-    return B.rank_corpus(_pages(spark, folder), work)
+    return B.rank_corpus(_named_pages(spark, folder), work)
 
 
 def _page_tables(spark: SparkSession, folder: str, work: Workspace) -> B.SearchTables:
-    return B.build(_pages(spark, folder), work)[1]
+    """Pages under their whole titles, each with the rank of the name that links know it by."""
+    named = D.titles(_named_pages(spark, folder)).withColumnRenamed("title", "name")
+    titles = D.titles(_pages(spark, folder)).join(named, "seq").select("title", "name").distinct()
+    ranks = _ranked_pages(spark, folder, work).ranks.select(F.col("title").alias("name"), "pr")
+    ranked = work.save(titles.join(ranks, "name").groupBy("title").agg(F.max("pr").alias("pr")), "ranked")
+    n_docs = ranked.count()
+    docs = D.documents(_pages(spark, folder))
+    return B.index_corpus(docs, N.rank_table(ranked, n_docs, work), n_docs, work)
 
 
 def _document_ranks(spark: SparkSession, folder: str, work: Workspace) -> DataFrame:
@@ -162,7 +174,7 @@ def bad_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def link_extract(spark: SparkSession, folder: str) -> DataFrame:
-    return D.link_rows(D.linked_titles(_pages(spark, folder)))
+    return D.link_rows(D.linked_titles(_named_pages(spark, folder)))
 
 
 @registered
@@ -560,7 +572,7 @@ def lines_search(spark: SparkSession, folder: str) -> DataFrame:
     broken = A.table(spark, folder, "documents").select(
         F.col("doc_id").alias("seq"), F.translate("text", "\r\n", "  ").alias("value")
     )
-    path = _text_files(spark, _pages(spark, folder).unionByName(broken), work)
+    path = _text_files(spark, _named_pages(spark, folder).unionByName(broken), work)
     tables = B.build(L.read_lines(spark, path, work), work, mode="permissive")[1]
     return _scores(
         S.search(_word_list_queries(spark), tables.tf, tables.ranks, tables.n_docs, work, df=tables.df)

@@ -30,19 +30,20 @@ def _one_line(text: Column) -> Column:
     return F.translate(text, "\r\n", "  ")
 
 
-def page_lines(pages: DataFrame) -> DataFrame:
+def page_lines(pages: DataFrame, named: bool = False) -> DataFrame:
     """Web pages as corpus lines (`seq`, `value`).
 
-    Title is the first token of the page title; the text is the article without tags,
-    followed by the page's own-site links as `[[target]]`.
+    Title is the whole page title; the text is all of the page without tags, followed by its
+    own-site links as `[[target]]`. Links name a page by the first token of its title: with
+    `named`, for the link graph alone, that name stands for the title.
     """
-    article = F.regexp_extract("html", "<article>(.*)</article>", 1)
+    title = F.trim(T.raw_title(F.col("html")))
     parts = pages.select(
         F.col("page_id").alias("seq"), _one_line(F.col("html")).alias("html")
     ).select(
         "seq",
-        F.split_part(F.trim(T.raw_title(F.col("html"))), F.lit(" "), F.lit(1)).alias("title"),
-        F.regexp_replace(article, "<[^>]*>", " ").alias("text"),
+        (F.split_part(title, F.lit(" "), F.lit(1)) if named else title).alias("title"),
+        F.regexp_replace("html", "<[^>]*>", " ").alias("text"),
         F.regexp_extract_all("html", F.lit('href="/([^"]+)"'), F.lit(1)).alias("hrefs"),
     )
     marked = F.concat(F.lit(" [["), F.array_join("hrefs", "]] [["), F.lit("]]"))
