@@ -16,6 +16,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from linkseek.plans.queries import QUERIES  # noqa: E402
 from linkseek.session import local_session  # noqa: E402
+from linkseek.workspace import delete_all  # noqa: E402
 
 HEADLINE = [
     "link_edges",
@@ -34,7 +35,9 @@ HEADLINE = [
 def run(query, spark, folder) -> float:
     start = time.perf_counter()
     query(spark, folder).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - start
+    seconds = time.perf_counter() - start
+    delete_all()
+    return seconds
 
 
 def main() -> None:
