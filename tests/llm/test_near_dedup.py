@@ -2,7 +2,6 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
-import pytest
 from samples import FOLDER, ODD_ROWS
 
 from linkseek.llm.components import components
@@ -103,15 +102,15 @@ def test_large_group_of_near_copies(spark, work):
     assert found(near_classes(docs, work)) == brute(rows)
 
 
-@pytest.mark.parametrize("n", [4, 5, 7, 9, 10, 14])
-def test_short_texts(spark, work, n):
+def test_short_texts(spark, work):
     """Texts of few words, with one more or one less of them."""
-    rng = random.Random(n)
+    rng = random.Random(4)
     rows = []
-    for i in range(12):
-        w = [f"w{rng.randrange(10_000)}" for _ in range(n)]
-        rows += [(4 * i, " ".join(w)), (4 * i + 1, " ".join([*w, "more"])), (4 * i + 2, " ".join(w[:-1])),
-                 (4 * i + 3, " ".join(w).upper())]
+    for n in (4, 5, 7, 9, 10, 14):
+        for _ in range(10):
+            w = [f"w{rng.randrange(100_000)}" for _ in range(n)]
+            for text in (" ".join(w), " ".join([*w, "more"]), " ".join(w[:-1]), " ".join(w).upper()):
+                rows.append((len(rows), text))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert found(near_classes(docs, work)) == brute(rows)
 

@@ -60,9 +60,9 @@ def test_odd_documents(odd, no_rows, work):
 
 def test_uniform(spark, work):
     """Every row is equally likely in every shard, whatever its place in the input."""
-    docs = spark.range(60).withColumnRenamed("id", "doc_id").coalesce(1)
-    counts = np.zeros((60, 4))
-    for seed in range(40):
+    docs = spark.range(400).withColumnRenamed("id", "doc_id").coalesce(1)
+    counts = np.zeros((400, 4))
+    for seed in range(8):
         for r in shuffle_to_shards(docs, ["doc_id"], work, shards=4, seed=seed).collect():
             counts[r.doc_id, r.shard] += 1
-    assert abs(counts[:30].sum(axis=0) / 1200 - 0.25).max() < 0.05
+    assert abs(counts[:200].sum(axis=0) / 1600 - 0.25).max() < 0.05
