@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text that one numpy pass works on; a longer single text makes its own slice.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from linkseek.llm.batches import list_array, mix, span_hashes, text_slices, word_spans
 
 # Documents of the sample that the scorer is fitted on, about; all of a smaller table.
-TRAIN_ROWS = 20_000
+TRAIN_ROWS = 10_000
 # Weights of the scorer: one half for words, one for pairs of word shapes.
 BUCKETS = 1 << 16
 THRESHOLD = 0.5
@@ -200,7 +200,7 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_pydict({
             "sample": batch.column("sample"),
             "votes": list_array(pa.array(cast.ravel().astype(np.int32)), flat),
-            "bucket": list_array(pa.array(bucket), start), "value": list_array(pa.array(value), start),
+            "bucket": list_array(pa.array(bucket), start), "value": list_array(pa.array(value.astype(np.float32)), start),
         })
 
 
@@ -208,8 +208,8 @@ def _fit(rows: pd.DataFrame) -> pd.DataFrame:
     """Weights of the logistic scorer of P(good), by gradient steps over small batches."""
     rows = rows.sort_values("sample", kind="stable")
     size = rows["bucket"].map(len).to_numpy()
-    bucket = np.concatenate([*rows["bucket"], np.zeros(0, np.int64)]).astype(np.int64)
-    value = np.concatenate([*rows["value"], np.zeros(0)]).astype(float)
+    bucket = np.concatenate([*rows["bucket"], np.zeros(0, np.int32)])
+    value = np.concatenate([*rows["value"], np.zeros(0, np.float32)])
     start = np.concatenate([[0], np.cumsum(size)])
     wanted = rows["good"].to_numpy(float)
     weight, square = np.zeros(BUCKETS + 1), np.full(BUCKETS + 1, 1e-6)
@@ -256,7 +256,7 @@ def fit_quality(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> np.ndarray:
     share = min(1.0, train_rows / count.sum())
     chosen = texts.where(F.pmod("sample", F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
     rows = chosen.mapInArrow(
-        _feature_rows, "sample long, votes array<int>, bucket array<int>, value array<double>"
+        _feature_rows, "sample long, votes array<int>, bucket array<int>, value array<float>"
     ).join(labels, "votes").drop("votes")
     fitted = rows.groupBy(F.lit(0).alias("all")).applyInPandas(
         lambda frame: _fit(frame), "bucket long, weight double"
