@@ -2,91 +2,92 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import partial
-from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkseek.llm.batches import text_slices
+from linkseek.llm.batches import list_array, signed, span_hashes, starts, text_slices
 from linkseek.workspace import Workspace
 
 # Words that a run needs to be deleted, and that each window of lines has at least.
 MIN_WORDS = 10
 
 _RECORD = (
-    "doc_id long, text_key long, at int, key binary, span int, left array<long>, right array<long>"
+    "doc_id long, text_key long, key long, begins array<int>, ends array<int>, hashes array<long>"
 )
-_TAKEN = 1 << 64
+_TAKEN = np.uint64((1 << 64) - 1)
 
 
-def fingerprints(words: list[int], hashes: list[int], least: int = MIN_WORDS) -> list[int]:
-    """Places of the window minima, in order.
+def windows(
+    words: np.ndarray, hashes: np.ndarray, bounds: np.ndarray, least: int = MIN_WORDS
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin, end and selected line of all shortest runs of lines that have `least` words, by begin.
 
-    A window is the fewest lines from a line on that have `least` words; its line with the smallest
-    hash is selected, the last of equal ones. Two runs of the same lines with a window in
-    them thus select the same line of it. Lines without words are never selected.
+    They are the shortest from each line on, and the shortest up to each line; `bounds` are where
+    each document's lines start (one more than documents). Every line of a longer run is in one
+    of them inside that run, so equal runs have equal windows. Selected is the line of the
+    smallest hash in the shortest window from the same begin, the last of equal ones; lines
+    without words never are.
     """
-    weight = [h if w else _TAKEN for w, h in zip(words, hashes)]
-    out: list[int] = []
-    end, total = 0, 0
-    for begin, n in enumerate(words):
-        while end < len(words) and total < least:
-            total += words[end]
-            end += 1
-        if total < least:
+    n = len(words)
+    total = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    doc_end = np.repeat(bounds[1:], np.diff(bounds))
+    doc_begin = np.repeat(bounds[:-1], np.diff(bounds))
+    line = np.arange(n)
+    first_end = np.searchsorted(total, total[:-1] + least)
+    begin = line[first_end <= doc_end]
+    end = first_end[begin]
+    from_ = np.searchsorted(total, total[1:] - least, side="right") - 1
+    to = line[from_ >= doc_begin] + 1
+    from_ = from_[to - 1]
+    # Smallest of 1, 2, 4, ... lines from each on; two such spans make a window.
+    weight = np.where(words > 0, hashes, _TAKEN)
+    lower = lambda a, b: np.where(weight[b] <= weight[a], b, a)
+    selected, best, span = np.zeros(n, np.int64), line, 1
+    while len(begin):
+        own = (end - begin >= span) & (end - begin < 2 * span)
+        selected[begin[own]] = lower(best[begin[own]], best[end[own] - span])
+        if span * 2 > (end - begin).max():
             break
-        window = weight[begin:end]
-        at = end - 1 - window[::-1].index(min(window))
-        if not out or at > out[-1]:
-            out.append(at)
-        total -= n
-    return out
+        best, span = lower(best, best[np.minimum(line + span, n - 1)]), span * 2
+    other = first_end[from_] != to
+    begin, end = np.concatenate([begin, from_[other]]), np.concatenate([end, to[other]])
+    order = np.argsort(begin, kind="stable")
+    return begin[order], end[order], selected[begin[order]]
 
 
-def _signed(h: int) -> int:
-    return h - (1 << 64) if h >> 63 else h
+def fingerprints(words: list[int], hashes: list[int], least: int = MIN_WORDS) -> list[int]:
+    """Places of the window minima, in order. Two runs of the same lines with a window in them
+    thus select the same line of it."""
+    places = windows(np.array(words, np.int64), np.array(hashes, np.uint64), np.array([0, len(words)]), least)[2]
+    return np.unique(places).tolist()
 
 
 def _records(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Each selected line with the lines around it, up to the next selected ones at least, and each stretch
-    from one selected line to the next as a whole."""
+    """Each selected line with the windows that selected it."""
     for batch, texts in text_slices(batches):
-        rows = []
-        for doc, text_key, text in zip(
-            batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist(), texts
-        ):
-            lines = [x.strip() for x in text.split(b"\n")]
-            hashes = [xxhash.xxh3_64_intdigest(x) for x in lines]
-            picked = fingerprints([len(x.split()) for x in lines], hashes, least)
-            known = [_signed(h) for h in hashes]
-            total = list(accumulate((len(x.split()) for x in lines), initial=0))
-            for before, at, after in zip([-1, *picked], picked, [*picked[1:], len(lines) - 1]):
-                # At least `least` words each way: less is left of a run past its last shared line.
-                after = max(after, min(bisect_left(total, total[at + 1] + least), len(lines)) - 1)
-                before = min(max(before, 0), max(bisect_right(total, total[at] - least) - 1, 0))
-                key = xxhash.xxh3_128_digest(lines[at])
-                rows.append((doc, text_key, at, key, 0, known[before:at][::-1], known[at + 1 : after + 1]))
-            for at, after in zip(picked, picked[1:]):
-                key = xxhash.xxh3_128_digest(b"\n".join([b"", *lines[at : after + 1]]))
-                rows.append((doc, text_key, at, key, after - at, [], []))
-        columns = list(zip(*rows)) or [()] * 7
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), *[pa.list_(pa.int64())] * 2]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(c), k) for c, k in zip(columns, kinds)],
-            ["doc_id", "text_key", "at", "key", "span", "left", "right"],
-        )
-
-
-def _agreeing(a: Column, b: Column) -> Column:
-    """How many elements two arrays share from their start on."""
-    same = F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)))
-    first = F.array_position(same, False)
-    return F.when(first > 0, first - 1).otherwise(F.size(a)).cast("int")
+        split = [[x.strip() for x in text.split(b"\n")] for text in texts]
+        bounds = starts([len(x) for x in split])
+        hashes = np.array([xxhash.xxh3_64_intdigest(x) for lines in split for x in lines], np.uint64)
+        words = np.array([len(x.split()) for lines in split for x in lines], np.int64)
+        begin, end, selected = windows(words, hashes, bounds, least)
+        whole = span_hashes(hashes, begin, end)
+        first = np.flatnonzero(np.diff(selected, prepend=-1))
+        offsets = np.append(first, len(begin))
+        doc = np.searchsorted(bounds, selected[first], side="right") - 1
+        start = np.repeat(bounds[doc], np.diff(offsets))
+        doc_id, text_key = (batch.column(x).take(pa.array(doc)) for x in ("doc_id", "text_key"))
+        yield pa.RecordBatch.from_pydict({
+            "doc_id": doc_id, "text_key": text_key, "key": signed(hashes[selected[first]]),
+            "begins": list_array(pa.array((begin - start).astype(np.int32)), offsets),
+            "ends": list_array(pa.array((end - start).astype(np.int32)), offsets),
+            "hashes": list_array(signed(whole), offsets),
+        })
 
 
 def _cleaned(least: int):
@@ -121,11 +122,11 @@ def dedup_lines(docs: DataFrame, work: Workspace, least: int = MIN_WORDS) -> Dat
     """(`doc_id`, `text`, `n_lines`, `removed_lines`, `removed_words`), a row per row of `docs`.
 
     Lines are compared without white space around them; places are ordered by `doc_id` (null
-    last), then line. Every selected line is aligned with its first place in all documents and
-    the match extended both ways, to the next selected lines and `least` words at least; a stretch between two selected lines
-    that was there before as a whole counts too. What earlier places cover is deleted, if `least`
-    words of it stand together. Every deleted line has an equal one in an earlier place that stays.
-    Each place is joined with one other, so a line of a third of all documents makes no
+    last), then line. A run of lines with `least` words or more that is in an earlier place too is
+    deleted, whatever other places some of its lines have. Every deleted line has an equal one in
+    an earlier place that stays.
+    Lines that winnowing selects in one place only are in no such run. The windows of the others
+    meet the first place of the same window alone, so a line of a third of all documents makes no
     pairs. A null text is empty; rows that agree in `doc_id` and text are one document and get
     the same result; an empty table gives no rows.
     """
@@ -133,26 +134,31 @@ def dedup_lines(docs: DataFrame, work: Workspace, least: int = MIN_WORDS) -> Dat
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     ).withColumn("text_key", F.xxhash64("text"))
     records = work.save(texts.mapInArrow(partial(_records, least=least), _RECORD), "records")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "at", "left", "right")
+    again = work.save(
+        records.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "again"
+    )
+    found = work.save(
+        records.join(again, "key").select(
+            "doc_id", "text_key", "key", F.explode(F.arrays_zip("begins", "ends", "hashes")).alias("w")
+        ).select(
+            "doc_id", "text_key", "key", F.col("w.begins").alias("begin"), F.col("w.ends").alias("end"),
+            F.col("w.hashes").alias("hash"),
+        ),
+        "windows",
+    )
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "begin")
     first = work.save(
-        records.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+        found.groupBy("key", "hash").agg(F.min(place).alias("first"), F.count("*").alias("n"))
         .where("n > 1").drop("n"),
         "first",
     )
     later = ~(
         F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
-        & (F.col("text_key") == F.col("first.text_key")) & (F.col("at") == F.col("first.at"))
+        & (F.col("text_key") == F.col("first.text_key")) & (F.col("begin") == F.col("first.begin"))
     )
     ranges = (
-        records.join(first, "key").where(later)
-        .select(
-            "doc_id", "text_key",
-            F.struct(
-                (F.col("at") - _agreeing(F.col("left"), F.col("first.left"))).alias("begin"),
-                (F.col("at") + 1 + F.greatest(
-                    "span", _agreeing(F.col("right"), F.col("first.right")))).alias("end"),
-            ).alias("range"),
-        )
+        found.join(first, ["key", "hash"]).where(later)
+        .select("doc_id", "text_key", F.struct("begin", "end").alias("range"))
         .groupBy("doc_id", "text_key").agg(F.collect_set("range").alias("ranges"))
         .withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
     )

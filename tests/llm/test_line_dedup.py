@@ -98,3 +98,46 @@ def test_odd_documents(odd, no_rows, work):
     texts = {r.doc_id: r.text for r in rows}
     assert texts[2] == texts[3] == "" and texts[4] == " \n\t " and texts[6] == "x" * 30_000
     assert dedup_lines(no_rows, work).collect() == []
+
+
+def brute(rows, least):
+    """Lines left when every run that is in an earlier place as well goes, by comparing all places."""
+    docs = [[x.strip() for x in lines_of(text)] for _, text in sorted(rows)]
+    places = [(d, i) for d, lines in enumerate(docs) for i in range(len(lines))]
+    gone = set()
+    for p, (d, i) in enumerate(places):
+        for e, j in places[:p]:
+            n = words = 0
+            while i + n < len(docs[d]) and j + n < len(docs[e]) and docs[d][i + n] == docs[e][j + n]:
+                words += len(docs[d][i + n].split())
+                n += 1
+            if words >= least:
+                gone |= {(d, i + k) for k in range(n)}
+    return {
+        doc_id: "\n".join(x for i, x in enumerate(lines_of(text)) if (d, i) not in gone)
+        for d, (doc_id, text) in enumerate(sorted(rows))
+    }
+
+
+def test_first_place_in_another_context(spark, work):
+    """Whichever line of a repeated run is selected, one that stands elsewhere before."""
+    rows, want = [], {}
+    for k in range(8):
+        pair = [f"seven words p{k} are in this line", f"four words c{k} here"]
+        rows += [(10 * k + i, "\n".join(x)) for i, x in enumerate([
+            [f"a{k}", pair[1], f"b{k}"], [f"d{k}", *pair, f"e{k}"], [f"f{k}", *pair, f"g{k}"],
+            [f"h{k}", pair[0], f"i{k}"], [f"j{k}", *pair[::-1], *pair, f"k{k}"]])]
+        want |= {10 * k + 2: f"f{k}\ng{k}", 10 * k + 4: "\n".join([f"j{k}", *pair[::-1], f"k{k}"])}
+    got = run(spark, work, rows)
+    assert {i: got[i].text for i in want} == want
+    assert {i: r.text for i, r in got.items()} == brute(rows, 10)
+
+
+def test_shared_lines_against_brute_force(spark, work):
+    """Few lines, so that runs share theirs with other documents; blank lines too."""
+    rng = random.Random(3)
+    pool = [" ".join(f"w{i}x{k}" for k in range(rng.randrange(7))) for i in range(14)]
+    rows = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 14)))) for i in range(40)]
+    got = {i: r.text for i, r in run(spark, work, rows).items()}
+    want = brute(rows, 10)
+    assert got == want and want != dict(rows)
