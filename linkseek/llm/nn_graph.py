@@ -29,23 +29,38 @@ MAX_ROUNDS = 4
 BEAM = 160
 STEP = 32
 MAX_STEPS = 12
+# Searches also enter at so many of the longest vectors, which are near to few others.
+LONGEST = 8
 
 
-def pack(vectors: np.ndarray) -> list[bytes]:
-    """Vectors in 8 bits a component with a scale each, for finding; results use the originals."""
-    most = np.abs(vectors).max(axis=1, keepdims=True, initial=0).astype(np.float32)
-    scale = np.where(most > 0, most / 127, 1).astype(np.float32)
-    whole = np.rint(vectors / scale).astype(np.int8)
-    return [a + b for a, b in zip(map(bytes, scale), map(bytes, whole))]
+def pack(vectors: np.ndarray, longest: float) -> list[bytes]:
+    """Points: a vector in 4-byte floats, and two doubles that tell how much shorter than `longest` it is.
+
+    A point has one more component, root(longest^2 - |v|^2) = longest - short. It is not kept:
+    next to it a long vector would leave nothing of the others' components.
+    """
+    square = (vectors**2).sum(axis=1)
+    short = square / (longest + np.sqrt(np.maximum(longest**2 - square, 0)))
+    lift = np.stack([short, longest * short], axis=1)
+    return [a + b for a, b in zip(map(bytes, lift), map(bytes, vectors.astype(np.float32)))]
 
 
-def unpack(points: pa.Array) -> np.ndarray:
+def unpack(points: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors in doubles, and what each one is short of."""
     rows = len(points)
     data = np.frombuffer(b"".join(points.to_pylist()), np.uint8).reshape(rows, -1)
     if not rows:
-        return np.zeros((0, 0), np.float32)
-    scale = np.ascontiguousarray(data[:, :4]).view(np.float32)
-    return np.ascontiguousarray(data[:, 4:]).view(np.int8) * scale
+        return np.zeros((0, 0)), np.zeros((0, 2))
+    lift = np.ascontiguousarray(data[:, :16]).view(np.float64)
+    return np.ascontiguousarray(data[:, 16:]).view(np.float32).astype(float), lift
+
+
+def products(a: np.ndarray, a_lift: np.ndarray, b: np.ndarray, b_lift: np.ndarray) -> np.ndarray:
+    """Inner products of all points of `a` with all of `b`, less longest^2, so that little cancels."""
+    out = a @ np.swapaxes(b, -1, -2)
+    out += a_lift[..., :, None, 0] * b_lift[..., None, :, 0]
+    out -= a_lift[..., :, None, 1] + b_lift[..., None, :, 1]
+    return out
 
 
 def valid_vectors(rows: DataFrame, work: Workspace) -> DataFrame:
@@ -93,10 +108,9 @@ def distinct_nodes(vectors: DataFrame, work: Workspace) -> tuple[DataFrame, Data
 def _points(batches: Iterator[pa.RecordBatch], longest: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         vec = _matrix(batch.column("vec"), batch.num_rows)
-        rest = np.sqrt(np.maximum(longest**2 - (vec**2).sum(axis=1, keepdims=True), 0))
         yield pa.RecordBatch.from_pydict({
             "node": batch.column("node"), "vec": batch.column("vec"),
-            "point": pa.array(pack(np.hstack([vec, rest])), pa.binary()),
+            "point": pa.array(pack(vec, longest), pa.binary()),
         })
 
 
@@ -105,7 +119,7 @@ def _cells(split: int, bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            points = unpack(batch.column("point"))
+            points = unpack(batch.column("point"))[0]
             planes = np.random.default_rng([split, points.shape[1]]).normal(size=(points.shape[1], bits))
             side = (points @ planes > 0) @ (1 << np.arange(bits))
             yield pa.RecordBatch.from_pydict({
@@ -121,12 +135,12 @@ def _matrix(column: pa.Array, rows: int) -> np.ndarray:
 
 
 def _within_cell(cell: pd.DataFrame) -> pd.DataFrame:
-    points = unpack(pa.array(cell["point"], pa.binary()))
+    points, lift = unpack(pa.array(cell["point"], pa.binary()))
     node = cell["node"].to_numpy()
     n = min(NEIGHBOURS, len(node) - 1)
     best, scores = [np.zeros((0, n), np.int64)], [np.zeros((0, n))]
     for at in range(0, len(node) if n else 0, 256):
-        score = points[at : at + 256] @ points.T
+        score = products(points[at : at + 256], lift[at : at + 256], points, lift)
         rows = np.arange(len(score))
         score[rows, rows + at] = -np.inf
         best.append(np.argpartition(-score, n - 1, axis=1)[:, :n])
@@ -193,14 +207,14 @@ def _local_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         node = rows.field("other").to_numpy(zero_copy_only=False)
         new = rows.field("new").to_numpy(zero_copy_only=False)
         least = rows.field("least").to_numpy(zero_copy_only=False)
-        points = unpack(rows.field("point"))
+        points, lift = unpack(rows.field("point"))
         start = np.concatenate([[0], np.cumsum(size)[:-1]])
         for at in range(0, len(size), 64):
             rows_of = start[at : at + 64, None] + np.arange(width)
             inside = np.arange(width) < size[at : at + 64, None]
             rows_of = np.where(inside, rows_of, 0)
-            block = points[rows_of]
-            score = block @ block.transpose(0, 2, 1)
+            block, short = points[rows_of], lift[rows_of]
+            score = products(block, short, block, short)
             go = (new[rows_of][:, :, None] | new[rows_of][:, None, :]) & (score > least[rows_of][:, :, None])
             go &= inside[:, :, None] & inside[:, None, :]
             which, a, b = np.nonzero(go & ~np.eye(width, dtype=bool))
@@ -242,9 +256,9 @@ def build_graph(nodes: DataFrame, work: Workspace) -> DataFrame:
 def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Inner products by which a query's beam may grow."""
     for batch in batches:
-        points = unpack(batch.column("point"))
+        points = unpack(batch.column("point"))[0]
         asked = _matrix(batch.column("asked"), batch.num_rows)
-        score = np.einsum("ij,ij->i", asked, points[:, : asked.shape[1]]) if len(asked) else np.zeros(0)
+        score = np.einsum("ij,ij->i", asked, points) if len(asked) else np.zeros(0)
         go = pa.array(score > batch.column("least").to_numpy(zero_copy_only=False))
         yield pa.RecordBatch.from_pydict({
             "query": batch.column("query").filter(go), "node": batch.column("node").filter(go),
@@ -256,12 +270,20 @@ def greedy_search(asked: DataFrame, nodes: DataFrame, links: DataFrame, work: Wo
     """(`query`, `node`): the BEAM best nodes that each query found.
 
     `asked` has `query`, its vector `asked`, the node `entry` where it enters the graph and that
-    node's `score`. Each step goes from the best nodes not gone from yet to all of their neighbours.
+    node's `score`; all enter at the longest vectors too. Each step goes from the best nodes not gone
+    from yet to all of their neighbours.
     """
     points = nodes.select("node", "point")
+    square = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)
+    longest = nodes.orderBy(square.desc(), "node").limit(LONGEST).select("node", "vec")
+    far = (
+        asked.join(F.broadcast(longest), F.col("query") != F.col("node"))
+        .select("query", "node", "asked", "vec")
+        .mapInArrow(_exact, "query long, node long, score double").withColumn("gone", F.lit(False))
+    )
     order = _nearest(node="node")
     beam = work.save(
-        asked.select("query", F.col("entry").alias("node"), "score", F.lit(False).alias("gone")),
+        asked.select("query", F.col("entry").alias("node"), "score", F.lit(False).alias("gone")).union(far),
         "beam",
     )
     for _ in range(MAX_STEPS):

@@ -65,3 +65,24 @@ def test_few_rows(spark, work):
     assert run(spark, work, few) == brute(few, 20)
     assert run(spark, work, few[:1]) == {}
     assert run(spark, work, []) == {}
+
+
+def recall(spark, work, vectors, top=20):
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors.astype(np.float32))]
+    got, want = run(spark, work, rows, top), brute(rows, top)
+    return sum(len(set(got[q]) & set(want[q])) for q in want) / sum(map(len, want.values()))
+
+
+def test_one_long_vector(spark, work):
+    """A vector a thousand times as long as the others leaves them their differences."""
+    vectors = np.random.default_rng(1).normal(size=(700, 64)) / 8
+    vectors[333] *= 1000 / np.linalg.norm(vectors[333])
+    assert recall(spark, work, vectors) >= 0.9
+
+
+def test_near_equal_group(spark, work):
+    """More vectors than a beam holds, closer to each other than an eighth bit."""
+    rng = np.random.default_rng(2)
+    vectors = rng.normal(size=(900, 64)) / 8
+    vectors[::3] = vectors[0] + rng.normal(size=(300, 64)) * 1e-5
+    assert recall(spark, work, vectors) >= 0.9
