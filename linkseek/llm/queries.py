@@ -18,6 +18,7 @@ from linkseek.llm.pieces import encode_pieces
 from linkseek.llm.quality import fit_quality, score_quality
 from linkseek.llm.sharding import shuffle_to_shards
 from linkseek.llm.token_counts import count_tokens
+from linkseek.llm.topk_scan import exact_top
 from linkseek.llm.workers import reach
 from linkseek.sources.adapters import table
 from linkseek.workspace import Workspace
@@ -81,6 +82,11 @@ def html_text(spark: SparkSession, folder: str) -> DataFrame:
     return main_text(table(spark, folder, "pages"), Workspace(spark))
 
 
+def top_products(spark: SparkSession, folder: str) -> DataFrame:
+    is_query = F.col("vec_id") % 50 == 0
+    return exact_top(table(spark, folder, "embeddings"), is_query, Workspace(spark))
+
+
 def _reached(query):
     return lambda spark, folder: query(reach(spark), folder)
 
@@ -96,6 +102,7 @@ _ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": near_dedup,
     "op9_sharding": sharding,
     "op10_html_text": html_text,
+    "op13_top_products": top_products,
 }
 
 QUERIES = {name: _reached(query) for name, query in _ALL.items()}
@@ -111,4 +118,21 @@ ORACLE: dict[str, str] = {
                doc_id = max(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
         FROM docs WINDOW same AS (PARTITION BY norm)
     """,
+    "op13_top_products": """
+        WITH points AS (
+            SELECT vec_id, max(list_transform(embedding, lambda x: CAST(floor(256 * x::DOUBLE) AS BIGINT))) AS point
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+            GROUP BY vec_id
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.point, c.point), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM points q JOIN points c ON c.vec_id <> q.vec_id AND len(c.point) = len(q.point)
+            WHERE q.vec_id % 50 = 0
+        )
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+               vec_id, score
+        FROM scored QUALIFY rank <= 5
+    """,
 }
