@@ -71,21 +71,25 @@ def span_hashes(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.nd
     return mix((prefix[end] - prefix[begin]) * inverse[begin] + (end - begin).astype(np.uint64))
 
 
-def words(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word of the texts, split at ASCII white space and lower-cased (A-Z), and the
-    places in them where each text's words start (one more than texts)."""
-    begin, end, data, text_start = word_spans(texts)
+def words(
+    texts: list[bytes], lower: bool = True, gap: np.ndarray = _SPACE
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word of the texts, split at ASCII white space (or `gap`) and lower-cased (A-Z),
+    and the places in them where each text's words start (one more than texts)."""
+    begin, end, data, text_start = word_spans(texts, gap)
     if lower:
         data = _LOWER[data]
     return span_hashes(data, begin, end), np.searchsorted(begin, text_start)
 
 
-def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(
+    texts: list[bytes], gap: np.ndarray = _SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Begin and end of every word in the joined texts, those bytes, and where each text starts.
-    A space after each text keeps words of two texts apart."""
+    A space after each text keeps words of two texts apart; `gap` tells the bytes between words."""
     text_start = starts([len(x) + 1 for x in texts])
     data = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
-    space = _SPACE[data]
+    space = gap[data]
     edge = np.flatnonzero(np.diff(space.astype(np.int8), prepend=1, append=1))
     return edge[::2], edge[1::2], data, text_start
 
