@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkseek.functions import text as T
@@ -11,6 +10,9 @@ from linkseek.functions import text as T
 # Document ids covered by one posting row; a frequent word has several rows.
 POSTING_BLOCK = 65_536
 
+# Pieces of a text whose offsets are added up together.
+RUN_PIECES = 64
+
 # Fixed value: gaps between words.
 _GAP_OR_WORD = r"[a-zA-Z]+|[^a-zA-Z]+"
 
@@ -31,15 +33,15 @@ def term_frequencies(
 ) -> DataFrame:
     """(`word`, `doc_id`, `tf`) of `docs(title, raw_text)`; repeated titles add up.
 
-    The exchange hashes word and document together, after counting inside each task, so a
-    frequent word doesn't pile up. Ids are joined by title; Spark splits that join for a title with very
-    many lines, as both of its sides are plain tables.
+    Words are counted where the texts lie, then by title and word together, so that neither a
+    frequent word nor a title with very many lines piles up. Ids join the counts: no text moves.
     """
     word = F.lower("word") if lower else F.col("word")
-    found = with_doc_ids(docs.select("title", "raw_text"), ids, strict).select(
-        "doc_id", F.explode(T.words(F.col("raw_text"))).alias("word")
+    counts = (
+        docs.select("title", F.explode(T.words(F.col("raw_text"))).alias("word"))
+        .groupBy("title", word.alias("word")).agg(F.count("*").alias("tf"))
     )
-    return found.groupBy(word.alias("word"), "doc_id").agg(F.count("*").alias("tf"))
+    return with_doc_ids(counts, ids, strict).select("word", "doc_id", "tf")
 
 
 def document_frequencies(tf: DataFrame) -> DataFrame:
@@ -58,32 +60,49 @@ def postings(tf: DataFrame, block: int = POSTING_BLOCK) -> DataFrame:
     )
 
 
-def occurrences(docs: DataFrame, ids: DataFrame, strict: bool = True) -> DataFrame:
-    """(`seq`, `doc_id`, `word`, `pos`): every word with its offset in the line's text.
+def _sums(lengths: Column) -> Column:
+    """The sum of all lengths before each one, and of all."""
+    add = lambda sums, n: F.concat(sums, F.array(F.element_at(sums, -1) + n))
+    return F.aggregate(lengths, F.array(F.lit(0).cast("bigint")), add)
+
+
+def _word_offsets(docs: DataFrame) -> DataFrame:
+    """(`seq`, `title`, `word`, `pos`): every word with its offset in the line's text.
 
-    `seq` is unique per line. Texts move to their place before they are cut up, which is
-    cheaper than moving the pieces; the running length then needs no further exchange.
+    Offsets add up within the row, in runs of RUN_PIECES pieces and then over the runs, so that
+    a long text doesn't cost its length squared.
     """
-    placed = with_doc_ids(docs.select("title", "raw_text", "seq"), ids, strict).repartition("seq")
-    pieces = placed.select(
-        "seq", "doc_id",
-        F.posexplode(F.regexp_extract_all("raw_text", F.lit(_GAP_OR_WORD), F.lit(0)))
-        .alias("piece", "word"),
+    pieces = F.regexp_extract_all("raw_text", F.lit(_GAP_OR_WORD), F.lit(0))
+    n_runs = F.ceil(F.size("pieces") / RUN_PIECES).cast("int")
+    runs = F.transform(
+        F.sequence(F.lit(1), F.greatest(n_runs, F.lit(1))),
+        lambda i: F.slice("pieces", (i - 1) * RUN_PIECES + 1, F.lit(RUN_PIECES)),
     )
-    before = W.partitionBy("seq").orderBy("piece").rowsBetween(W.unboundedPreceding, -1)
+    run_size = lambda run: F.aggregate(run, F.lit(0).cast("bigint"), lambda n, x: n + F.length(x))
     return (
-        pieces.withColumn("pos", F.coalesce(F.sum(F.length("word")).over(before), F.lit(0)))
-        .where(F.substring("word", 1, 1).between("A", "Z")
-               | F.substring("word", 1, 1).between("a", "z"))
-        .select("seq", "doc_id", "word", "pos")
+        docs.select("seq", "title", pieces.alias("pieces")).select("seq", "title", runs.alias("runs"))
+        .withColumn("starts", _sums(F.transform("runs", run_size)))
+        .select("seq", "title", F.inline(F.arrays_zip("runs", F.slice("starts", F.lit(1), F.size("runs")))).alias("run", "start"))
+        .withColumn("before", F.slice(_sums(F.transform("run", F.length)), F.lit(1), F.size("run")))
+        .select("seq", "title", "start", F.inline(F.arrays_zip("run", "before")).alias("word", "pos"))
+        .where(F.col("word").rlike("^[a-zA-Z]"))
+        .select("seq", "title", "word", (F.col("start") + F.col("pos")).alias("pos"))
     )
 
 
+def occurrences(docs: DataFrame, ids: DataFrame, strict: bool = True) -> DataFrame:
+    """(`seq`, `doc_id`, `word`, `pos`): every word with its offset in the line's text. `seq` is
+    unique per line."""
+    return with_doc_ids(_word_offsets(docs), ids, strict).select("seq", "doc_id", "word", "pos")
+
+
 def positional_postings(docs: DataFrame, ids: DataFrame, strict: bool = True) -> DataFrame:
     """(`word`, `doc_id`, `seq`, `tf`, `positions`), one row per word and line.
 
-    An offset only means something within one text, and a text bounds the list.
+    An offset only means something within one text, and a text bounds the list. A line's offsets of a word
+    are gathered where the line lies; only these lists are exchanged, and ids join them.
     """
-    return occurrences(docs, ids, strict).groupBy("seq", "doc_id", "word").agg(
+    lists = _word_offsets(docs).groupBy("seq", "title", "word").agg(
         F.count("*").alias("tf"), F.sort_array(F.collect_list("pos")).alias("positions")
-    ).select("word", "doc_id", "seq", "tf", "positions")
+    )
+    return with_doc_ids(lists, ids, strict).select("word", "doc_id", "seq", "tf", "positions")

@@ -32,7 +32,10 @@ def wanted_words(queries: DataFrame) -> DataFrame:
 
 def word_lists(tf: DataFrame, words: DataFrame) -> DataFrame:
     """The term-frequency rows of `words`: by pruned scan for few words, by join for many."""
-    few = literal_keys(words, "word")
+    return _lists_of(tf, words, literal_keys(words, "word"))
+
+
+def _lists_of(tf: DataFrame, words: DataFrame, few: list | None) -> DataFrame:
     if few is not None:
         return tf.where(F.col("word").isin(few))
     return tf.join(words.select("word").distinct(), "word", "left_semi")
@@ -47,6 +50,15 @@ def missing_words(queries: DataFrame, tf: DataFrame) -> DataFrame:
     return words.join(absent, "word", "left_semi").select("query_id", "word")
 
 
+def word_sets(queries: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """Queries of the same words as one: (`query_id`, `words`), each word once, and who asked
+    (`_asked`, `query_id`)."""
+    words = F.array_sort(F.array_distinct("words"))
+    asked = queries.select(F.col("query_id").alias("_asked"), words.alias("words"))
+    sets = work.save(asked.groupBy("words").agg(F.min("_asked").alias("query_id")), "word-sets")
+    return sets, asked.join(sets, "words").select("_asked", "query_id")
+
+
 def intersect_postings(
     queries: DataFrame, tf: DataFrame, work: Workspace, df: DataFrame | None = None
 ) -> DataFrame:
@@ -55,26 +67,21 @@ def intersect_postings(
     Queries of the same words are answered once. `df(word, df)`, if there is one, saves counting
     the words' lists. Each query starts from its rarest word, and every candidate is checked against all its
     words by (word, document). Rows moved follow the rarest words, and a frequent word
-    spreads by document. The per-query tables are saved, so Spark knows their size and
-    broadcasts them only if they are small.
+    spreads by document. The result isn't saved; who reads it twice should.
     """
-    words = F.array_sort(F.array_distinct("words"))
-    asked = work.save(queries.select(F.col("query_id").alias("_asked"), words.alias("words")), "asked")
-    sets = work.save(asked.groupBy("words").agg(F.min("_asked").alias("query_id")), "word-sets")
-    found = _intersected(sets, tf, work, df)
+    sets, askers = word_sets(queries, work)
     return (
-        work.save(found, "intersected")
-        .join(work.save(asked.join(sets, "words").select("_asked", "query_id"), "askers"), "query_id")
+        _intersected(sets, tf, work, df).join(askers, "query_id")
         .select(F.col("_asked").alias("query_id"), "doc_id", "tf")
     )
 
 
 def _intersected(sets: DataFrame, tf: DataFrame, work: Workspace, df: DataFrame | None) -> DataFrame:
-    wanted = work.save(wanted_words(sets), "wanted")
-    lists = word_lists(tf, wanted)
-    if df is None:
-        df = lists.groupBy("word").agg(F.count("*").alias("df"))
-    found = wanted.join(work.save(word_lists(df, wanted), "frequencies"), "word")
+    wanted = wanted_words(sets)
+    few = literal_keys(wanted, "word")
+    lists = _lists_of(tf, wanted, few)
+    frequencies = lists.groupBy("word").agg(F.count("*").alias("df")) if df is None else _lists_of(df, wanted, few)
+    found = wanted.join(frequencies, "word")
     sizes = wanted.groupBy("query_id").agg(F.count("*").alias("n_words"))
     rarest = work.save(
         found.groupBy("query_id")
@@ -109,14 +116,17 @@ def removed_documents(
     return first.select(*by).join(other.select(*by).distinct(), list(by), "left_anti")
 
 
-def score(matches: DataFrame, ranks: DataFrame, n_docs: int, work: Workspace) -> DataFrame:
+def score(
+    matches: DataFrame, ranks: DataFrame, n_docs: int, work: Workspace, sizes: DataFrame | None = None
+) -> DataFrame:
     """Score columns for `matches(query_id, doc_id, tf)`.
 
-    `df` is the size of the query's own result. It is counted apart and joined back. Past
+    `df` is the size of the query's own result: as `sizes(query_id, df)` has it, for matches that are
+    only part of the result, else counted apart and joined back. Past
     broadcasting size that join goes by query and salt, so a query with very many results
     is spread out and reaches the ranking as the best few of each task.
     """
-    df = matches.groupBy("query_id").agg(F.count("*").alias("df"))
+    df = matches.groupBy("query_id").agg(F.count("*").alias("df")) if sizes is None else sizes
     # Over as many keys as the largest result needs; small tables are broadcast anyway.
     df = work.save(df, "result-sizes")
     salts = -(-(df.agg(F.max("df")).first()[0] or 1) // SALT_ROWS)

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkseek.operators import blocks as blocks_op
 from linkseek.operators import documents as docs_op
 from linkseek.operators import index as index_op
 from linkseek.operators.graph import LinkGraph, build_graph
@@ -37,7 +38,8 @@ class RankedCorpus:
 class SearchTables:
     """What a query needs: ranks, tf(word, doc_id, tf), documents(title, text), df(word, df).
 
-    `bad(seq, value, reason)` are the lines that a permissive build left out.
+    `bad(seq, value, reason)` are the lines that a permissive build left out. Tables with posting
+    `blocks` and `block_ranks` are searched by these instead of `tf`.
     """
 
     ranks: DataFrame
@@ -46,6 +48,8 @@ class SearchTables:
     n_docs: int
     df: DataFrame
     bad: DataFrame | None = None
+    blocks: DataFrame | None = None
+    block_ranks: DataFrame | None = None
 
 
 def rank_links(pages: DataFrame, links: DataFrame, work: Workspace) -> RankedCorpus:
@@ -93,7 +97,12 @@ def answer(
 ) -> DataFrame:
     """Top results with their snippets; texts are fetched for the results alone."""
     asked = work.save(queries.select("query_id", "words"), "queries")
-    found = search(asked, tables.tf, tables.ranks, tables.n_docs, work, k, strict, tables.df)
+    if tables.blocks is None:
+        found = search(asked, tables.tf, tables.ranks, tables.n_docs, work, k, strict, tables.df)
+    else:
+        found = blocks_op.search_blocks(
+            asked, tables.blocks, tables.ranks, tables.block_ranks, tables.n_docs, work, k, strict
+        )
     results = work.save(found, "results")
     return snippets(with_texts(results, tables.documents), asked)
 
@@ -112,6 +121,16 @@ def build_stats(tables: SearchTables) -> DataFrame:
     )
 
 
+def with_blocks(tables: SearchTables, work: Workspace, block: int = blocks_op.BLOCK) -> SearchTables:
+    """The same tables with posting blocks, in word order so that lookups skip files."""
+    rows = blocks_op.posting_blocks(tables.tf, block)
+    rows = rows.repartitionByRange("word", "block").sortWithinPartitions("word", "block")
+    return replace(
+        tables, blocks=work.save(rows, "posting-blocks"),
+        block_ranks=work.save(blocks_op.rank_blocks(tables.ranks, block), "block-ranks"),
+    )
+
+
 def publish(tables: SearchTables, database: str, buckets: int | None = None) -> None:
     """Replace the stored tables of `database`, each laid out for lookups by its key.
 
@@ -124,7 +143,8 @@ def publish(tables: SearchTables, database: str, buckets: int | None = None) ->
     replace_table(tables.documents, f"{database}.document_table", "title", buckets=buckets)
     replace_table(tables.tf, f"{database}.index_table", "word", "doc_id", ordered=True)
     replace_table(tables.df, f"{database}.frequency_table", "word")
-    replace_table(index_op.postings(tables.tf), f"{database}.posting_table", "word", "block")
+    replace_table(blocks_op.posting_blocks(tables.tf), f"{database}.posting_table", "word", "block")
+    replace_table(blocks_op.rank_blocks(tables.ranks), f"{database}.block_table", "block")
     build_stats(tables).write.mode("overwrite").format("parquet").saveAsTable(
         f"{database}.build_stats"
     )
@@ -139,4 +159,6 @@ def published(spark: SparkSession, database: str) -> SearchTables:
         spark.table(f"{database}.document_table"),
         stats.first()["n"],
         spark.table(f"{database}.frequency_table"),
+        blocks=spark.table(f"{database}.posting_table"),
+        block_ranks=spark.table(f"{database}.block_table"),
     )

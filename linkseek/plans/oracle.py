@@ -316,6 +316,12 @@ FROM state WHERE turn > 0""",
         f"SELECT p.*, d.df FROM ({_POSTING_ROWS.format(block=64)}) p "
         "JOIN (SELECT word, count(*) AS df FROM tf GROUP BY 1) d ON d.word = p.word"
     ),
+    "posting_blocks": _doc_tf(
+        "SELECT word, doc_id // 64 AS block, count(*) AS n, min(doc_id) AS low, max(doc_id) AS high, "
+        "max(tf) AS max_tf, count(DISTINCT doc_id) AS n_bits, count(*) AS n_postings FROM tf GROUP BY 1, 2"
+    ),
+    "common_blocks": f"WITH {_DOC_TF}, {_PASSAGES},{_MATCHES} "
+                     "SELECT query_id, doc_id // 64 AS block, count(*) AS hits FROM matches GROUP BY 1, 2",
     "postings_text": _doc_tf(
         f"SELECT word || chr(9) || entries AS value FROM ({_POSTINGS})"
     ),
@@ -410,5 +416,8 @@ QUALIFY row_number() OVER (PARTITION BY key ORDER BY batch DESC, seq DESC) = 1""
 }
 
 # Other ways to the same rows.
-for _name_, _same in (("publish_lookup", "search_topk"), ("table_put_stored", "table_upsert")):
+for _name_, _same in (
+    ("publish_lookup", "search_topk"), ("table_put_stored", "table_upsert"),
+    ("search_blocks", "search_batch"), ("search_early_end", "search_topk"),
+):
     ORACLE[_name_] = ORACLE[_same]

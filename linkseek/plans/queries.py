@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from linkseek.functions import text as T
 from linkseek.functions.scoring import teleport
+from linkseek.operators import blocks as O
 from linkseek.operators import documents as D
 from linkseek.operators import graph as G
 from linkseek.operators import ids as N
@@ -75,12 +76,13 @@ def _ranked_pages(spark: SparkSession, folder: str, work: Workspace) -> B.Ranked
 
 def _page_tables(spark: SparkSession, folder: str, work: Workspace) -> B.SearchTables:
     """Pages under their whole titles, each with the rank of the name that links know it by."""
-    named = D.titles(_named_pages(spark, folder)).withColumnRenamed("title", "name")
-    titles = D.titles(_pages(spark, folder)).join(named, "seq").select("title", "name").distinct()
-    ranks = _ranked_pages(spark, folder, work).ranks.select(F.col("title").alias("name"), "pr")
-    ranked = work.save(titles.join(ranks, "name").groupBy("title").agg(F.max("pr").alias("pr")), "ranked")
+    pages = work.save(A.page_documents(A.table(spark, folder, "pages")), "pages")
+    linked = pages.select(F.col("name").alias("title"), "links")
+    ranks = B.rank_links(linked.select("title"), D.link_rows(linked), work).ranks
+    named = pages.select("title", "name").distinct().join(ranks.withColumnRenamed("title", "name"), "name")
+    ranked = work.save(named.groupBy("title").agg(F.max("pr").alias("pr")), "ranked")
     n_docs = ranked.count()
-    docs = D.documents(_pages(spark, folder))
+    docs = pages.select("seq", "title", "raw_text")
     return B.index_corpus(docs, N.rank_table(ranked, n_docs, work), n_docs, work)
 
 
@@ -399,6 +401,51 @@ def search_batch(spark: SparkSession, folder: str) -> DataFrame:
     return _scores(S.search(_passage_queries(spark, folder), tf, ranks, ranks.count(), work))
 
 
+def _block_search(
+    queries: DataFrame, tf: DataFrame, ranks: DataFrame, n_docs: int, work: Workspace, block: int
+) -> DataFrame:
+    tables = B.with_blocks(B.SearchTables(ranks, tf, None, n_docs, None), work, block)
+    return _scores(O.search_blocks(queries, tables.blocks, ranks, tables.block_ranks, n_docs, work))
+
+
+@registered
+def search_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """As `search_batch`, from posting blocks of 64 document ids."""
+    work = Workspace(spark)
+    ranks = work.save(_document_ranks(spark, folder, work), "ranks")
+    return _block_search(
+        _passage_queries(spark, folder), _document_tf(spark, folder), ranks, ranks.count(), work, 64
+    )
+
+
+@registered
+def search_early_end(spark: SparkSession, folder: str) -> DataFrame:
+    """As `search_topk`, from posting blocks of 16 document ids."""
+    work = Workspace(spark)
+    tables = _page_tables(spark, folder, work)
+    return _block_search(_word_list_queries(spark), tables.tf, tables.ranks, tables.n_docs, work, 16)
+
+
+@registered
+def posting_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """Headers of posting blocks of 64 document ids, with the number of bits set."""
+    blocks = O.posting_blocks(_document_tf(spark, folder), 64)
+    return blocks.select(
+        "word", "block", "n", "low", "high", "max_tf", F.bitmap_count("bits").alias("n_bits"),
+        F.size("postings").cast("bigint").alias("n_postings"),
+    )
+
+
+@registered
+def common_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """Of each passage, the blocks of 64 document ids with documents that have all of its words."""
+    work = Workspace(spark)
+    blocks = work.save(O.posting_blocks(_document_tf(spark, folder), 64), "blocks")
+    sets, askers = S.word_sets(_passage_queries(spark, folder), work)
+    found = O.common_blocks(sets, blocks, work).join(askers, "query_id")
+    return found.select(F.col("_asked").alias("query_id"), "block", "hits")
+
+
 @registered
 def search_missing_words(spark: SparkSession, folder: str) -> DataFrame:
     """Passage words that no page contains."""

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkseek.functions import text as T
+from linkseek.operators.documents import NO_TITLE, documents
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,18 +38,36 @@ def page_lines(pages: DataFrame, named: bool = False) -> DataFrame:
     own-site links as `[[target]]`. Links name a page by the first token of its title: with
     `named`, for the link graph alone, that name stands for the title.
     """
+    parts = _page_parts(pages)
+    return _lines(parts.select("seq", (_first("title") if named else F.col("title")).alias("title"), "text"))
+
+
+def _first(title: str) -> Column:
+    return F.split_part(title, F.lit(" "), F.lit(1))
+
+
+def _page_parts(pages: DataFrame) -> DataFrame:
     title = F.trim(T.raw_title(F.col("html")))
     parts = pages.select(
         F.col("page_id").alias("seq"), _one_line(F.col("html")).alias("html")
     ).select(
-        "seq",
-        (F.split_part(title, F.lit(" "), F.lit(1)) if named else title).alias("title"),
+        "seq", title.alias("title"),
         F.regexp_replace("html", "<[^>]*>", " ").alias("text"),
         F.regexp_extract_all("html", F.lit('href="/([^"]+)"'), F.lit(1)).alias("hrefs"),
     )
     marked = F.concat(F.lit(" [["), F.array_join("hrefs", "]] [["), F.lit("]]"))
     links = F.when(F.size("hrefs") > 0, marked).otherwise("")
-    return _lines(parts.select("seq", "title", F.concat("text", links).alias("text")))
+    return parts.select("seq", "title", F.concat("text", links).alias("text"))
+
+
+def page_documents(pages: DataFrame) -> DataFrame:
+    """All that is cut out of pages, in one pass: (`seq`, `title`, `name`, `links`, `raw_text`), where
+    `name` is what links know the page by."""
+    lines = _lines(_page_parts(pages))
+    first = T.normalize_name(_first("_title"))
+    cut = documents(lines.select("*", T.raw_links(F.col("value")).alias("links"),
+                                 T.raw_title(F.col("value")).alias("_title")))
+    return cut.select("seq", "title", T.required(first, NO_TITLE).alias("name"), "links", "raw_text")
 
 
 def document_lines(documents: DataFrame) -> DataFrame:

@@ -1,5 +1,8 @@
+import re
+
 import pytest
 
+from linkseek.operators import blocks as O
 from linkseek.operators import documents as D
 from linkseek.operators import graph as G
 from linkseek.operators import index as I
@@ -50,20 +53,23 @@ def test_edges_stay_in_place(spark, work, no_broadcast, salt_rows):
     edges.unpersist()
 
 
-def test_index_plan(docs, ids):
+def test_index_plan(docs, ids, no_broadcast):
+    """Texts are counted where they lie: the join of ids moves counts."""
     tf = I.term_frequencies(docs, ids)
     text = plan(I.postings(tf))
     assert not any(p in text for p in PYTHON)
     assert "SinglePartition" not in text
-    assert text.count("partial_count(1)") >= 1
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
+    assert not re.search(r"Exchange.*\n(?!.*partial_count).*raw_text", text)
+    assert text.count("partial_count(1)") >= 2
 
 
-def test_positions_move_texts_not_words(docs, ids):
+def test_positions_move_lists_not_texts(docs, ids):
     text = plan(I.positional_postings(docs, ids))
-    assert not any(p in text for p in PYTHON) and "SinglePartition" not in text
-    above_generate = text[: text.index("Generate")]
-    assert "Exchange" not in above_generate
+    assert not any(p in text for p in PYTHON) and "SinglePartition" not in text and "Window" not in text
+    assert text.count("Exchange hashpartitioning") == 1
+    below = text[text.index("Exchange hashpartitioning") :]
+    assert "partial_collect_list" in below and "Generate inline" in below
 
 
 def test_search_plan(spark, docs, ids, work):
@@ -102,3 +108,15 @@ def test_lookup_reaches_the_scan(spark, docs):
     found = K.lookup_many(table, keys, "title", "raw_text")
     assert "PushedFilters: [In(title" in plan(found) and found.count() == 2
     K.drop_table(spark, "bucketed")
+
+
+def test_blocks_are_chosen_by_their_headers(spark, docs, ids, work):
+    blocks = work.save(O.posting_blocks(I.term_frequencies(docs, ids), 16), "blocks")
+    query = spark.createDataFrame([(1, ["the", "of"])], "query_id BIGINT, words ARRAY<STRING>")
+    sets, _ = S.word_sets(query, work)
+    headers = plan(S.word_lists(blocks, S.wanted_words(sets)).select("word", "block", "low", "max_tf"))
+    assert "postings" not in headers and "bits" not in headers
+    common = O.common_blocks(sets, blocks, work).where("block IN (2, 3)")
+    text = plan(O.matches_in(work.save(common, "chosen"), sets, blocks))
+    assert "In(block, [2,3])" in text and "In(word, [of,the])" in text.replace("[the,of]", "[of,the]")
+    assert "bits" not in text and not any(p in text for p in PYTHON)
