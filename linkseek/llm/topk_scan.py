@@ -14,10 +14,13 @@ from linkseek.workspace import Workspace
 TOP = 5
 SCALE = 256
 # Components in one block of sorted lists, and queries that read a block's lists in one task.
-BLOCK_COMPONENTS = 1 << 20
-CHUNK_QUERIES = 256
-# Vectors per place sought that are few enough to have their scores resolved.
-RESOLVED = 64
+BLOCK_COMPONENTS = 1 << 22
+CHUNK_QUERIES = 128
+# The first level, as a share of the largest contribution, and each next one of that before it.
+FIRST_LEVEL = 0.15
+NEXT_LEVEL = 0.65
+# Vectors that are few enough to have their scores resolved, as a share of the block.
+RESOLVED = 1 / 16
 
 
 def grid(vector: Column, scale: int = SCALE) -> Column:
@@ -72,9 +75,8 @@ def scan(lists: Lists, query: np.ndarray, top: int) -> tuple[np.ndarray, int]:
         return np.arange(lists.n), 0
     seen = np.zeros(lists.n, np.int64)
     begin, end = dict.fromkeys(dims, 0), dict.fromkeys(dims, lists.n)
-    level, n_read = max(reach.values(), default=0), 0
+    level, n_read = int(max(reach.values(), default=0) * FIRST_LEVEL), 0
     while True:
-        level = level * 3 // 5
         active = [d for d in dims if reach[d] > level]
         for d in active:
             value, order, w = lists.value[d], lists.order[d], weight[d]
@@ -93,8 +95,9 @@ def scan(lists: Lists, query: np.ndarray, top: int) -> tuple[np.ndarray, int]:
         upper = known + unshown + sum(high for _, high in flat)
         needed = np.partition(lower, lists.n - top)[lists.n - top] if lists.n > top else lower.min()
         left = np.flatnonzero(upper >= needed)
-        if level == 0 or len(left) <= RESOLVED * top:
+        if level == 0 or len(left) <= max(top, RESOLVED * lists.n):
             return left, n_read
+        level = int(level * NEXT_LEVEL)
 
 
 def _sorted_lists(block: pd.DataFrame) -> pd.DataFrame:
