@@ -52,10 +52,31 @@ def good_lines(lines: DataFrame) -> DataFrame:
 
 
 def _with_reason(lines: DataFrame) -> DataFrame:
-    reason = F.when(F.col("title") == "", F.lit(NO_TITLE)).when(
+    return _extracted(lines).select(*lines.columns, _reason().alias("reason"))
+
+
+def _reason():
+    return F.when(F.col("title") == "", F.lit(NO_TITLE)).when(
         (F.col("raw_text") == "") & ~T.has_empty_body(F.col("value")), F.lit(NO_BODY)
     )
-    return _extracted(lines).select(*lines.columns, reason.alias("reason"))
+
+
+def cut_lines(lines: DataFrame, work: Workspace, strict: bool = True) -> tuple[DataFrame, DataFrame | None]:
+    """All that is cut out of lines, in one pass: `title`, `links` as written, `raw_text`, and all columns
+    but `value`; saved. A malformed line raises, or, if not `strict`, is in the second table,
+    whole and with its `reason`."""
+    kept = [c for c in lines.columns if c != "value"]
+    linked = lines.withColumn("links", T.raw_links(F.col("value")))
+    if strict:
+        return work.save(documents(linked).select(*kept, "title", "links", "raw_text"), "cut"), None
+    cut = _extracted(linked).withColumn("reason", _reason()).select(
+        *kept, T.normalize_name(F.col("title")).alias("title"), "links", "raw_text", "reason",
+        F.when(F.col("reason").isNotNull(), F.col("value")).alias("value"),
+        F.col("reason").isNotNull().alias("broken"),
+    )
+    saved = work.save(cut, "cut", by="broken")
+    good = saved.where("NOT broken").select(*kept, "title", "links", "raw_text")
+    return good, saved.where("broken").select(*kept, "value", "reason")
 
 
 def linked_titles(lines: DataFrame) -> DataFrame:

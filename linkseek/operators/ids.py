@@ -11,7 +11,7 @@ from linkseek.functions.scoring import rank_order
 from linkseek.workspace import Workspace
 
 # monotonically_increasing_id puts the partition above these bits and the row below.
-_ROW_BITS = 33
+ROW_BITS = 33
 
 
 def number_rows(
@@ -26,13 +26,13 @@ def number_rows(
     placed = work.save(
         df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()),
         f"placed-{column}",
-    ).withColumn("_part", F.shiftright("_place", _ROW_BITS))
+    ).withColumn("_part", F.shiftright("_place", ROW_BITS))
     sizes = sorted(placed.groupBy("_part").count().collect())
     before = accumulate((n for _, n in sizes), initial=start)
     offsets = work.spark.createDataFrame(
         [(part, first) for (part, _), first in zip(sizes, before)], "_part BIGINT, _first BIGINT"
     )
-    in_part = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    in_part = F.col("_place").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
     return (
         placed.join(F.broadcast(offsets), "_part")
         .withColumn(column, in_part + F.col("_first"))

@@ -81,14 +81,11 @@ def index_corpus(docs: DataFrame, ranks: DataFrame, n_docs: int, work: Workspace
 def build(
     lines: DataFrame, work: Workspace, mode: str = "strict"
 ) -> tuple[RankedCorpus, SearchTables]:
-    """Ranks and search tables of corpus lines. A malformed line raises, or in "permissive" mode
-    goes to a table of bad lines."""
-    bad = None
-    if mode == "permissive":
-        bad = work.save(docs_op.bad_lines(lines), "bad-lines")
-        lines = docs_op.good_lines(lines)
-    ranked = rank_corpus(lines, work)
-    tables = index_corpus(docs_op.documents(lines), ranked.ranks, ranked.n_docs, work)
+    """Ranks and search tables of corpus lines, each of which is cut up once. A malformed line raises,
+    or in "permissive" mode goes to a table of bad lines."""
+    docs, bad = docs_op.cut_lines(lines, work, strict=mode != "permissive")
+    ranked = rank_links(docs.select("title"), docs_op.link_rows(docs.select("title", "links")), work)
+    tables = index_corpus(docs.select("seq", "title", "raw_text"), ranked.ranks, ranked.n_docs, work)
     return ranked, replace(tables, bad=bad)
 
 

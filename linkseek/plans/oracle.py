@@ -309,6 +309,12 @@ FROM state WHERE turn > 0""",
         "SELECT DISTINCT dst_title AS title FROM links "
         "WHERE dst_title NOT IN (SELECT title FROM nodes)"
     ),
+    "ids_without_title": f"{_PAGE_RANKS} SELECT doc_id FROM documents "
+                         "WHERE doc_id NOT IN (SELECT doc_id FROM rank_table)",
+    "exported_lines": f"{_PAGE_RANKS} SELECT doc_id AS line, doc_id || chr(9) || title AS value FROM rank_table",
+    "table_versions": "SELECT c_custkey, c_name FROM customer "
+                      "WHERE c_custkey NOT IN (SELECT o_custkey FROM orders "
+                      "WHERE o_orderpriority = '1-URGENT')",
     "term_frequency": _doc_tf("SELECT word, doc_id, tf FROM tf"),
     "doc_frequency": _doc_tf("SELECT word, count(*) AS df FROM tf GROUP BY 1"),
     "postings": _doc_tf(_POSTINGS),

@@ -291,6 +291,23 @@ def titles_without_id(spark: SparkSession, folder: str) -> DataFrame:
     return N.titles_without_id(links.withColumnRenamed("dst_title", "title"), ranked.ranks)
 
 
+@registered
+def ids_without_title(spark: SparkSession, folder: str) -> DataFrame:
+    """Document ids looked up in the id map of the pages."""
+    ranked = _ranked_pages(spark, folder, Workspace(spark))
+    return N.ids_without_title(A.table(spark, folder, "documents"), ranked.ranks)
+
+
+@registered
+def exported_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The id map exported as text in rank order, and read back by line number."""
+    work = Workspace(spark)
+    path = work.fresh("export")
+    ranks = _ranked_pages(spark, folder, work).ranks
+    L.export_lines(L.id_lines(ranks.orderBy("doc_id")), path)
+    return L.read_export(spark, path).select("line", "value")
+
+
 @registered
 def term_frequency(spark: SparkSession, folder: str) -> DataFrame:
     return _document_tf(spark, folder)
@@ -535,13 +552,13 @@ def input_file_ids(spark: SparkSession, folder: str) -> DataFrame:
     return files.select("file_id", F.regexp_extract("file_path", r"([^/]+\.parquet.*)$", 1).alias("file"), "n_rows")
 
 
-def _stored(spark: SparkSession, folder: str, name: str) -> str:
-    """A new table of customers (`key`, `value`) to write to."""
-    K.create_table(spark, name, "key BIGINT, value STRING")
+def _stored(spark: SparkSession, folder: str, name: str, work: Workspace) -> DataFrame:
+    """A new keyed table of customers (`key`, `value`) to write to."""
+    K.create_keyed_table(spark, name, "key BIGINT, value STRING", "key")
     base = A.table(spark, folder, "customer").select(
-        F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("value")
+        F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("value"), F.lit(0).alias("seq")
     )
-    return K.switch_table(spark.table(name).unionByName(base), name)
+    return K.put_stored(spark, name, base, "seq", work)
 
 
 def _dropped(spark: SparkSession, found: DataFrame, name: str) -> DataFrame:
@@ -557,29 +574,39 @@ def _new_name() -> str:
 @registered
 def table_put_stored(spark: SparkSession, folder: str) -> DataFrame:
     """As `table_upsert`, on a stored table."""
-    name = _new_name()
-    _stored(spark, folder, name)
+    name, work = _new_name(), Workspace(spark)
+    _stored(spark, folder, name, work)
     changes = A.table(spark, folder, "orders").select(
         F.col("o_custkey").alias("key"), F.col("o_orderpriority").alias("value"),
         F.col("o_orderkey").alias("seq"),
     )
-    return _dropped(spark, K.put_stored(spark, name, changes, "key", "seq"), name)
+    return _dropped(spark, K.put_stored(spark, name, changes, "seq", work), name)
 
 
 @registered
 def table_delete_stored(spark: SparkSession, folder: str) -> DataFrame:
     """As `table_delete`, on a stored table."""
-    name = _new_name()
-    _stored(spark, folder, name)
+    name, work = _new_name(), Workspace(spark)
+    _stored(spark, folder, name, work)
     keys = _urgent_customers(spark, folder).withColumnRenamed("c_custkey", "key")
-    return _dropped(spark, K.delete_stored(spark, name, keys, "key"), name)
+    return _dropped(spark, K.delete_stored(spark, name, keys, work), name)
+
+
+@registered
+def table_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers, then those without an urgent order, published under one name; the last are read."""
+    name = _new_name()
+    base = A.table(spark, folder, "customer").select("c_custkey", "c_name")
+    K.replace_table(base, name, "c_custkey", buckets=4)
+    rest = K.delete_rows(spark.table(name), _urgent_customers(spark, folder), "c_custkey")
+    return _dropped(spark, K.replace_table(rest, name, "c_custkey"), name)
 
 
 @registered
 def table_create_drop(spark: SparkSession, folder: str) -> DataFrame:
     """A table is there once created and filled, and gone once dropped."""
     name = _new_name()
-    rows = _stored(spark, folder, name).count()
+    rows = _stored(spark, folder, name, Workspace(spark)).count()
     there = spark.catalog.tableExists(name)
     K.drop_table(spark, name)
     gone = not spark.catalog.tableExists(name)
@@ -600,15 +627,14 @@ def _text_files(spark: SparkSession, lines: DataFrame, work: Workspace) -> str:
 def corpus_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Page lines written to text files and read back in the files' order."""
     work = Workspace(spark)
-    read = L.read_lines(spark, _text_files(spark, _pages(spark, folder), work), work)
-    return read.select("seq", "value")
+    return L.numbered_lines(spark, _text_files(spark, _pages(spark, folder), work), work)
 
 
 @registered
 def lines_document_table(spark: SparkSession, folder: str) -> DataFrame:
     """The last text of each title, by the order of text files that repeat titles."""
     work = Workspace(spark)
-    read = L.read_lines(spark, _text_files(spark, _pages(spark, folder), work), work)
+    read = L.read_lines(spark, _text_files(spark, _pages(spark, folder), work))
     return D.latest_documents(D.documents(read), work)
 
 
@@ -620,7 +646,7 @@ def lines_search(spark: SparkSession, folder: str) -> DataFrame:
         F.col("doc_id").alias("seq"), F.translate("text", "\r\n", "  ").alias("value")
     )
     path = _text_files(spark, _named_pages(spark, folder).unionByName(broken), work)
-    tables = B.build(L.read_lines(spark, path, work), work, mode="permissive")[1]
+    tables = B.build(L.read_lines(spark, path), work, mode="permissive")[1]
     return _scores(
         S.search(_word_list_queries(spark), tables.tf, tables.ranks, tables.n_docs, work, df=tables.df)
     )

@@ -8,43 +8,49 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from linkseek.operators.ids import number_rows
+from linkseek.operators.ids import ROW_BITS, number_rows
 from linkseek.workspace import Workspace
 
-# Most lines of a single-file export.
+# Most lines that one file gets.
 SINGLE_FILE_ROWS = 100_000
 
+# Folder of an export that lists its parts; readers of the lines pass over it.
+MANIFEST = "_manifest"
+
 TOO_MANY_TABS = "more than one tab in a rank line"
 
 
-def read_lines(spark: SparkSession, path: str, work: Workspace) -> DataFrame:
-    """Corpus lines of a file or folder as (`value`, `seq`), numbered from 0: files in the order of
-    their paths, lines as in the file.
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Corpus lines of a file or folder as (`value`, `seq`): files in the order of their paths, lines as
+    in the file.
 
-    Spark deals a file's splits out by size, so the order comes from each split's file and start.
-    A split's lines are read by one task in order; its first number is the number of lines of
-    all splits before it, from a table with a row per split. Lines are saved with their place.
+    `seq` is an order key, (file, start of the split, place), which the scan itself knows: Spark deals
+    splits out by size, but a split's lines are read by one task in order. Nothing is copied;
+    `numbered_lines` gives numbers where they are asked for.
     """
-    placed = work.save(
-        spark.read.text(path).select(
-            "value",
-            F.col("_metadata.file_path").alias("_file"),
-            F.col("_metadata.file_block_start").alias("_start"),
-            F.monotonically_increasing_id().alias("_place"),
-        ),
-        "lines",
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    key = F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        place.alias("place"),
     )
-    before = W.orderBy("_file", "_start").rowsBetween(W.unboundedPreceding, -1)
+    return spark.read.text(path).select("value", key.alias("seq"))
+
+
+def numbered_lines(spark: SparkSession, path: str, work: Workspace) -> DataFrame:
+    """Corpus lines as (`value`, `seq`), numbered from 0 in the order of `read_lines`.
+
+    A split's first number is the number of lines of all splits before it, from a table with
+    a row per split; the lines are read again and stay where they are.
+    """
+    lines = read_lines(spark, path).select("value", "seq.*")
+    before = W.orderBy("file", "start").rowsBetween(W.unboundedPreceding, -1)
     splits = work.save(
-        placed.groupBy("_file", "_start")
-        .agg(F.min("_place").alias("_least"), F.count("*").alias("_n"))
-        .withColumn("_first", F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_least"))
-        .select("_file", "_start", "_first"),
+        lines.groupBy("file", "start").agg(F.min("place").alias("least"), F.count("*").alias("n"))
+        .withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("least"))
+        .select("file", "start", "first"),
         "splits",
     )
-    return placed.join(splits, ["_file", "_start"]).select(
-        "value", (F.col("_first") + F.col("_place")).alias("seq")
-    )
+    return lines.join(splits, ["file", "start"]).select("value", (F.col("first") + F.col("place")).alias("seq"))
 
 
 def rank_lines(ranks: DataFrame) -> DataFrame:
@@ -126,10 +132,46 @@ def write_lines(lines: DataFrame, path: str) -> None:
 
 def write_single_file(lines: DataFrame, path: str) -> None:
     """As `write_lines` but in one file, for small results such as a top-k report; more than
-    SINGLE_FILE_ROWS lines raise."""
+    SINGLE_FILE_ROWS lines become the ordered parts of an export instead."""
     if lines.select("value").limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
-        raise ValueError(f"more than {SINGLE_FILE_ROWS} lines for one file")
-    lines.select("value").coalesce(1).write.mode("overwrite").text(path)
+        export_lines(lines, path)
+    else:
+        lines.select("value").coalesce(1).write.mode("overwrite").text(path)
+
+
+def export_lines(lines: DataFrame, path: str) -> DataFrame:
+    """Write sorted `lines` of any number as text parts and a manifest of where each belongs.
+
+    The parts, put together in the manifest's order, are the single file: a part holds `n_lines`
+    from line `first_line` on, and `n_bytes` from byte `first_byte` on. A sorted table's partitions are
+    ranges in order, and a part's name tells its partition. The manifest has a row per part.
+    """
+    write_lines(lines, path)
+    spark = lines.sparkSession
+    parts = spark.read.text(path).groupBy(
+        F.col("_metadata.file_name").alias("part"), F.col("_metadata.file_size").alias("n_bytes")
+    ).agg(F.count("*").alias("n_lines"))
+    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    sums = {f"first_{x}": F.coalesce(F.sum(f"n_{x}s").over(before), F.lit(0)) for x in ("line", "byte")}
+    parts.withColumns(sums).coalesce(1).write.mode("overwrite").parquet(f"{path}/{MANIFEST}")
+    return read_manifest(spark, path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """(`part`, `n_bytes`, `n_lines`, `first_line`, `first_byte`) of an export."""
+    return spark.read.parquet(f"{path}/{MANIFEST}")
+
+
+def read_export(spark: SparkSession, path: str) -> DataFrame:
+    """(`line`, `value`): the lines of an export, numbered from 0 over all parts."""
+    lines = read_lines(spark, path).select("value", "seq.*").withColumn("part", F.element_at(F.split("file", "/"), -1))
+    splits = lines.groupBy("part", "start").agg(F.min("place").alias("least"), F.count("*").alias("n"))
+    before = W.partitionBy("part").orderBy("start").rowsBetween(W.unboundedPreceding, -1)
+    first = splits.withColumn("in_part", F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("least")).join(
+        read_manifest(spark, path).select("part", "first_line"), "part"
+    )
+    line = F.col("first_line") + F.col("in_part") + F.col("place")
+    return lines.join(first, ["part", "start"]).select(line.alias("line"), "value")
 
 
 def input_files(dfs: list[DataFrame], work: Workspace) -> DataFrame:

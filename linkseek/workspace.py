@@ -51,14 +51,16 @@ class Workspace:
         """A path not used before, so no earlier result loses the files it reads."""
         return f"{self.path}/{next(self._numbers)}-{name}"
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
-        return self.write(df, self.fresh(name))
+    def save(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """The saved table; with `by`, in a folder for each value of that column, which readers of one
+        value don't look beyond."""
+        return self.write(df, self.fresh(name), by)
 
     def delete(self) -> None:
         """Delete this run's tables; nothing may read them any more."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
-    def write(self, df: DataFrame, path: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(path)
+    def write(self, df: DataFrame, path: str, by: str | None = None) -> DataFrame:
+        df.write.mode("overwrite").parquet(path, partitionBy=by)
         return self.spark.read.schema(df.schema).parquet(path)

@@ -22,7 +22,7 @@ def rows(df):
 
 def test_corpus_file(spark, work, tmp_path):
     (tmp_path / "corpus.txt").write_text("\n".join(LINES) + "\n", encoding="utf-8")
-    lines = L.read_lines(spark, str(tmp_path), work)
+    lines = L.read_lines(spark, str(tmp_path))
     assert [r.value for r in lines.orderBy("seq").collect()] == LINES
     assert D.documents(lines).count() == 6
 
@@ -84,16 +84,63 @@ def test_lines_follow_the_files(spark, work, tmp_path):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
     try:
-        got = {r.seq: r.value for r in L.read_lines(spark, str(tmp_path), work).collect()}
+        got = {r.seq: r.value for r in L.numbered_lines(spark, str(tmp_path), work).collect()}
+        keyed = [r.value for r in L.read_lines(spark, str(tmp_path)).orderBy("seq").collect()]
+        last = D.latest_documents(_titled(L.read_lines(spark, str(tmp_path))), work).collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-    assert got == dict(enumerate(["first", *(f"line {i:05d}" for i in range(5000))]))
-
-
-def test_single_file_limit(spark, tmp_path):
-    lines = spark.range(L.SINGLE_FILE_ROWS + 1).selectExpr("cast(id as string) as value")
-    with pytest.raises(ValueError):
-        L.write_single_file(lines, str(tmp_path / "one"))
+    want = ["first", *(f"line {i:05d}" for i in range(5000))]
+    assert got == dict(enumerate(want)) and keyed == want
+    assert sorted(r.text for r in last) == ["first", *(f"line {i:05d}" for i in range(4990, 5000))]
+
+
+def _titled(lines):
+    """Lines under a title for each last digit."""
+    return lines.selectExpr("seq", "concat('T', right(value, 1)) AS title", "value AS raw_text")
+
+
+def test_single_file_beyond_its_limit(spark, tmp_path, monkeypatch):
+    """Small results are one file, larger ones ordered parts that make up the same file."""
+    lines = spark.range(5000).selectExpr("format_string('%06d', 4999 - id) as value").orderBy("value")
+    want = [f"{i:06d}" for i in range(5000)]
+    L.write_single_file(lines, str(tmp_path / "one"))
+    one = list((tmp_path / "one").glob("part-*.txt"))
+    assert len(one) == 1 and one[0].read_text().split() == want
+    monkeypatch.setattr(L, "SINGLE_FILE_ROWS", 100)
+    path = tmp_path / "parts"
+    L.write_single_file(lines.repartitionByRange(3, "value").sortWithinPartitions("value"), str(path))
+    manifest = sorted(L.read_manifest(spark, str(path)).collect())
+    assert len(manifest) > 1
+    whole, n_lines = b"", 0
+    for row in manifest:
+        assert (row.first_byte, row.first_line) == (len(whole), n_lines)
+        part = (path / row.part).read_bytes()
+        assert len(part) == row.n_bytes and part.count(b"\n") == row.n_lines
+        whole, n_lines = whole + part, n_lines + row.n_lines
+    assert whole == one[0].read_bytes()
+    assert rows(L.read_export(spark, str(path))) == list(enumerate(want))
+    assert spark.read.text(str(path)).count() == 5000
+
+
+def test_export_of_nothing(spark, tmp_path):
+    L.export_lines(spark.createDataFrame([], "value string"), str(tmp_path / "none"))
+    assert L.read_export(spark, str(tmp_path / "none")).collect() == []
+
+
+@pytest.mark.parametrize("broken", [[], ["no title", "<title>T</title> no text"]])
+def test_lines_are_cut_once(spark, work, broken):
+    lines = spark.createDataFrame(list(enumerate(LINES + broken)), "seq long, value string")
+    good, bad = D.cut_lines(lines, work, strict=False)
+    assert rows(good.select("seq", "title", "raw_text")) == rows(
+        D.documents(lines.where(f"seq < {len(LINES)}")).select("seq", "title", "raw_text"))
+    assert rows(bad.select("value", "reason")) == sorted(zip(broken, [D.NO_TITLE, D.NO_BODY]))
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(broken" in plan and "regexp" not in plan
+    if broken:
+        with pytest.raises(PySparkException, match=D.NO_TITLE):
+            D.cut_lines(lines, work)
+    else:
+        assert rows(D.cut_lines(lines, work)[0]) == rows(good)
 
 
 def test_bad_rank_lines(spark):
