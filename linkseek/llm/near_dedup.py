@@ -8,10 +8,10 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkseek.llm.batches import list_array, mix, signed, span_hashes, text_slices, words
+from linkseek.llm.batches import list_array, mix, signed, span_hashes, starts, text_slices, words
 from linkseek.llm.components import components
 from linkseek.llm.keys import row_key
 from linkseek.workspace import Workspace
@@ -24,8 +24,10 @@ SKETCHES = 24
 SKETCH_SHINGLES = 5
 # Texts of up to so many shingles also get a key for all of them and for all but each one.
 SHORT = 9
-# Rounds in which all of a bucket are compared with one of them, before the exact rest.
+# Rounds in which all of a bucket are compared with one of them, and then rounds in which all that miss
+# one shingle of it are compared with the one of them that misses least, before the exact rest.
 ROUNDS = 3
+PART_ROUNDS = 2
 # Shingles that a sketch's first cut keeps on average; texts it leaves too few of go again.
 _CUT = 14
 
@@ -192,9 +194,10 @@ def near_classes(docs: DataFrame, work: Workspace, similarity: float = SIMILARIT
     smallest `doc_id`, whose row stays. Texts of the same words are one node from the start, so
     that copies make no pairs. Nodes that share a sketch are candidates. A bucket's nodes that are not
     yet in one class are aligned with one of them, drawn anew in each of a few rounds, so that
-    large groups of near copies grow together without pairs of all. Of what is left in mixed
-    buckets, pairs that can reach the similarity at all are found by prefixes of their
-    rarest shingles and aligned, so no link of candidates is lost.
+    large groups of near copies grow together without pairs of all. Further rounds cut the buckets
+    that are still mixed by the shingles of one node that the others miss: copies edited in the same
+    place are the nearest to each other. Of what is left, pairs that can reach the similarity at all are found
+    by prefixes of their rarest shingles and aligned, so no link of candidates is lost.
     A null text is empty; empty texts are one class. Null ids are larger than any. An empty
     table gives no rows.
     """
@@ -219,12 +222,17 @@ def near_classes(docs: DataFrame, work: Workspace, similarity: float = SIMILARIT
     )
     members = work.save(posted.join(buckets.select("key"), "key"), "members")
     sequences = _wanted_sequences(texts, nodes, members, work)
-    links = labels = None
-    for turn in range(ROUNDS):
+    links = labels = seen = None
+    for turn in range(ROUNDS + PART_ROUNDS):
         labelled = _labelled(members, labels, work)
-        pairs = _led_pairs(labelled, turn, work)
-        pairs = work.save(pairs if links is None else pairs.join(seen, ["a", "b"], "left_anti"), "pairs")
-        seen = pairs if links is None else seen.union(pairs)
+        drawn = F.xxhash64("node", F.lit(turn))
+        if turn < ROUNDS:
+            pairs = _led_pairs(labelled, drawn, work)
+        else:
+            parts = _missing_parts(labelled, drawn, sequences, similarity, work)
+            pairs = _led_pairs(_labelled(parts, labels, work), F.col("missing"), work)
+        pairs = work.save(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"), "pairs")
+        seen = pairs if seen is None else seen.union(pairs)
         found = _links(pairs, sequences, similarity, work)
         links = found if links is None else links.union(found)
         labels = components(links, work)
@@ -252,19 +260,19 @@ def _wanted_sequences(texts, nodes, members, work) -> DataFrame:
 
 
 def _labelled(members: DataFrame, labels: DataFrame | None, work: Workspace) -> DataFrame:
-    """(`key`, `node`, `label`) of buckets whose nodes are not all of one class yet."""
+    """`members` (`key`, `node`) with their `label`, of buckets whose nodes are not all of one class yet."""
     if labels is None:
-        return members.select("key", "node", F.col("node").alias("label"))
+        return members.withColumn("label", F.col("node"))
     label = F.coalesce("label", "node").alias("label")
-    rows = work.save(members.join(labels, "node", "left").select("key", "node", label), "labelled")
+    rows = work.save(members.join(labels, "node", "left").select(*members.columns, label), "labelled")
     mixed = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     mixed = work.save(mixed.where("low < high").select("key"), "mixed")
     return work.save(rows.join(mixed, "key"), "of-mixed")
 
 
-def _led_pairs(labelled: DataFrame, turn: int, work: Workspace) -> DataFrame:
-    """(`a`, `b`): each bucket's node that comes first in the turn's order, with those of other classes."""
-    first = F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "label")).alias("first")
+def _led_pairs(labelled: DataFrame, order: Column, work: Workspace) -> DataFrame:
+    """(`a`, `b`): each bucket's node that comes first in the order, with those of other classes."""
+    first = F.min(F.struct(order, "node", "label")).alias("first")
     led = labelled.groupBy("key").agg(first).select(
         "key", F.col("first.node").alias("_node"), F.col("first.label").alias("_label")
     )
@@ -274,15 +282,61 @@ def _led_pairs(labelled: DataFrame, turn: int, work: Workspace) -> DataFrame:
     ).distinct()
 
 
+def _missed(similarity: float):
+    """The shingles of the first sequence that the second misses, if it has half of what a link needs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            missed = []
+            for left, right in zip(batch.column("_left"), batch.column("_right")):
+                a, b = (_labels(x.values.to_numpy()) for x in (left, right))
+                own = np.setdiff1d(a, b)
+                near = len(a) - len(own) >= similarity / (1 + similarity) / 2 * (len(a) + len(b))
+                missed.append(own if near else own[:0])
+            size = [len(x) for x in missed]
+            yield pa.RecordBatch.from_pydict({
+                "a": batch.column("a"), "node": batch.column("node"), "missing": pa.array(size, pa.int64()),
+                "parts": list_array(signed(np.concatenate([*missed, np.zeros(0, np.uint64)])), starts(size)),
+            })
+
+    return run
+
+
+def _missing_parts(
+    labelled: DataFrame, order: Column, sequences: DataFrame, similarity: float, work: Workspace
+) -> DataFrame:
+    """(`key`, `node`, `missing`): buckets of all nodes of a bucket that miss the same shingle of its first
+    one, and how many of its shingles they miss. A node of few edits is in few of them."""
+    led = labelled.groupBy("key").agg(F.min(F.struct(order, "node")).alias("first"))
+    led = work.save(led.select("key", F.col("first.node").alias("a")), "first-nodes")
+    side = lambda node, name: sequences.select(
+        F.col("node").alias(node), F.col("sequence").alias(name)
+    )
+    pairs = work.save(labelled.join(led, "key").where("node != a").select("a", "node").distinct(), "with-first")
+    parts = (
+        pairs.join(side("a", "_left"), "a").join(side("node", "_right"), "node")
+        .select("a", "node", "_left", "_right")
+        .mapInArrow(_missed(similarity), "a long, node long, missing long, parts array<long>")
+        .select("a", "node", "missing", F.explode("parts").alias("part"))
+    )
+    members = work.save(parts.select(F.xxhash64("a", "part").alias("key"), "node", "missing"), "parts")
+    shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    return members.join(work.save(shared, "shared-parts"), "key")
+
+
+def _labels(sequence: np.ndarray) -> np.ndarray:
+    own = sequence.view(np.uint32).astype(np.uint64)
+    return label_occurrences(own, np.zeros(len(own), np.int64))
+
+
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The labelled shingles of each sequence, a row each."""
     for batch in batches:
         for node, sequence in zip(batch.column("node").to_pylist(), batch.column("sequence")):
-            own = sequence.values.to_numpy().view(np.uint32).astype(np.uint64)
-            tokens = label_occurrences(own, np.zeros(len(own), np.int64))
+            tokens = _labels(sequence.values.to_numpy())
             yield pa.RecordBatch.from_pydict({
-                "node": pa.array([node] * len(own), pa.int64()),
-                "size": pa.array([len(own)] * len(own), pa.int64()), "token": signed(tokens),
+                "node": pa.array([node] * len(tokens), pa.int64()),
+                "size": pa.array([len(tokens)] * len(tokens), pa.int64()), "token": signed(tokens),
             })
 
 

@@ -6,6 +6,7 @@ from samples import FOLDER, ODD_ROWS
 
 from linkseek.llm.components import components
 from linkseek.llm.near_dedup import aligned, near_classes
+from linkseek.workspace import Workspace
 
 
 def words(text):
@@ -102,6 +103,32 @@ def test_large_group_of_near_copies(spark, work):
     assert found(near_classes(docs, work)) == brute(rows)
 
 
+def test_pairs_grow_with_the_group(spark):
+    """Copies with one to four edits: twice the copies make about twice the pairs, at every step."""
+    counts = {}
+
+    class Counting(Workspace):
+        def save(self, df, name):
+            out = super().save(df, name)
+            if name in ("pairs", "with-first", "parts", "rest"):
+                counts.setdefault(name, []).append(out.count())
+            return out
+
+    made = []
+    for n in (300, 1200):
+        rng = random.Random(7)
+        vocabulary = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(3000)]
+        base = " ".join(rng.choices(vocabulary, k=120))
+        rows = [(i, edited(rng, vocabulary, base, rng.randint(1, 4))) for i in range(n)]
+        counts = {}
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        near_classes(docs, Counting(spark)).count()
+        made.append({name: sum(x) for name, x in counts.items()})
+    small, large = made
+    assert large["rest"] <= 50
+    assert all(large[name] <= 6 * small[name] for name in ("pairs", "with-first", "parts"))
+
+
 def test_short_texts(spark, work):
     """Texts of few words, with one more or one less of them."""
     rng = random.Random(4)
