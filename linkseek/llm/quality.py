@@ -22,7 +22,8 @@ EPOCHS = 12
 
 GOOD, BAD, ABSTAIN = 1, 0, -1
 
-# Frequent short words of some languages; text has some of them.
+# Frequent short words of some languages. Text has some of them, or has, in whatever
+# language, short words of its own again and again.
 _STOP_WORDS = (
     "the of and to a in is it that for on as with are was be by this an not de la le les et un une que"
     " en el los der die das und ist zu mit den von ein eine auf pour dans est qui sur au se por con del"
@@ -50,12 +51,15 @@ LABELLERS = {
     "repeated_runs": (0.35, 0.10),
     "letterless_words": (0.20, 0.05),
     "exclamations": (0.20, 0.03),
-    "few_stop_words": (0.985, 0.93),
+    "few_frequent_words": (0.985, 0.93),
     "odd_word_sizes": (0.50, 0.25),
 }
-# Labellers don't judge shorter texts; the one on stop words needs more to call a text bad.
+# Labellers don't judge shorter texts; the one on frequent words needs more to call a text bad, as
+# short texts of any language repeat few.
 _LEAST_WORDS = 3
-_LEAST_STOPPED = 30
+_LEAST_STOPPED = 50
+# Characters of a short word, at most.
+_SHORT = 4
 
 
 class Words:
@@ -110,7 +114,14 @@ def votes(texts: list[bytes]) -> np.ndarray:
     again = np.zeros(len(w.hash), bool)
     again[known] = count[where] > 1
     stop = np.unique(span_hashes(*_stop_spans()))
-    sizes = w.end - w.begin
+    sizes = w.in_words((w.data & 0xC0) != 0x80)
+    # Scripts of three bytes a character and more don't put spaces between words.
+    spaced = w.end - w.begin < 2.5 * sizes
+    letters_only = w.in_words((kind <= 1) & ((w.data & 0xC0) != 0x80)) == sizes
+    _, where, count = np.unique(
+        mix(w.hash + mix(w.text.astype(np.uint64))), return_inverse=True, return_counts=True
+    )
+    frequent = np.isin(w.hash, stop) | ((count[where] > 1) & (sizes <= _SHORT) & letters_only)
     shares = np.stack([
         w.per_text(w.in_words(kind == 5) > 0) / n,
         w.per_text(w.in_words(kind == 1)) / np.maximum(w.per_text(letters), 1),
@@ -118,14 +129,14 @@ def votes(texts: list[bytes]) -> np.ndarray:
         w.per_text(again) / n,
         w.per_text(letters == 0) / n,
         w.per_text(w.in_words(w.data == ord("!")) > 0) / n,
-        1 - w.per_text(np.isin(w.hash, stop)) / n,
-        w.per_text((sizes < 2) | (sizes > 18)) / n,
+        1 - w.per_text(frequent) / n,
+        w.per_text(spaced & ((sizes < 2) | (sizes > 18))) / n,
     ], axis=1)
     bad, good = np.array(list(LABELLERS.values())).T
     out = np.where(shares > bad, BAD, np.where(shares < good, GOOD, ABSTAIN)).astype(np.int8)
     out[w.n < _LEAST_WORDS] = ABSTAIN
-    stopped = out[:, list(LABELLERS).index("few_stop_words")]
-    stopped[(w.n < _LEAST_STOPPED) & (stopped == BAD)] = ABSTAIN
+    few = out[:, list(LABELLERS).index("few_frequent_words")]
+    few[(w.n < _LEAST_STOPPED) & (few == BAD)] = ABSTAIN
     return out
 
 
@@ -236,7 +247,7 @@ def fit_quality(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> np.ndarray:
 
     Votes of all documents are counted by pattern, of which there are 3 to the number of labellers
     at most; only these counts come to the driver. The scorer is fitted in one task on a sample
-    of about `train_rows` documents, chosen by a hash of their texts.
+    of the texts of about `train_rows` documents, chosen by a hash and each once, however many copies it has.
     """
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn(
         "sample", F.xxhash64("text", F.lit(7))
@@ -254,7 +265,7 @@ def fit_quality(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> np.ndarray:
         [(p, float(g)) for p, g in zip(patterns.tolist(), known)], "votes array<int>, good double"
     )
     share = min(1.0, train_rows / count.sum())
-    chosen = texts.where(F.pmod("sample", F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+    chosen = texts.where(F.pmod("sample", F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))).dropDuplicates(["sample"])
     rows = chosen.mapInArrow(
         _feature_rows, "sample long, votes array<int>, bucket array<int>, value array<float>"
     ).join(labels, "votes").drop("votes")

@@ -1,4 +1,7 @@
+import random
+
 import numpy as np
+import pytest
 from samples import FOLDER, ODD_ROWS
 
 from linkseek.llm.quality import ABSTAIN, BAD, GOOD, LABELLERS, fit_labellers, fit_quality, posterior, score_quality, votes
@@ -43,6 +46,34 @@ def test_held_out_accuracy(spark):
     assert right > 0.97 and keeps > 0.98 and rejects > 0.9
 
 
+@pytest.mark.parametrize("n", [1, 10, 60])
+def test_other_languages_stay(spark, n):
+    """Clean documents in scripts and languages that no list knows, however few there are."""
+    rng = random.Random(n)
+
+    def text(alphabet, function):
+        words = ["".join(rng.choices(alphabet, k=rng.randint(3, 10))) for _ in range(300)]
+        return " ".join(rng.choice(function if rng.random() < 0.4 else words) for _ in range(rng.randint(30, 200))) + "."
+
+    kinds = [("абвгдежзиклмнопрстуфхцчшщыьэюя", ["и", "в", "не", "на", "что"]),
+             ("abcdefghijklmnoprstuwyząęłńóśżź", ["nie", "jest", "się", "do", "że"]),
+             ("αβγδεζηθικλμνξοπρστυφχψω", ["και", "το", "να", "με"]),
+             ("".join(map(chr, range(0x4E00, 0x5100))), ["的", "是", "在", "不"])]
+    extra = [(10**6 + i, text(*kinds[i % 4])) for i in range(4 * n)]
+    docs = spark.read.parquet(f"{BIG}/documents.parquet").select("doc_id", "text").union(
+        spark.createDataFrame(extra, "doc_id long, text string"))
+    kept = score_quality(docs, fit_quality(docs)).where("doc_id >= 1000000 AND kept")
+    assert kept.count() == len(extra)
+
+
+def test_copies_count_once(spark):
+    """A text on a third of all rows is one row of the sample."""
+    docs = spark.read.parquet(f"{BIG}/documents.parquet").select("doc_id", "text").limit(400)
+    first = docs.orderBy("doc_id").limit(1)
+    copies = docs.unionAll(first.crossJoin(spark.range(200)).select("doc_id", "text"))
+    assert abs(fit_quality(copies).sum() - fit_quality(docs).sum()) < 0.2 * abs(fit_quality(docs).sum()) + 5
+
+
 def test_bounded_sample(spark):
     docs = spark.read.parquet(f"{BIG}/documents.parquet").select("doc_id", "text")
     weights = fit_quality(docs, train_rows=300)
