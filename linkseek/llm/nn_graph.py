@@ -64,16 +64,20 @@ def products(a: np.ndarray, a_lift: np.ndarray, b: np.ndarray, b_lift: np.ndarra
 
 
 def valid_vectors(rows: DataFrame, work: Workspace) -> DataFrame:
-    """(`vec_id`, `vec`) in doubles, without vectors that are null, zero or not finite throughout."""
+    """(`vec_id`, `vec`) in doubles, without vectors that are null, zero or not finite throughout, or not as
+    long as most are (of equally common lengths the longest): they have no product with those."""
     vec = F.col("embedding").cast("array<double>")
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
-    return work.save(
+    found = work.save(
         rows.select(F.col("vec_id").cast("long").alias("vec_id"), vec.alias("vec")).where(
             F.col("vec_id").isNotNull() & F.col("vec").isNotNull() & ~F.exists("vec", bad)
             & F.exists("vec", lambda x: x != 0)
         ).dropDuplicates(["vec_id", "vec"]),
         "vectors",
     )
+    sizes = found.groupBy(F.size("vec").alias("size")).agg(F.count("*").alias("n"))
+    common = sizes.agg(F.max(F.struct("n", "size")).alias("most")).first()["most"]
+    return found if common is None else found.where(F.size("vec") == common["size"])
 
 
 def _best(df: DataFrame, key: str, order: list[Column], n: int) -> DataFrame:
@@ -159,7 +163,7 @@ def start_graph(nodes: DataFrame, n: int, work: Workspace) -> DataFrame:
     """
     bits = ceil(log2(max(1, n / CELL_NODES)))
     found = None
-    for split in range(SPLITS):
+    for split in range(SPLITS if bits else 1):  # without planes all splits are one cell
         celled = work.save(
             nodes.select("node", "point").mapInArrow(
                 _cells(split, bits), "node long, point binary, cell long"
@@ -329,8 +333,8 @@ def nearest_neighbours(rows: DataFrame, is_query: Column, work: Workspace, top:
     inner product in doubles on the vectors as they are, ties to the smaller `vec_id`.
 
     `rows` has `vec_id` and `embedding`; queries are those of its rows that `is_query` picks, and
-    search all other rows. Vectors that are null, zero or hold anything null or not finite take no
-    part, nor do rows without a `vec_id`. Equal vectors are one node of the graph, with the few
+    search all other rows. Vectors that are null, zero, hold anything null or not finite, or are not of
+    the commonest length take no part, nor do rows without a `vec_id`. Equal vectors are one node of the graph, with the few
     smallest ids that any result can show; repeated rows count once. Queries enter the graph
     at their own node. One vector alone finds nothing; an empty table gives no rows.
     """

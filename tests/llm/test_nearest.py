@@ -56,7 +56,7 @@ def test_search_through_the_graph(spark, work, monkeypatch):
 def test_equal_vectors_and_odd_rows(spark, work):
     good = [(i, [1.0, float(i // 30), 0.5]) for i in range(150)]  # five vectors, thirty times each
     odd = [(200, None), (220, [0.0, 0.0, 0.0]), (240, [1.0, None, 0.0]), (260, [float("nan"), 1.0, 1.0]),
-           (280, [float("inf"), 1.0, 1.0]), (None, [1.0, 1.0, 1.0])]
+           (280, [float("inf"), 1.0, 1.0]), (None, [1.0, 1.0, 1.0]), (300, [9.0]), (301, [9.0] * 6), (320, [])]
     assert run(spark, work, good + odd + good[:5]) == brute(good, 20)
 
 
