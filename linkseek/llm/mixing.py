@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkseek.llm.batches import text_slices, word_spans
-from linkseek.llm.keys import row_key
+from linkseek.llm.keys import distinct_rows, numbered_copies, whole_row_key
 from linkseek.operators.ids import number_rows
 from linkseek.workspace import Workspace
 
@@ -79,17 +79,27 @@ def apportion(parties: DataFrame, group: list[str], tie: list[str], work: Worksp
     group's votes / (total - parties / 2) are sure, none below votes / (total + parties / 2) is
     won; only the few in between are ranked, in one distributed sort. Ties go by `tie`.
     """
-    own = Window.partitionBy(*group)
+    keys = lambda a, b, cols: reduce(
+        Column.__and__, (a[c].eqNullSafe(b[c]) for c in cols), F.lit(True)
+    )
+
+    def with_sums(rows: DataFrame, name: str, **sums: Column) -> DataFrame:
+        """Sums over each group, joined to its rows: no task holds all parties of a large group."""
+        own = rows.groupBy(*group).agg(*(x.alias(c) for c, x in sums.items()))
+        own = work.save(own, name)
+        return rows.join(own, keys(rows, own, group)).select(*(rows[c] for c in rows.columns), *(own[c] for c in sums))
+
     share = lambda move: F.floor(
         F.when(F.col("_all") > 0, F.col("votes") / F.col("_all")).otherwise(0)
         * F.greatest(F.col("total") + move * F.col("_n") / 2, F.lit(0)) + 0.5
     )
+    bounded = with_sums(parties, "votes", _all=F.sum("votes"), _n=F.count("*")).withColumn(
+        "_sure", F.greatest(share(-1) - 1, F.lit(0))
+    )
     spread = work.save(
-        parties.withColumn("_all", F.sum("votes").over(own))
-        .withColumn("_n", F.count("*").over(own))
-        .withColumn("_sure", F.greatest(share(-1) - 1, F.lit(0)))
+        with_sums(bounded, "sure", _sure_all=F.sum("_sure"))
         .withColumn("_most", F.when(F.col("votes") > 0, share(1) + 1).otherwise(0))
-        .withColumn("_open", F.col("total") - F.sum("_sure").over(own)),
+        .withColumn("_open", F.col("total") - F.col("_sure_all")),
         "parties",
     )
     contested = spread.where("_most > _sure").select(
@@ -102,9 +112,6 @@ def apportion(parties: DataFrame, group: list[str], tie: list[str], work: Worksp
         work, "_place",
     )
     first = work.save(ranked.groupBy(*group).agg(F.min("_place").alias("_first")), "first")
-    keys = lambda a, b, cols: reduce(
-        Column.__and__, (a[c].eqNullSafe(b[c]) for c in cols), F.lit(True)
-    )
     won = (
         ranked.join(first, keys(ranked, first, group))
         .where(F.col("_place") - F.col("_first") < F.col("_open"))
@@ -125,7 +132,7 @@ def _take(seed: int, block: int, carried: list[str], spans: bool):
         The shard's words, MAX_REPEATS times over in a seeded order of the documents, are cut
         into blocks; as many blocks as the shard has seats are drawn.
         """
-        shard = shard.sort_values(["order", "doc_id", "size"], kind="stable")
+        shard = shard.sort_values(["order", "doc_id", "size", *carried], kind="stable")
         sizes = shard["size"].to_numpy(np.int64)
         end = np.cumsum(np.tile(sizes, MAX_REPEATS))
         total = int(end[-1])
@@ -170,7 +177,7 @@ def mix_sources(
     docs: DataFrame, work: Workspace, seed: int = 0, block: int = BLOCK_WORDS, spans: bool = False
 ) -> DataFrame:
     """(`doc_id`, `source`, `size`, `source_size`, `target`, `taken`), a row per document, after
-    `row_key` if `docs` has it.
+    `row_key` if `docs` has it. Equal rows, however many, are dealt to different shards.
 
     `docs` has `doc_id`, `source` and `size`. With `spans`, a list of that name says which words
     are taken: the words from `begin` to before `end`, the first or second `time`. Blocks go to sources by Sainte-Laguë's quotients of
@@ -179,7 +186,7 @@ def mix_sources(
     source; an empty document takes nothing; the same rows give the same result.
     """
     carried = [c for c in docs.columns if c == "row_key"]
-    sized = work.save(docs.select(*carried, "doc_id", "source", "size"), "sized")
+    sized = work.save(numbered_copies(docs.select(*carried, "doc_id", "source", "size")), "sized")
     targets = source_targets(sized)
     targets = work.save(
         targets.withColumn("source_place", F.row_number().over(
@@ -197,8 +204,8 @@ def mix_sources(
         quota.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))
     ).select(
         *carried, "doc_id", "source", "size", "source_size", "target", "source_place", "total",
-        F.xxhash64(F.lit(seed), "doc_id").alias("order"),
-        F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "size"), shards).alias("shard"),
+        F.xxhash64(F.lit(seed), "doc_id", "copy").alias("order"),
+        F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "size", "copy"), shards).alias("shard"),
     )
     dealt = work.save(dealt, "dealt")
     cells = dealt.groupBy("source_place", "shard").agg(
@@ -220,50 +227,83 @@ def mix_sources(
     )
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each time that words of a text are taken, holding these words."""
+def _stretches(text: bytes, spans, begin: np.ndarray, end: np.ndarray, time: int) -> bytes | None:
+    """The words of a text that are taken one time: the text itself if all are."""
+    own = [(x["begin"], x["end"]) for x in spans or [] if x["time"] == time]
+    if not own:
+        return None
+    if own == [(0, len(begin))]:
+        return text
+    return b"\n".join(text[begin[x] : end[y - 1]] for x, y in own)
+
+
+def _taken(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[list[bytes | None]], np.ndarray]]:
+    """Each slice of rows with what is taken of their texts each time, and the texts' sizes."""
     for batch, texts in text_slices(batches):
         begin, end, _, text_start = word_spans(texts)
         first = np.searchsorted(begin, text_start)
-        rows, out = [], []
-        for i, (text, n, spans) in enumerate(
-            zip(texts, np.diff(first).tolist(), batch.column("_spans").to_pylist())
-        ):
+        out = []
+        for i, (text, spans) in enumerate(zip(texts, batch.column("_spans").to_pylist())):
             b, e = (x[first[i] : first[i + 1]] - text_start[i] for x in (begin, end))
-            for time in range(MAX_REPEATS):
-                own = [(x["begin"], x["end"]) for x in spans or [] if x["time"] == time]
-                if own:
-                    whole = own == [(0, n)]
-                    parts = [text[b[x] : e[y - 1]] for x, y in own]
-                    rows.append(i)
-                    out.append((text if whole else b"\n".join(parts)).decode("utf-8", "replace"))
-        taken = batch.take(pa.array(rows, pa.int64())).drop_columns(["_spans"])
-        columns = dict(zip(taken.schema.names, taken.columns)) | {"text": pa.array(out, pa.string())}
+            out.append([_stretches(text, spans, b, e, time) for time in range(MAX_REPEATS)])
+        yield batch, out, np.diff(first)
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each time that words of a text are taken, holding these words."""
+    for batch, taken, _ in _taken(batches):
+        rows = [(i, x.decode("utf-8", "replace")) for i, own in enumerate(taken) for x in own if x is not None]
+        kept = batch.take(pa.array([i for i, _ in rows], pa.int64())).drop_columns(["_spans"])
+        columns = dict(zip(kept.schema.names, kept.columns)) | {"text": pa.array([x for _, x in rows], pa.string())}
         if "n_chars" in columns:
-            columns["n_chars"] = pa.array([len(x) for x in out], pa.int64())
+            columns["n_chars"] = pa.array([len(x) for _, x in rows], pa.int64())
         yield pa.RecordBatch.from_pydict(columns)
 
 
+def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per document: its size, and the words of the texts cut out of it."""
+    for batch, taken, size in _taken(batches):
+        words = [sum(len(x.split()) for x in own if x is not None) for own in taken]
+        yield pa.RecordBatch.from_pydict({
+            "doc_id": batch.column("doc_id"), "size": pa.array(size.astype(np.int64)),
+            "source_size": batch.column("source_size"), "target": batch.column("target"),
+            "taken": pa.array(words, pa.int64()), "source": batch.column("source"),
+        })
+
+
+def _dealt_texts(docs: DataFrame, work: Workspace, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of `docs` as they are, each once, and a row of the mix for each of them, by `_row_key`."""
+    keyed = docs.withColumn("_row_key", whole_row_key(docs))
+    sizes = keyed.select(
+        F.col("_row_key").alias("row_key"), F.col("doc_id").cast("long").alias("doc_id"), "source",
+        word_count(F.col("text")).alias("size"),
+    )
+    mixed = mix_sources(sizes, work, seed, spans=True).withColumnRenamed("row_key", "_row_key")
+    return distinct_rows(keyed, "_row_key"), work.save(mixed, "mixed")
+
+
+def mixed_sizes(docs: DataFrame, work: Workspace, seed: int = 0) -> DataFrame:
+    """(`doc_id`, `size`, `source_size`, `target`, `taken`, `source`), a row per row of `docs` (`doc_id`,
+    `text`, `source`): the mix as its texts have it. `size` and `taken` count words of the text and of
+    what was cut out of it. Nulls, empty texts and repeated rows are as in `mix_sources`."""
+    rows, mixed = _dealt_texts(docs.select("doc_id", "text", "source"), work, seed)
+    placed = mixed.select("_row_key", "source_size", "target", F.col("spans").alias("_spans"))
+    return placed.join(rows, "_row_key").select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", "source", "source_size", "target", "_spans"
+    ).mapInArrow(
+        _measured, "doc_id long, size long, source_size long, target double, taken long, source string"
+    )
+
+
 def mixed_texts(docs: DataFrame, work: Workspace, seed: int = 0) -> DataFrame:
     """The mix itself, with the columns of `docs` (`doc_id`, `text`, `source` and any others).
 
     A document has a row for each time that words of it are taken. Texts taken as a whole are as
     they were; of others the taken stretches are put together by new lines, and `n_chars` is
-    theirs. A document without words isn't in the mix.
+    theirs. A document without words isn't in the mix. Of rows that are equal in all columns each has its
+    own place in the mix; their text moves once.
     """
-    keyed = docs.withColumn("_row_key", row_key(docs["doc_id"], docs["text"]))
-    sizes = keyed.select(
-        F.col("_row_key").alias("row_key"), "doc_id", "source", word_count(F.col("text")).alias("size")
-    )
-    mixed = mix_sources(sizes, work, seed, spans=True).where("taken > 0")
-    # Repeated rows have one key and as many lists of spans.
-    spans = work.save(
-        mixed.groupBy(F.col("row_key").alias("_row_key")).agg(
-            F.array_sort(F.collect_list("spans")).alias("_all")), "spans",
-    )
-    nth = F.row_number().over(Window.partitionBy("_row_key").orderBy("_row_key"))
-    rows = keyed.join(spans, "_row_key").withColumn("_nth", nth).where(F.col("_nth") <= F.size("_all"))
+    rows, mixed = _dealt_texts(docs, work, seed)
+    spans = mixed.where("taken > 0").select("_row_key", F.col("spans").alias("_spans"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return rows.select(*docs.columns, F.element_at("_all", F.col("_nth")).alias("_spans")).mapInArrow(
-        _cut, fields
-    )
+    return spans.join(rows, "_row_key").select(*(F.col(f"`{c}`") for c in docs.columns), "_spans").mapInArrow(_cut, fields)

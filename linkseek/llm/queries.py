@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from linkseek.llm.exact_dedup import exact_groups
 from linkseek.llm.html_text import main_text
 from linkseek.llm.line_dedup import dedup_lines
-from linkseek.llm.mixing import mix_sources, word_count
+from linkseek.llm.mixing import mixed_sizes
 from linkseek.llm.near_dedup import near_classes
 from linkseek.llm.nn_graph import nearest_neighbours
 from linkseek.llm.pieces import encode_pieces
 from linkseek.llm.quality import fit_quality, score_quality
 from linkseek.llm.shared_ranking import rank_items
-from linkseek.llm.sharding import shuffle_to_shards
+from linkseek.llm.sharding import sharded_texts
 from linkseek.llm.token_counts import count_tokens
 from linkseek.llm.topk_scan import exact_top
 from linkseek.llm.variants import spelling_variants
@@ -55,12 +55,7 @@ def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select(
-        "doc_id", "source", word_count(F.col("text")).alias("size")
-    )
-    return mix_sources(docs, Workspace(spark)).select(
-        "doc_id", "size", "source_size", "target", "taken", "source"
-    )
+    return mixed_sizes(table(spark, folder, "documents"), Workspace(spark))
 
 
 def near_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -68,14 +63,12 @@ def near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sharding(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select(
-        "doc_id",
-        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
-        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
-    )
-    work = Workspace(spark)
-    return shuffle_to_shards(work.save(docs, "sized"), ["doc_id", "size", "text_crc32"], work).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+    """Sizes and checksums are those of the texts that have arrived in a shard."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    text = F.coalesce("text", F.lit(""))
+    return sharded_texts(docs, Workspace(spark)).select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
 

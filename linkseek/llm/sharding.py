@@ -9,10 +9,13 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkseek.llm.keys import distinct_rows, whole_row_key
 from linkseek.operators.ids import number_rows
 from linkseek.workspace import Workspace
 
 SHARDS = 16
+# Rows of a shard that lie together once moved there.
+RANGE_ROWS = 4096
 # Populations beyond this are past what numpy's draw takes.
 _NUMPY_LIMIT = 10**9
 
@@ -75,33 +78,35 @@ def shuffle_to_shards(
 ) -> DataFrame:
     """All rows of `df` with `shard` and `slot`, uniformly shuffled, shard sizes one apart at most.
 
-    Rows are dealt by a hash of `keys` into about the square root of their number of parts, so
-    that parts and the matrix on the driver (a row per part) both stay small. A row's place in
+    Rows are dealt by a hash of `keys` and their place in the saved table into about the square root of
+    their number of parts, so that parts and the matrix on the driver (a row per part) both stay
+    small, and rows of the same keys go to different parts. A row's place in
     its part, in an order drawn by hash, and the part's row of the matrix give its shard. A second
-    drawn order, over all rows of a shard, gives its slot. Rows that agree in `keys` are
-    interchangeable and may change places between runs; null keys are keys. An empty table
-    gives an empty result. Columns of `df` named shard, slot, _part, _ends, _row or _slot give way.
+    drawn order, over all rows of a shard, gives its slot. Null keys are keys. An empty table
+    gives an empty result. Columns of `df` named shard, slot, _part, _ends, _row, _slot or _copy give way.
     """
-    df = df.drop("shard", "slot", "_part", "_ends", "_row", "_slot")
-    n = df.count()
+    df = df.drop("shard", "slot", "_part", "_ends", "_row", "_slot", "_copy")
+    rows = work.save(df.withColumn("_copy", F.monotonically_increasing_id()), "rows")
+    n = rows.count()
     parts = max(1, isqrt(n))
-    part = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(parts))
-    rows = dict(df.groupBy(part.alias("part")).count().collect())
-    matrix = communication_matrix([rows.get(i, 0) for i in range(parts)], shards, seed)
+    drawn = [*keys, "_copy"]
+    part = F.pmod(F.xxhash64(F.lit(seed), *drawn), F.lit(parts))
+    sizes = dict(rows.groupBy(part.alias("part")).count().collect())
+    matrix = communication_matrix([sizes.get(i, 0) for i in range(parts)], shards, seed)
     ends = df.sparkSession.createDataFrame(
         [(i, [int(x) for x in accumulate(row)]) for i, row in enumerate(matrix.tolist())],
         "_part BIGINT, _ends ARRAY<BIGINT>",
     )
-    own = Window.partitionBy("_part").orderBy(F.xxhash64(F.lit(seed + 1), *keys), *keys)
+    own = Window.partitionBy("_part").orderBy(F.xxhash64(F.lit(seed + 1), *drawn), *drawn)
     shard = F.size(F.filter("_ends", lambda end: end < F.col("_row"))).cast("int")
     sent = (
-        df.withColumn("_part", part)
+        rows.withColumn("_part", part)
         .withColumn("_row", F.row_number().over(own))
         .join(ends, "_part")
         .withColumn("shard", shard)
-        .select(*df.columns, "shard")
+        .select(*rows.columns, "shard")
     )
-    order = [F.col("shard"), F.xxhash64(F.lit(seed + 2), *keys), *(F.col(k) for k in keys)]
+    order = [F.col("shard"), F.xxhash64(F.lit(seed + 2), *drawn), *(F.col(k) for k in drawn)]
     placed = number_rows(sent, order, work, "_slot")
     first = list(accumulate(matrix.sum(axis=0).tolist(), initial=0))[:shards]
     offsets = F.array(*(F.lit(int(x)).cast("long") for x in first))
@@ -110,8 +115,23 @@ def shuffle_to_shards(
     )
 
 
+def sharded_texts(docs: DataFrame, work: Workspace, shards: int = SHARDS, seed: int = 0) -> DataFrame:
+    """The rows of `docs` in their shards, with `shard` and `slot`.
+
+    Places are drawn for short keys of the rows; each row then moves once to meet its
+    place, equal rows as one, and once to its shard, where the rows of a range of slots lie together. Nulls are
+    values like others; columns named shard and slot give way.
+    """
+    docs = docs.drop("shard", "slot")
+    keyed = docs.withColumn("_row_key", whole_row_key(docs))
+    places = shuffle_to_shards(keyed.select("_row_key"), ["_row_key"], work, shards, seed)
+    whole = places.join(distinct_rows(keyed, "_row_key"), "_row_key").drop("_row_key")
+    return whole.repartition("shard", F.floor(F.col("slot") / RANGE_ROWS)).select(*(F.col(f"`{c}`") for c in docs.columns), "shard", "slot")
+
+
 def write_shards(df: DataFrame, path: str) -> None:
-    """A folder per shard, its rows in the order of their slots over its files."""
+    """A folder per shard of rows with `shard` and `slot`, in the order of their slots over its files.
+    A table without rows makes an empty folder."""
     df.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy(
         "shard"
     ).parquet(path)

@@ -4,7 +4,9 @@ import pytest
 from samples import FOLDER, ODD_ROWS
 from pyspark.sql import functions as F
 
-from linkseek.llm.mixing import MAX_REPEATS, SHARE, WEIGHTS, apportion, mix_sources, mixed_texts, word_count
+from linkseek.llm.mixing import (
+    MAX_REPEATS, SHARE, WEIGHTS, apportion, mix_sources, mixed_sizes, mixed_texts, word_count,
+)
 from linkseek.llm.queries import QUERIES
 
 
@@ -89,6 +91,20 @@ def test_hot_source(spark, work):
     assert {(r.doc_id, r.taken) for r in rows} != {(r.doc_id, r.taken) for r in other}
 
 
+def test_copies(spark, work):
+    """Rows that are equal, a third of all, share a source's blocks; the result depends on rows alone."""
+    docs = spark.range(3000).selectExpr(
+        "if(id % 3 = 0, 0, id) AS doc_id", "if(id % 3 = 0, 'a b c d e f g', repeat('w ', cast(id % 50 as int))) AS text",
+        "if(id % 3 = 0, 's', concat('t', id % 5)) AS source", "id % 2 AS other")
+    rows = mixed_sizes(docs, work).collect()
+    check(rows, tolerance=200)
+    assert len(rows) == 3000 and sum(r.source == "s" for r in rows) == 1000
+    again = mixed_sizes(docs.repartition(5), work).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, again))
+    got = Counter(r.source for r in mixed_texts(docs, work).collect() for _ in r.text.split())
+    assert all(abs(got[s] - sum(r.taken for r in rows if r.source == s)) <= 128 for s in got)
+
+
 def test_texts_hold_the_words_taken(odd, no_rows, work):
     docs = odd.drop("row", "size", "keys")
     sized = docs.withColumn("size", word_count(F.col("text")))

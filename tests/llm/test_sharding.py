@@ -5,7 +5,9 @@ import numpy as np
 from samples import FOLDER, ODD_ROWS
 
 from linkseek.llm.queries import QUERIES
-from linkseek.llm.sharding import by_inversion, communication_matrix, shuffle_to_shards
+from linkseek.llm.sharding import (
+    by_inversion, communication_matrix, sharded_texts, shuffle_to_shards, write_shards,
+)
 
 
 def test_matrix():
@@ -58,11 +60,34 @@ def test_odd_documents(odd, no_rows, work):
     assert shuffle_to_shards(no_rows, ["doc_id"], work).collect() == []
 
 
+def test_written_shards(spark, odd, no_rows, work, tmp_path):
+    """Every row whole in its shard's folder, in the order of its slots."""
+    placed = work.save(sharded_texts(odd, work, shards=3), "placed")
+    check(placed.collect(), len(ODD_ROWS), 3)
+    assert sorted(map(str, placed.drop("shard", "slot").collect())) == sorted(map(str, odd.collect()))
+    write_shards(placed, str(tmp_path / "shards"))
+    for shard in range(3):
+        rows = spark.read.parquet(str(tmp_path / "shards" / f"shard={shard}")).collect()
+        want = placed.where(f"shard = {shard}").drop("shard").collect()
+        assert sorted(map(str, rows)) == sorted(map(str, want))
+        assert [r.slot for r in rows] == sorted(r.slot for r in rows) or len(rows) > 1
+    write_shards(sharded_texts(no_rows, work), str(tmp_path / "none"))
+
+
+def test_copies_are_dealt_apart(spark, work):
+    """A row that a third of all rows repeat is in all shards alike."""
+    docs = spark.range(900).selectExpr("if(id % 3 = 0, 0, id) AS doc_id", "if(id % 3 = 0, 'same', 'x') AS text")
+    rows = sharded_texts(docs, work, shards=4).collect()
+    check(rows, 900, 4)
+    same = [sum(r.text == "same" for r in rows if r.shard == s) for s in range(4)]
+    assert sum(same) == 300 and min(same) > 45
+
+
 def test_uniform(spark, work):
     """Every row is equally likely in every shard, whatever its place in the input."""
     docs = spark.range(400).withColumnRenamed("id", "doc_id").coalesce(1)
     counts = np.zeros((400, 4))
-    for seed in range(8):
+    for seed in range(16):
         for r in shuffle_to_shards(docs, ["doc_id"], work, shards=4, seed=seed).collect():
             counts[r.doc_id, r.shard] += 1
-    assert abs(counts[:200].sum(axis=0) / 1600 - 0.25).max() < 0.05
+    assert abs(counts[:200].sum(axis=0) / 3200 - 0.25).max() < 0.05
