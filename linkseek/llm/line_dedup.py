@@ -18,7 +18,7 @@ from linkseek.workspace import Workspace
 MIN_WORDS = 10
 
 _RECORD = (
-    "doc_id long, text_key long, key long, begins array<int>, ends array<int>, hashes array<long>"
+    "doc_id long, text_key long, key long, begins array<int>, ends array<int>, lines array<binary>"
 )
 _TAKEN = np.uint64((1 << 64) - 1)
 
@@ -69,14 +69,15 @@ def fingerprints(words: list[int], hashes: list[int], least: int = MIN_WORDS) ->
 
 
 def _records(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Each selected line with the windows that selected it."""
+    """Each selected line with the windows that selected it, and 128 bits of these windows' lines, from 128 of each."""
     for batch, texts in text_slices(batches):
         split = [[x.strip() for x in text.split(b"\n")] for text in texts]
         bounds = starts([len(x) for x in split])
-        hashes = np.array([xxhash.xxh3_64_intdigest(x) for lines in split for x in lines], np.uint64)
+        digests = b"".join([xxhash.xxh3_128_digest(x) for lines in split for x in lines])
+        hashes, others = np.frombuffer(digests, np.uint64).reshape(-1, 2).T
         words = np.array([len(x.split()) for lines in split for x in lines], np.int64)
         begin, end, selected = windows(words, hashes, bounds, least)
-        whole = span_hashes(hashes, begin, end)
+        whole = np.stack([span_hashes(hashes, begin, end), span_hashes(others, begin, end)], axis=1)
         first = np.flatnonzero(np.diff(selected, prepend=-1))
         offsets = np.append(first, len(begin))
         doc = np.searchsorted(bounds, selected[first], side="right") - 1
@@ -86,7 +87,7 @@ def _records(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Recor
             "doc_id": doc_id, "text_key": text_key, "key": signed(hashes[selected[first]]),
             "begins": list_array(pa.array((begin - start).astype(np.int32)), offsets),
             "ends": list_array(pa.array((end - start).astype(np.int32)), offsets),
-            "hashes": list_array(signed(whole), offsets),
+            "lines": list_array(pa.array(whole.view("V16").ravel().tolist(), pa.binary()), offsets),
         })
 
 
@@ -125,9 +126,10 @@ def dedup_lines(docs: DataFrame, work: Workspace, least: int = MIN_WORDS) -> Dat
     last), then line. A run of lines with `least` words or more that is in an earlier place too is
     deleted, whatever other places some of its lines have. Every deleted line has an equal one in
     an earlier place that stays.
-    Lines that winnowing selects in one place only are in no such run. The windows of the others
-    meet the first place of the same window alone, so a line of a third of all documents makes no
-    pairs. A null text is empty; rows that agree in `doc_id` and text are one document and get
+    Lines that winnowing selects in one place only are in no such run. Places of the others are joined
+    with the first place in the same context, the window's lines as 128 bits tell them, so a line
+    of a third of all documents makes no pairs. A match extends both ways over the windows that overlap it
+    and are in an earlier place too, up to the run's ends. A null text is empty; rows that agree in `doc_id` and text are one document and get
     the same result; an empty table gives no rows.
     """
     texts = docs.select(
@@ -139,16 +141,16 @@ def dedup_lines(docs: DataFrame, work: Workspace, least: int = MIN_WORDS) -> Dat
     )
     found = work.save(
         records.join(again, "key").select(
-            "doc_id", "text_key", "key", F.explode(F.arrays_zip("begins", "ends", "hashes")).alias("w")
+            "doc_id", "text_key", "key", F.explode(F.arrays_zip("begins", "ends", "lines")).alias("w")
         ).select(
             "doc_id", "text_key", "key", F.col("w.begins").alias("begin"), F.col("w.ends").alias("end"),
-            F.col("w.hashes").alias("hash"),
+            F.col("w.lines").alias("lines"),
         ),
         "windows",
     )
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "begin")
     first = work.save(
-        found.groupBy("key", "hash").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+        found.groupBy("key", "lines").agg(F.min(place).alias("first"), F.count("*").alias("n"))
         .where("n > 1").drop("n"),
         "first",
     )
@@ -157,7 +159,7 @@ def dedup_lines(docs: DataFrame, work: Workspace, least: int = MIN_WORDS) -> Dat
         & (F.col("text_key") == F.col("first.text_key")) & (F.col("begin") == F.col("first.begin"))
     )
     ranges = (
-        found.join(first, ["key", "hash"]).where(later)
+        found.join(first, ["key", "lines"]).where(later)
         .select("doc_id", "text_key", F.struct("begin", "end").alias("range"))
         .groupBy("doc_id", "text_key").agg(F.collect_set("range").alias("ranges"))
         .withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})

@@ -141,3 +141,11 @@ def test_shared_lines_against_brute_force(spark, work):
     got = {i: r.text for i, r in run(spark, work, rows).items()}
     want = brute(rows, 10)
     assert got == want and want != dict(rows)
+
+
+def test_very_many_empty_lines(spark, work):
+    """A window over empty lines is as long as they are; it costs no more for that."""
+    text = "one two three four five six\n" + "\n" * 100_000 + "seven eight nine ten eleven twelve"
+    docs = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
+    rows = sorted(dedup_lines(docs, work).collect())
+    assert rows[0].text == text and rows[1].removed_words == 12 and rows[1].text == ""
