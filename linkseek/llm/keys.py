@@ -41,7 +41,9 @@ def distinct_rows(df: DataFrame, key: str) -> DataFrame:
 
 
 def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of `docs` whose key is in `kept` (`row_key`); of repeated rows one."""
+    """The rows of `docs` whose key is in `kept` (`row_key`); of rows of one id and text that with the
+    smallest other columns, nulls first."""
     keyed = docs.withColumn("_row_key", row_key(docs["doc_id"], docs["text"]))
     keys = kept.select(F.col("row_key").alias("_row_key"))
-    return keyed.join(keys, "_row_key", "left_semi").dropDuplicates(["_row_key"]).drop("_row_key")
+    least = F.min(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("_row")
+    return keyed.join(keys, "_row_key", "left_semi").groupBy("_row_key").agg(least).select("_row.*")
