@@ -2,6 +2,9 @@
 
 Quality (documents without words go too), exact copies (the largest doc_id stays), near copies (the
 smallest stays), mixing of sources (rows repeat or shrink to the words taken), encoding.
+
+Every stage takes nulls in any column, texts of any length, repeated rows and tables without rows, which
+give none; columns beyond those of `documents` are carried along until the last stage.
 """
 
 from __future__ import annotations
@@ -23,14 +26,16 @@ from linkseek.workspace import Workspace
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the scorer takes for good."""
+    """Documents that the scorer takes for good. A null, empty or blank text is not; rows of equal texts go
+    or stay together."""
     reach(spark)
     weights = fit_quality(docs.select("doc_id", "text"))
     return score_quality(docs, weights).where("kept").select(*docs.columns)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each text."""
+    """One document of each text, A-Z in either case: that of the largest id, a null one smaller than any.
+    Null and empty texts are one text."""
     reach(spark)
     work = Workspace(spark)
     groups = exact_groups(docs, work)
@@ -38,7 +43,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies."""
+    """One document of each class of near copies: that of the smallest id, a null one larger than any.
+    Texts without words are one class."""
     reach(spark)
     work = Workspace(spark)
     classes = near_classes(docs, work)
@@ -46,12 +52,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The words that the mix takes, as documents."""
+    """The words that the mix takes, as documents. A null source is a source; texts without words are
+    not in the mix."""
     return mixed_texts(docs, Workspace(reach(spark)))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(`doc_id`, `n_pieces`, `ids`, `lossless`) of each row."""
+    """(`doc_id`, `n_pieces`, `ids`, `lossless`) of each row; a null text has no pieces."""
     reach(spark)
     return encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
