@@ -111,6 +111,48 @@ def test_long_words_merge_as_short_ones(monkeypatch):
             assert encoded(pieces, words, dropout=dropout) == side
 
 
+def merged_by_hand(symbols, pairs, skip):
+    """Look through all neighbours for the lowest rank, leftmost first, and merge it unless it is skipped;
+    a skipped pair waits until one of its sides changes."""
+    row = list(enumerate(symbols))
+    off = set()
+    while True:
+        ready = [(pairs[a[1], b[1]][0], a[0], i) for i, (a, b) in enumerate(zip(row, row[1:]))
+                 if (a[1], b[1]) in pairs and (a, b) not in off]
+        if not ready:
+            return [x for _, x in row]
+        _, place, i = min(ready)
+        into = pairs[row[i][1], row[i + 1][1]][1]
+        if skip(place, into):
+            off.add((row[i], row[i + 1]))
+        else:
+            row[i : i + 2] = [(place, into)]
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.2, 0.6, 1.0])
+def test_merges_against_brute_force(dropout):
+    """Random merge tables and words of all widths, with merges skipped by a hash."""
+    rng = np.random.default_rng(int(dropout * 10))
+    for _ in range(12):
+        pairs, known = {}, list(range(4))
+        for into in range(4, 40):
+            a, b = (known[i] for i in rng.integers(0, len(known), 2))
+            if (a, b) not in pairs:
+                pairs[a, b] = (int(rng.integers(0, 20)), into)
+                known.append(into)
+        words = [rng.integers(0, 4, n) for n in (1, 2, 3, 5, 9, 14, 20, 33, 48, 49, 70)]
+        start = np.concatenate([[0], np.cumsum([len(w) for w in words])])
+
+        def skipped(word, place, into):
+            return (hash((word, place, into)) & 1023) / 1024 < dropout
+
+        skip = lambda w, p, i: np.array([skipped(*map(int, x)) for x in zip(w, p, i)], bool)
+        got, at = merges.merge_words(np.concatenate(words), start, merges.PairTable(pairs), skip if dropout else None)
+        for n, word in enumerate(words):
+            want = merged_by_hand(word.tolist(), pairs, lambda p, i, n=n: skipped(n, p, i))
+            assert got[at[n] : at[n + 1]].tolist() == want
+
+
 def test_encode_and_decode(odd, no_rows):
     rows = encode_pieces(odd, PIECES)
     got = rows.collect()
