@@ -115,10 +115,12 @@ def posting_lines(postings: DataFrame) -> DataFrame:
 
 def parse_posting_lines(lines: DataFrame) -> DataFrame:
     """Long form (`word`, `doc_id`, `tf`) of posting lines."""
-    fields = F.split("value", "\t", 2)
+    fields = lines.select(F.split("value", "\t", 2).alias("fields"))
     pair = F.split("entry", " ")
+    # A line is cut before its entries become rows, or each of them would cut the whole line again.
     return (
-        lines.select(fields[0].alias("word"), F.explode(F.split(fields[1], ";")).alias("entry"))
+        fields.select(F.col("fields")[0].alias("word"), F.col("fields")[1].alias("entries"))
+        .select("word", F.explode(F.split("entries", ";")).alias("entry"))
         .select(
             "word", pair[0].cast("bigint").alias("doc_id"), pair[1].cast("bigint").alias("tf")
         )

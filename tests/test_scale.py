@@ -1,0 +1,29 @@
+"""What keeps moved bytes and repeated work in proportion to the input."""
+
+import re
+
+from pyspark.sql import functions as F
+
+from linkseek.operators import blocks as O
+from linkseek.operators import index as I
+from linkseek.sources import files as L
+
+LINES = [(1, "A", "x y x"), (2, "B", "y 1 y"), (3, "A", "x z"), (4, "C", "12"), (5, "D", None), (6, "B", ""), (7, "E", "x")]
+IDS = [("A", 0), ("B", 1), ("E", 2), ("E", 3)]
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def corpus(spark):
+    return (spark.createDataFrame(LINES, "seq long, title string, raw_text string"),
+            spark.createDataFrame(IDS, "title string, doc_id long"))
+
+
+def test_a_posting_line_is_cut_once(spark):
+    lines = spark.createDataFrame([("w\t1 2;3 4",)], "value string")
+    parsed = L.parse_posting_lines(lines)
+    text = plan(parsed)
+    assert "value" not in text[: text.index("Generate explode")]
+    assert sorted(tuple(r) for r in parsed.collect()) == [("w", 1, 2), ("w", 3, 4)]
