@@ -23,12 +23,49 @@ def posting_blocks(tf: DataFrame, block: int = BLOCK) -> DataFrame:
     block, and entries in id order. A block holds at most `block` (BLOCK at most) entries, however
     frequent the word. Readers that choose blocks leave the last two columns in the files.
     """
-    place = F.pmod("doc_id", F.lit(block))
-    return tf.groupBy("word", F.floor(F.col("doc_id") / block).alias("block")).agg(
+    rows = tf.groupBy("word", F.floor(F.col("doc_id") / block).alias("block")).agg(
         F.count("*").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"),
-        F.max("tf").alias("max_tf"), F.bitmap_construct_agg(place).alias("bits"),
-        F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"),
+        F.max("tf").alias("max_tf"), F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"),
     )
+    places = F.transform("postings", lambda p: F.pmod(p["doc_id"], F.lit(block)))
+    rows = rows.withColumn("places", places).withColumn("ends", _chunk_ends("places"))
+    return rows.select("word", "block", "n", "low", "high", "max_tf", _bitmap("places", "ends").alias("bits"), "postings")
+
+
+def _chunk(place: Column) -> Column:
+    return F.shiftright(place, 6)
+
+
+def _chunk_ends(places: str) -> Column:
+    """Where the sorted places go on to another 64 bits, counted from 1."""
+    at = lambda i: _chunk(F.get(places, i))
+    return F.filter(
+        F.sequence(F.lit(1), F.size(places)), lambda i: (i == F.size(places)) | (at(i - 1) != at(i))
+    )
+
+
+def _bitmap(places: str, ends: str) -> Column:
+    """A bit for each of the sorted places, as Spark's bitmaps have them, up to the 64 that hold the last.
+
+    It is put together in the row: an aggregated bitmap has the bytes of the largest block from the
+    first place on, whatever a block's size.
+    """
+    # The highest byte of the eight comes first, and its lowest bit.
+    bit = lambda place: F.call_function(
+        "shiftleft", F.lit(1).cast("bigint"), (56 - place % 64 + 2 * (place % 8)).cast("int")
+    )
+
+    def piece(end: Column, i: Column) -> Column:
+        begin = F.when(i > 0, F.get(ends, i - 1)).otherwise(F.lit(0))
+        before = F.when(i > 0, _chunk(F.get(places, begin - 1))).otherwise(F.lit(-1))
+        skipped = (_chunk(F.get(places, end - 1)) - before - 1).cast("int")
+        own = F.aggregate(
+            F.slice(places, begin + 1, end - begin), F.lit(0).cast("bigint"),
+            lambda bits, place: bits.bitwiseOR(bit(place)),
+        )
+        return F.concat(F.repeat(F.lit("0" * 16), skipped), F.lpad(F.hex(own), 16, "0"))
+
+    return F.unhex(F.array_join(F.transform(ends, piece), ""))
 
 
 def rank_blocks(ranks: DataFrame, block: int = BLOCK) -> DataFrame:

@@ -1,5 +1,6 @@
 """What keeps moved bytes and repeated work in proportion to the input."""
 
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -21,6 +22,26 @@ def corpus(spark):
             spark.createDataFrame(IDS, "title string, doc_id long"))
 
 
+def test_a_bitmap_is_as_wide_as_its_block(spark):
+    rng = random.Random(5)
+    ids = sorted({*rng.sample(range(3000), 90), 0, 63, 64, 127, 1000, 2999})
+    tf = spark.createDataFrame([("w", i, 1) for i in ids], "word string, doc_id long, tf long")
+    for block in (1, 7, 64, 100, 1000, O.BLOCK):
+        rows = O.posting_blocks(tf, block).collect()
+        for r in rows:
+            places = [i for i in range(8 * len(r.bits)) if r.bits[i // 8] >> i % 8 & 1]
+            assert places == [i % block for i in ids if i // block == r.block]
+            assert len(r.bits) <= 8 * (block // 64 + 1)
+        assert sum(r.n for r in rows) == len(ids)
+
+
+def test_bitmaps_of_different_widths_meet(spark):
+    short, wide = bytes([5] + [0] * 7), bytes([4] + [255] * 20)
+    df = spark.createDataFrame([(short,), (wide,)], "bits binary")
+    for order in (df, df.orderBy(F.length("bits").desc()).coalesce(1), df.orderBy(F.length("bits")).coalesce(1)):
+        assert order.agg(F.bitmap_count(F.bitmap_and_agg("bits"))).first()[0] == 1
+
+
 def test_a_posting_line_is_cut_once(spark):
     lines = spark.createDataFrame([("w\t1 2;3 4",)], "value string")
     parsed = L.parse_posting_lines(lines)
