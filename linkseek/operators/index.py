@@ -22,10 +22,12 @@ def with_doc_ids(docs: DataFrame, ids: DataFrame, strict: bool = True) -> DataFr
     known = ids.select("title", "doc_id")
     if not strict:
         return docs.join(known, "title")
+    return docs.join(known, "title", "left").withColumn("doc_id", _required_id())
+
+
+def _required_id() -> Column:
     missing = F.raise_error(F.concat(F.lit("no id for title "), F.col("title")))
-    return docs.join(known, "title", "left").withColumn(
-        "doc_id", F.coalesce("doc_id", missing.cast("bigint"))
-    )
+    return F.coalesce("doc_id", missing.cast("bigint"))
 
 
 def term_frequencies(
@@ -33,15 +35,54 @@ def term_frequencies(
 ) -> DataFrame:
     """(`word`, `doc_id`, `tf`) of `docs(title, raw_text)`; repeated titles add up.
 
-    Words are counted where the texts lie, then by title and word together, so that neither a
-    frequent word nor a title with very many lines piles up. Ids join the counts: no text moves.
+    Words are counted within the row, and a line's counts move as one row: no text moves, and nothing
+    has to be gathered for the lines that alone have their title. Lines of repeated titles are counted
+    by title and word together, so that neither a frequent word nor a title with very many lines piles up.
     """
-    word = F.lower("word") if lower else F.col("word")
-    counts = (
-        docs.select("title", F.explode(T.words(F.col("raw_text"))).alias("word"))
-        .groupBy("title", word.alias("word")).agg(F.count("*").alias("tf"))
+    text = F.col("raw_text")
+    found = T.words(F.lower(text) if lower else text)
+    counted = _counted(docs.where(F.rlike(text, F.lit(T.WORD))).select("title", found.alias("found")))
+    # Both kinds of lines meet the same table in the same way, so that Spark moves them once.
+    lines = docs.groupBy("title").agg(F.count("*").alias("lines"))
+    known = ids.select(F.col("title").alias("_known"), "doc_id")
+    keyed = lines.join(known, F.expr("title = _known AND lines = 1"), "left").select(
+        F.col("title").alias("_title"), "lines", "doc_id"
+    )
+    met = counted.join(keyed, F.col("title").eqNullSafe(F.col("_title")))
+    pair = F.inline(F.arrays_zip("words", "tfs")).alias("word", "tf")
+    alone = met.where("lines = 1")
+    alone = alone.withColumn("doc_id", _required_id()) if strict else alone.where("doc_id IS NOT NULL")
+    summed = (
+        met.where("lines > 1").select("title", pair).groupBy("title", "word").agg(F.sum("tf").alias("tf"))
+    )
+    return alone.select("doc_id", pair).select("word", "doc_id", "tf").unionByName(
+        with_doc_ids(summed, ids, strict).select("word", "doc_id", "tf")
+    )
+
+
+def _ends(found: str, differ) -> Column:
+    """Where the runs of a sorted array end, counted from 1: before entries that differ, and at its end."""
+    last = lambda i: F.get(found, i)
+    return F.filter(
+        F.sequence(F.lit(1), F.size(found)),
+        lambda i: (i == F.size(found)) | differ(last(i - 1), last(i)),
+    )
+
+
+def _begin(i: Column) -> Column:
+    """How many entries lie before the run of this number."""
+    return F.when(i > 0, F.get("ends", i - 1)).otherwise(F.lit(0))
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    """(`title`, `words`, `tfs`): the distinct words of `docs(title, found)`, in order, and how often each
+    was found."""
+    ordered = docs.select("title", F.sort_array("found").alias("found"))
+    runs = ordered.select("title", "found", _ends("found", lambda x, y: x != y).alias("ends"))
+    return runs.select(
+        "title", F.transform("ends", lambda end: F.get("found", end - 1)).alias("words"),
+        F.transform("ends", lambda end, i: (end - _begin(i)).cast("bigint")).alias("tfs"),
     )
-    return with_doc_ids(counts, ids, strict).select("word", "doc_id", "tf")
 
 
 def document_frequencies(tf: DataFrame) -> DataFrame:
@@ -66,8 +107,9 @@ def _sums(lengths: Column) -> Column:
     return F.aggregate(lengths, F.array(F.lit(0).cast("bigint")), add)
 
 
-def _word_offsets(docs: DataFrame) -> DataFrame:
-    """(`seq`, `title`, `word`, `pos`): every word with its offset in the line's text.
+def _piece_runs(docs: DataFrame) -> DataFrame:
+    """(`seq`, `title`, `start`, `run`, `before`): each line's words and gaps in runs of RUN_PIECES, the run's
+    offset in the line's text and those of its pieces in the run.
 
     Offsets add up within the row, in runs of RUN_PIECES pieces and then over the runs, so that
     a long text doesn't cost its length squared.
@@ -84,6 +126,13 @@ def _word_offsets(docs: DataFrame) -> DataFrame:
         .withColumn("starts", _sums(F.transform("runs", run_size)))
         .select("seq", "title", F.inline(F.arrays_zip("runs", F.slice("starts", F.lit(1), F.size("runs")))).alias("run", "start"))
         .withColumn("before", F.slice(_sums(F.transform("run", F.length)), F.lit(1), F.size("run")))
+    )
+
+
+def _word_offsets(docs: DataFrame) -> DataFrame:
+    """(`seq`, `title`, `word`, `pos`): every word with its offset in the line's text."""
+    return (
+        _piece_runs(docs)
         .select("seq", "title", "start", F.inline(F.arrays_zip("run", "before")).alias("word", "pos"))
         .where(F.col("word").rlike("^[a-zA-Z]"))
         .select("seq", "title", "word", (F.col("start") + F.col("pos")).alias("pos"))
@@ -99,10 +148,25 @@ def occurrences(docs: DataFrame, ids: DataFrame, strict: bool = True) -> DataFra
 def positional_postings(docs: DataFrame, ids: DataFrame, strict: bool = True) -> DataFrame:
     """(`word`, `doc_id`, `seq`, `tf`, `positions`), one row per word and line.
 
-    An offset only means something within one text, and a text bounds the list. A line's offsets of a word
-    are gathered where the line lies; only these lists are exchanged, and ids join them.
+    An offset only means something within one text, and a text bounds the list. Words stay together in
+    runs of their line, which meet the line's id and each other as few rows; its lists are cut out of the
+    line's sorted words in the row.
     """
-    lists = _word_offsets(docs).groupBy("seq", "title", "word").agg(
-        F.count("*").alias("tf"), F.sort_array(F.collect_list("pos")).alias("positions")
+    placed = F.zip_with(
+        "run", "before", lambda x, pos: F.struct(x.alias("word"), (F.col("start") + pos).alias("pos"))
+    )
+    words = F.filter(placed, lambda x: F.rlike(x["word"], F.lit("^[a-zA-Z]")))
+    runs = _piece_runs(docs.where(F.rlike("raw_text", F.lit(T.WORD)))).select("seq", "title", words.alias("found"))
+    lines = (
+        with_doc_ids(runs, ids, strict).groupBy("seq", "title", "doc_id")
+        .agg(F.collect_list("found").alias("found"))
+        .select("seq", "doc_id", F.sort_array(F.flatten("found")).alias("found"))
+    )
+    ends = _ends("found", lambda x, y: x["word"] != y["word"])
+    lists = lines.select("seq", "doc_id", "found", ends.alias("ends")).select(
+        "seq", "doc_id", F.transform("ends", lambda end: F.get("found", end - 1)["word"]).alias("words"),
+        F.transform("ends", lambda end, i: F.slice("found", _begin(i) + 1, end - _begin(i))["pos"]).alias("lists"),
+    )
+    return lists.select("seq", "doc_id", F.inline(F.arrays_zip("words", "lists")).alias("word", "positions")).select(
+        "word", "doc_id", "seq", F.size("positions").cast("bigint").alias("tf"), "positions"
     )
-    return with_doc_ids(lists, ids, strict).select("word", "doc_id", "seq", "tf", "positions")

@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -48,3 +49,26 @@ def test_a_posting_line_is_cut_once(spark):
     text = plan(parsed)
     assert "value" not in text[: text.index("Generate explode")]
     assert sorted(tuple(r) for r in parsed.collect()) == [("w", 1, 2), ("w", 3, 4)]
+
+
+def test_words_of_single_lines_are_counted_in_their_row(spark):
+    docs, ids = corpus(spark)
+    tf = I.term_frequencies(docs, ids)
+    assert not re.search(r"keys=\[title#\d+, \w+#\d+\], functions=\[partial_count", plan(tf))
+    want = Counter()
+    for _, title, text in LINES:
+        for word in re.findall("[a-zA-Z]+", text or ""):
+            for doc_id in (i for t, i in IDS if t == title):
+                want[word, doc_id] += 1
+    got = [tuple(r) for r in tf.collect()]
+    assert sorted(got) == sorted((w, d, n) for (w, d), n in want.items())
+
+
+def test_positions_meet_by_line(spark):
+    docs, ids = corpus(spark)
+    again = docs.union(docs.where("seq = 1"))
+    lists = I.positional_postings(again, ids)
+    assert not re.search(r"keys=\[[^]]*word#\d+[^]]*\]", plan(lists))
+    got = sorted((r.word, r.doc_id, r.seq, r.tf, r.positions) for r in lists.collect())
+    assert got == [("x", 0, 1, 4, [0, 0, 4, 4]), ("x", 0, 3, 1, [0]), ("x", 2, 7, 1, [0]), ("x", 3, 7, 1, [0]),
+                   ("y", 0, 1, 2, [2, 2]), ("y", 1, 2, 2, [0, 4]), ("z", 0, 3, 1, [2])]
