@@ -36,3 +36,22 @@ def components(edges: DataFrame, work: Workspace) -> DataFrame:
         labels = jumped.select("node", "label")
         if jumped.where("moved").isEmpty():
             return labels
+
+
+def grown_components(labels: DataFrame | None, edges: DataFrame, work: Workspace) -> DataFrame:
+    """The components of the edges that gave `labels` (none yet if null) and of further `edges` (`a`, `b`).
+
+    The further edges link whole components, each as its smallest node: what was linked before is not
+    gone through again.
+    """
+    if labels is None:
+        return components(edges, work)
+    side = lambda node, name: labels.select(F.col("node").alias(node), F.col("label").alias(name))
+    ends = edges.join(side("a", "_a"), "a", "left").join(side("b", "_b"), "b", "left").select(
+        F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")
+    )
+    met = components(ends.where("a != b"), work)
+    old = labels.join(met.select(F.col("node").alias("label"), F.col("label").alias("_met")), "label", "left").select(
+        "node", F.coalesce("_met", "label").alias("label")
+    )
+    return work.save(old.union(met.join(labels, "node", "left_anti").select("node", "label")), "grown")

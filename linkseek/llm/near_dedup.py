@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkseek.llm.batches import list_array, mix, signed, span_hashes, starts, text_slices, words
-from linkseek.llm.components import components
+from linkseek.llm.components import grown_components
 from linkseek.llm.keys import row_key
 from linkseek.workspace import Workspace
 
@@ -222,7 +222,7 @@ def near_classes(docs: DataFrame, work: Workspace, similarity: float = SIMILARIT
     )
     members = work.save(posted.join(buckets.select("key"), "key"), "members")
     sequences = _wanted_sequences(texts, nodes, members, work)
-    links = labels = seen = None
+    labels = seen = None
     for turn in range(ROUNDS + PART_ROUNDS):
         labelled = _labelled(members, labels, work)
         drawn = F.xxhash64("node", F.lit(turn))
@@ -233,12 +233,10 @@ def near_classes(docs: DataFrame, work: Workspace, similarity: float = SIMILARIT
             pairs = _led_pairs(_labelled(parts, labels, work), F.col("missing"), work)
         pairs = work.save(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"), "pairs")
         seen = pairs if seen is None else seen.union(pairs)
-        found = _links(pairs, sequences, similarity, work)
-        links = found if links is None else links.union(found)
-        labels = components(links, work)
+        labels = grown_components(labels, _links(pairs, sequences, similarity, work), work)
     rest = _rest_pairs(_labelled(members, labels, work), sequences, similarity, work)
     rest = work.save(rest.join(seen, ["a", "b"], "left_anti"), "rest")
-    labels = components(links.union(_links(rest, sequences, similarity, work)), work)
+    labels = grown_components(labels, _links(rest, sequences, similarity, work), work)
     return _classes(signed_rows, nodes, labels, work)
 
 
