@@ -24,10 +24,12 @@ SKETCHES = 24
 SKETCH_SHINGLES = 5
 # Texts of up to so many shingles also get a key for all of them and for all but each one.
 SHORT = 9
-# Rounds in which all of a bucket are compared with one of them, and then rounds in which all that miss
-# one shingle of it are compared with the one of them that misses least, before the exact rest.
+# Rounds in which all of a bucket are compared with one of them, and then rounds in which all that begin or
+# cease to miss it at one shingle are compared with the one of them that misses least, before the exact rest.
 ROUNDS = 3
 PART_ROUNDS = 2
+# First nodes of its buckets that a node goes with in the latter: those that it misses least of.
+FIRSTS = 3
 # Shingles that a sketch's first cut keeps on average; texts it leaves too few of go again.
 _CUT = 14
 
@@ -195,8 +197,8 @@ def near_classes(docs: DataFrame, work: Workspace, similarity: float = SIMILARIT
     that copies make no pairs. Nodes that share a sketch are candidates. A bucket's nodes that are not
     yet in one class are aligned with one of them, drawn anew in each of a few rounds, so that
     large groups of near copies grow together without pairs of all. Further rounds cut the buckets
-    that are still mixed by the shingles of one node that the others miss: copies edited in the same
-    place are the nearest to each other. Of what is left, pairs that can reach the similarity at all are found
+    that are still mixed by where the others begin and cease to miss the shingles of one node: copies edited
+    in the same place are the nearest to each other. Of what is left, pairs that can reach the similarity at all are found
     by prefixes of their rarest shingles and aligned, so no link of candidates is lost.
     A null text is empty; empty texts are one class. Null ids are larger than any. An empty
     table gives no rows.
@@ -280,21 +282,29 @@ def _led_pairs(labelled: DataFrame, order: Column, work: Workspace) -> DataFrame
     ).distinct()
 
 
+def run_edges(gone: np.ndarray) -> np.ndarray:
+    """Where the runs of true values begin and end, each place once, in order."""
+    edge = np.diff(gone.astype(np.int8), prepend=0, append=0)
+    return np.union1d(np.flatnonzero(edge > 0), np.flatnonzero(edge < 0) - 1)
+
+
 def _missed(similarity: float):
-    """The shingles of the first sequence that the second misses, if it has half of what a link needs."""
+    """How many shingles of the first sequence the second misses, and those at which a run of missed ones
+    begins or ends, if it has half of what a link needs. So an edit gives two, however much it replaces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            missed = []
+            missed, parts = [], []
             for left, right in zip(batch.column("_left"), batch.column("_right")):
                 a, b = (_labels(x.values.to_numpy()) for x in (left, right))
-                own = np.setdiff1d(a, b)
-                near = len(a) - len(own) >= similarity / (1 + similarity) / 2 * (len(a) + len(b))
-                missed.append(own if near else own[:0])
-            size = [len(x) for x in missed]
+                gone = ~np.isin(a, b)
+                n = int(gone.sum())
+                near = len(a) - n >= similarity / (1 + similarity) / 2 * (len(a) + len(b))
+                missed.append(n)
+                parts.append(a[run_edges(gone)] if near else a[:0])
             yield pa.RecordBatch.from_pydict({
-                "a": batch.column("a"), "node": batch.column("node"), "missing": pa.array(size, pa.int64()),
-                "parts": list_array(signed(np.concatenate([*missed, np.zeros(0, np.uint64)])), starts(size)),
+                "a": batch.column("a"), "node": batch.column("node"), "missing": pa.array(missed, pa.int64()),
+                "parts": list_array(signed(np.concatenate([*parts, np.zeros(0, np.uint64)])), starts([len(x) for x in parts])),
             })
 
     return run
@@ -303,20 +313,25 @@ def _missed(similarity: float):
 def _missing_parts(
     labelled: DataFrame, order: Column, sequences: DataFrame, similarity: float, work: Workspace
 ) -> DataFrame:
-    """(`key`, `node`, `missing`): buckets of all nodes of a bucket that miss the same shingle of its first
-    one, and how many of its shingles they miss. A node of few edits is in few of them."""
+    """(`key`, `node`, `missing`): buckets of all nodes of a bucket whose missed runs of its first one's shingles
+    begin or end at the same one, and how many of its shingles they miss. A node goes with the FIRSTS first
+    nodes of its buckets that it misses least of. One of few edits is in few of the new buckets, as is one
+    that lacks a long passage."""
     led = labelled.groupBy("key").agg(F.min(F.struct(order, "node")).alias("first"))
     led = work.save(led.select("key", F.col("first.node").alias("a")), "first-nodes")
     side = lambda node, name: sequences.select(
         F.col("node").alias(node), F.col("sequence").alias(name)
     )
     pairs = work.save(labelled.join(led, "key").where("node != a").select("a", "node").distinct(), "with-first")
-    parts = (
+    missed = (
         pairs.join(side("a", "_left"), "a").join(side("node", "_right"), "node")
         .select("a", "node", "_left", "_right")
         .mapInArrow(_missed(similarity), "a long, node long, missing long, parts array<long>")
-        .select("a", "node", "missing", F.explode("parts").alias("part"))
     )
+    # Nodes that are near to each other are most like the same first ones.
+    nth = F.row_number().over(Window.partitionBy("node").orderBy("missing", "a"))
+    nearest = missed.where(F.size("parts") > 0).withColumn("nth", nth).where(F.col("nth") <= FIRSTS)
+    parts = nearest.select("a", "node", "missing", F.explode("parts").alias("part"))
     members = work.save(parts.select(F.xxhash64("a", "part").alias("key"), "node", "missing"), "parts")
     shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     return members.join(work.save(shared, "shared-parts"), "key")

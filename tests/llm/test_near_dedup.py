@@ -5,7 +5,7 @@ import numpy as np
 from samples import FOLDER, ODD_ROWS
 
 from linkseek.llm.components import components
-from linkseek.llm.near_dedup import aligned, near_classes
+from linkseek.llm.near_dedup import FIRSTS, aligned, near_classes, run_edges
 from linkseek.workspace import Workspace
 
 
@@ -129,6 +129,39 @@ def test_pairs_grow_with_the_group(spark):
     assert all(large[name] <= 6 * small[name] for name in ("pairs", "with-first", "parts"))
 
 
+def test_run_edges():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 9, 60):
+        gone = rng.random(n) < 0.5
+        edge = [i for i in range(n) if gone[i] and (i in (0, n - 1) or not (gone[i - 1] and gone[i + 1]))]
+        assert run_edges(gone).tolist() == edge
+
+
+def test_parts_grow_with_the_edits_alone(spark):
+    """Texts that lack a third of the first one's words in one place are in few parts, not in one for each shingle."""
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(3000)]
+    base = rng.choices(vocabulary, k=240)
+    rows = []
+    for i in range(120):
+        at = 8 * (i % 20)
+        rows.append((i, " ".join(base[:at] + rng.choices(vocabulary, k=80) + base[at + 80 :])))
+    steps = []
+
+    class Counting(Workspace):
+        def save(self, df, name):
+            out = super().save(df, name)
+            if name in ("with-first", "parts"):
+                steps.append((out.count(), out.select("node").distinct().count()))
+            return out
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert found(near_classes(docs, Counting(spark))) == brute(rows)
+    assert steps[0][0] and steps[1][0]
+    for (pairs, nodes), (parts, _) in zip(steps[::2], steps[1::2]):
+        assert parts <= 6 * min(pairs, FIRSTS * nodes)
+
+
 def test_short_texts(spark, work):
     """Texts of few words, with one more or one less of them."""
     rng = random.Random(4)
