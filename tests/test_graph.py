@@ -110,3 +110,32 @@ def test_equal_ranks_sort_by_title(spark, work):
     )
     rows = N.rank_table(ranks, 4, work).orderBy("doc_id").collect()
     assert [r.title for r in rows] == ["z", "a", "b", "c"]
+
+
+def test_links_of_unlinked_pages_are_gone_through_once(spark, work, monkeypatch):
+    """What pages that no link leads to give is known: their links take no part in the turns."""
+    names = [f"n{i}" for i in range(40)]
+    rows = [(f"n{i}", f"n{20 + (7 * i + k) % 20}") for i in range(30) for k in range(i % 5)]
+    pages, links = spark.createDataFrame([(n,) for n in names], "title STRING"), spark.createDataFrame(
+        rows, "src_title STRING, dst_title STRING"
+    )
+    turns = []
+    step = P.rank_step
+
+    def seen(state, edges, *rest):
+        turns.append(edges.count())
+        return step(state, edges, *rest)
+
+    monkeypatch.setattr(P, "rank_step", seen)
+    graph = G.build_graph(pages, links, work, 2)
+    run = P.pagerank(graph, work, tolerance=1e-9)
+    linked = {d for _, d in rows}
+    assert set(turns) == {len({(s, d) for s, d in rows if s in linked})} and turns[0] < graph.n_edges / 2
+    pr, out = {n: 1 / 40 for n in names}, Counter(s for s, _ in rows)
+    for _ in range(run.turns):
+        lost = sum(v for n, v in pr.items() if not out[n])
+        new = {n: (0.15 + 0.85 * lost) / 40 for n in names}
+        for s, d in rows:
+            new[d] += 0.85 * pr[s] / out[s]
+        pr = new
+    assert {r.title: r.pr for r in run.ranks.collect()} == pytest.approx(pr, abs=1e-14)
