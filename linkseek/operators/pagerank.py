@@ -17,6 +17,10 @@ METRICS_SCHEMA = (
 )
 
 
+# Edges in a partition of the rank loop.
+EDGE_ROWS = 4_000_000
+
+
 @dataclass(frozen=True)
 class RankRun:
     """ranks(title, pr), one metrics row per turn, and the number of turns."""
@@ -156,6 +160,7 @@ def pagerank(
 
 
 def _edge_partitions(graph: LinkGraph) -> int:
-    """Session shuffle partitions, fewer for a small graph, more above 20M edges in each."""
+    """A partition for each EDGE_ROWS edges, as a target has a partial sum in each; no more than the session's
+    shuffle partitions, but for more than 20M edges in each."""
     session = int(graph.edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(session, graph.n_edges // 200_000 + 1), graph.n_edges // 20_000_000)
+    return max(2, min(session, graph.n_edges // EDGE_ROWS + 1), graph.n_edges // 20_000_000)
