@@ -16,6 +16,9 @@ TOP_K = 10
 # Checks broadcast to the word lists; more are joined by exchange.
 MAX_BROADCAST_CHECKS = 200_000
 
+# Documents broadcast to the word lists, so that only their rows are exchanged for more checks.
+MAX_BROADCAST_CANDIDATES = 1_000_000
+
 # Results of one query that share one key while they are scored.
 SALT_ROWS = 1_000_000
 
@@ -66,8 +69,9 @@ def intersect_postings(
 
     Queries of the same words are answered once. `df(word, df)`, if there is one, saves counting
     the words' lists. Each query starts from its rarest word, and every candidate is checked against all its
-    words by (word, document). Rows moved follow the rarest words, and a frequent word
-    spreads by document. The result isn't saved; who reads it twice should.
+    words by (word, document). Rows moved follow the rarest words, also where there are too many checks
+    to broadcast but not too many candidates, and a frequent word spreads by document. The result isn't
+    saved; who reads it twice should.
     """
     sets, askers = word_sets(queries, work)
     return (
@@ -92,8 +96,12 @@ def _intersected(sets: DataFrame, tf: DataFrame, work: Workspace, df: DataFrame
         "rarest",
     )
     candidates = lists.join(rarest, "word").select("query_id", "n_words", "doc_id")
+    n_candidates, n_checks = _check_rows(rarest)
+    if n_checks > MAX_BROADCAST_CHECKS and n_candidates <= MAX_BROADCAST_CANDIDATES:
+        candidates = work.save(candidates, "candidates")
+        lists = lists.join(F.broadcast(candidates.select("doc_id").distinct()), "doc_id", "left_semi")
     checks = candidates.join(wanted, "query_id")
-    if _check_rows(rarest) <= MAX_BROADCAST_CHECKS:
+    if n_checks <= MAX_BROADCAST_CHECKS:
         checks = F.broadcast(checks)
     return (
         lists.join(checks, ["word", "doc_id"])
@@ -104,9 +112,10 @@ def _intersected(sets: DataFrame, tf: DataFrame, work: Workspace, df: DataFrame
     )
 
 
-def _check_rows(rarest: DataFrame) -> int:
-    """How many (query, document, word) checks there will be."""
-    return rarest.agg(F.coalesce(F.sum(F.col("df") * F.col("n_words")), F.lit(0))).first()[0]
+def _check_rows(rarest: DataFrame) -> tuple[int, int]:
+    """How many (query, document) candidates and (query, document, word) checks there will be."""
+    sums = (F.coalesce(F.sum(x), F.lit(0)) for x in (F.col("df"), F.col("df") * F.col("n_words")))
+    return tuple(rarest.agg(*sums).first())
 
 
 def removed_documents(

@@ -4,10 +4,12 @@ import random
 import re
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from linkseek.operators import blocks as O
 from linkseek.operators import index as I
+from linkseek.operators import search as S
 from linkseek.sources import files as L
 
 LINES = [(1, "A", "x y x"), (2, "B", "y 1 y"), (3, "A", "x z"), (4, "C", "12"), (5, "D", None), (6, "B", ""), (7, "E", "x")]
@@ -72,3 +74,18 @@ def test_positions_meet_by_line(spark):
     got = sorted((r.word, r.doc_id, r.seq, r.tf, r.positions) for r in lists.collect())
     assert got == [("x", 0, 1, 4, [0, 0, 4, 4]), ("x", 0, 3, 1, [0]), ("x", 2, 7, 1, [0]), ("x", 3, 7, 1, [0]),
                    ("y", 0, 1, 2, [2, 2]), ("y", 1, 2, 2, [0, 4]), ("z", 0, 3, 1, [2])]
+
+
+@pytest.mark.parametrize("most", [S.MAX_BROADCAST_CANDIDATES, 2, 0])
+def test_only_rows_of_candidates_move(spark, work, monkeypatch, most):
+    """Too many checks to broadcast: of the words' lists, only the candidates' rows are exchanged."""
+    monkeypatch.setattr(S, "MAX_BROADCAST_CHECKS", 0)
+    monkeypatch.setattr(S, "MAX_BROADCAST_CANDIDATES", most)
+    rows = [("often", i, 2 + i % 3) for i in range(40)] + [("rare", i, i) for i in (3, 7, 50)] + [("other", 7, 1)]
+    tf = work.save(spark.createDataFrame(rows, "word string, doc_id long, tf long"), "tf")
+    asked = [(1, ["rare", "often"]), (2, ["often", "none"]), (3, ["other", "rare", "often", "rare"]), (4, ["rare"])]
+    queries = spark.createDataFrame(asked, "query_id long, words array<string>")
+    sets, _ = S.word_sets(queries, work)
+    assert bool(re.search(r"BroadcastHashJoin \[doc_id#\d+L\], .*LeftSemi", plan(S._intersected(sets, tf, work, None)))) == (most > 2)
+    got = sorted(tuple(r) for r in S.intersect_postings(queries, tf, work).collect())
+    assert got == [(1, 3, 2), (1, 7, 3), (3, 7, 1), (4, 3, 3), (4, 7, 7), (4, 50, 50)]
