@@ -21,15 +21,25 @@ def posting_blocks(tf: DataFrame, block: int = BLOCK) -> DataFrame:
 
     `n` of them from id `low` to `high`, the largest frequency, a bitmap of their places in the
     block, and entries in id order. A block holds at most `block` (BLOCK at most) entries, however
-    frequent the word. Readers that choose blocks leave the last two columns in the files.
+    frequent the word. Readers that choose blocks leave the last two columns in the files. Rows that
+    lie by their `block` already (`term_frequencies`, of as many ids) aren't moved.
     """
-    rows = tf.groupBy("word", F.floor(F.col("doc_id") / block).alias("block")).agg(
+    if "block" not in tf.columns:
+        tf = tf.withColumn("block", F.floor(F.col("doc_id") / block))
+    place = F.pmod("doc_id", F.lit(block))
+    aggregated = [
         F.count("*").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"),
         F.max("tf").alias("max_tf"), F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"),
-    )
-    places = F.transform("postings", lambda p: F.pmod(p["doc_id"], F.lit(block)))
-    rows = rows.withColumn("places", places).withColumn("ends", _chunk_ends("places"))
-    return rows.select("word", "block", "n", "low", "high", "max_tf", _bitmap("places", "ends").alias("bits"), "postings")
+    ]
+    if block <= 64:
+        rows = tf.groupBy("word", "block").agg(*aggregated, F.bit_or(_bit(place)).alias("own"))
+        bits = F.unhex(_hex("own"))
+    else:
+        rows = tf.groupBy("word", "block").agg(*aggregated)
+        places = F.transform("postings", lambda p: F.pmod(p["doc_id"], F.lit(block)))
+        rows = rows.withColumn("places", places).withColumn("ends", _chunk_ends("places"))
+        bits = _bitmap("places", "ends")
+    return rows.select("word", "block", "n", "low", "high", "max_tf", bits.alias("bits"), "postings")
 
 
 def _chunk(place: Column) -> Column:
@@ -44,26 +54,30 @@ def _chunk_ends(places: str) -> Column:
     )
 
 
+def _bit(place: Column) -> Column:
+    """The place's bit of its 64: their highest byte comes first, and its lowest bit."""
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), (56 - place % 64 + 2 * (place % 8)).cast("int"))
+
+
+def _hex(bits: Column | str) -> Column:
+    return F.lpad(F.hex(bits), 16, "0")
+
+
 def _bitmap(places: str, ends: str) -> Column:
     """A bit for each of the sorted places, as Spark's bitmaps have them, up to the 64 that hold the last.
 
     It is put together in the row: an aggregated bitmap has the bytes of the largest block from the
     first place on, whatever a block's size.
     """
-    # The highest byte of the eight comes first, and its lowest bit.
-    bit = lambda place: F.call_function(
-        "shiftleft", F.lit(1).cast("bigint"), (56 - place % 64 + 2 * (place % 8)).cast("int")
-    )
-
     def piece(end: Column, i: Column) -> Column:
         begin = F.when(i > 0, F.get(ends, i - 1)).otherwise(F.lit(0))
         before = F.when(i > 0, _chunk(F.get(places, begin - 1))).otherwise(F.lit(-1))
         skipped = (_chunk(F.get(places, end - 1)) - before - 1).cast("int")
         own = F.aggregate(
             F.slice(places, begin + 1, end - begin), F.lit(0).cast("bigint"),
-            lambda bits, place: bits.bitwiseOR(bit(place)),
+            lambda bits, place: bits.bitwiseOR(_bit(place)),
         )
-        return F.concat(F.repeat(F.lit("0" * 16), skipped), F.lpad(F.hex(own), 16, "0"))
+        return F.concat(F.repeat(F.lit("0" * 16), skipped), _hex(own))
 
     return F.unhex(F.array_join(F.transform(ends, piece), ""))
 
@@ -90,7 +104,7 @@ def common_blocks(sets: DataFrame, blocks: DataFrame, work: Workspace) -> DataFr
              F.min("max_tf").alias("max_tf"), F.min("n").alias("hits"))
         .join(sizes, "query_id").where("found = n_words AND low <= high")
     )
-    met = work.save(met.select("query_id", "block", "n_words", "low", "high", "max_tf", "hits"), "met")
+    met = work.save(met.select("query_id", "block", "n_words", "low", "high", "max_tf", "hits"), "met", tidy=True)
     several = met.where("n_words > 1")
     laid = (
         _rows(blocks, several.join(wanted, "query_id").select("query_id", "word", "block"), "bits")
@@ -98,18 +112,32 @@ def common_blocks(sets: DataFrame, blocks: DataFrame, work: Workspace) -> DataFr
         .where("hits > 0")
     )
     return work.save(
-        met.where("n_words = 1").unionByName(several.drop("hits").join(laid, ["query_id", "block"])), "common"
+        met.where("n_words = 1").unionByName(several.drop("hits").join(laid, ["query_id", "block"])), "common", tidy=True
     )
 
 
 def _rows(blocks: DataFrame, chosen: DataFrame, column: str) -> DataFrame:
     """`chosen` (`word`, `block` and others) with one column of these blocks; few words and blocks
-    become literals that prune the files."""
-    read = S.word_lists(blocks, chosen)
-    few = literal_keys(chosen, "block")
+    become literals that prune the files.
+
+    `chosen` is broadcast if it is small enough, or else what tells its blocks or words, so that no other
+    rows are exchanged: Spark can't know how few there are.
+    """
+    read = blocks
+    words, few = literal_keys(chosen, "word"), literal_keys(chosen, "block")
+    if words is not None:
+        read = read.where(F.col("word").isin(words))
     if few is not None:
         read = read.where(F.col("block").isin(few))
-    return read.select("word", "block", column).join(chosen, ["word", "block"])
+    read = read.select("word", "block", column)
+    if chosen.count() <= S.MAX_BROADCAST_CHECKS:
+        return read.join(F.broadcast(chosen), ["word", "block"])
+    for key in (F.xxhash64("word", "block"), F.xxhash64("word")):
+        told = chosen.select(key.alias("told")).distinct()
+        if told.count() <= S.MAX_BROADCAST_CANDIDATES:
+            read = read.withColumn("told", key).join(F.broadcast(told), "told", "left_semi").drop("told")
+            break
+    return read.join(chosen, ["word", "block"])
 
 
 def matches_in(chosen: DataFrame, sets: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -164,9 +192,9 @@ def search_blocks(
     bounded = bounded_blocks(common_blocks(sets, blocks, work), block_ranks, n_docs, work)
     sizes = bounded.groupBy("query_id").agg(F.max("df").alias("df"))
     first = bounded.where(F.col("before") < k)
-    best = work.save(matches_in(first, sets, blocks), "first-matches")
+    best = work.save(matches_in(first, sets, blocks), "first-matches", tidy=True)
     more = further_blocks(bounded, best, ranks, sizes, n_docs, k)
-    matches = best.unionByName(matches_in(work.save(more, "further"), sets, blocks))
+    matches = best.unionByName(matches_in(work.save(more, "further", tidy=True), sets, blocks))
     results = S.top_results(S.score(matches, ranks, n_docs, work, sizes), n_docs, k)
     return results.withColumnRenamed("query_id", "_set").join(
         askers.withColumnRenamed("query_id", "_set"), "_set"

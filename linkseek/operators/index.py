@@ -13,6 +13,9 @@ POSTING_BLOCK = 65_536
 # Pieces of a text whose offsets are added up together.
 RUN_PIECES = 64
 
+# Documents whose words are put into posting blocks by one task.
+TASK_DOCUMENTS = 2_048
+
 # Fixed value: gaps between words.
 _GAP_OR_WORD = r"[a-zA-Z]+|[^a-zA-Z]+"
 
@@ -31,17 +34,23 @@ def _required_id() -> Column:
 
 
 def term_frequencies(
-    docs: DataFrame, ids: DataFrame, lower: bool = False, strict: bool = True
+    docs: DataFrame, ids: DataFrame, lower: bool = False, strict: bool = True, block: int | None = None
 ) -> DataFrame:
     """(`word`, `doc_id`, `tf`) of `docs(title, raw_text)`; repeated titles add up.
 
     Words are counted within the row, and a line's counts move as one row: no text moves, and nothing
     has to be gathered for the lines that alone have their title. Lines of repeated titles are counted
     by title and word together, so that neither a frequent word nor a title with very many lines piles up.
+
+    With `block`, also the `block` of that many ids. A block's rows lie in one partition, and partitions go on
+    in id order: a line's counts move there as one row again, so that posting blocks are put together
+    without moving words one by one. It is for blocks of fewer ids than TASK_DOCUMENTS, as a task takes whole ones.
     """
     text = F.col("raw_text")
     found = T.words(F.lower(text) if lower else text)
     counted = _counted(docs.where(F.rlike(text, F.lit(T.WORD))).select("title", found.alias("found")))
+    # One string moves in about half of the bytes of an array; words hold no spaces.
+    counted = counted.withColumn("words", F.array_join("words", " "))
     # Both kinds of lines meet the same table in the same way, so that Spark moves them once.
     lines = docs.groupBy("title").agg(F.count("*").alias("lines"))
     known = ids.select(F.col("title").alias("_known"), "doc_id")
@@ -49,15 +58,23 @@ def term_frequencies(
         F.col("title").alias("_title"), "lines", "doc_id"
     )
     met = counted.join(keyed, F.col("title").eqNullSafe(F.col("_title")))
-    pair = F.inline(F.arrays_zip("words", "tfs")).alias("word", "tf")
+    pair = F.inline(F.arrays_zip(F.split("words", " "), "tfs")).alias("word", "tf")
     alone = met.where("lines = 1")
     alone = alone.withColumn("doc_id", _required_id()) if strict else alone.where("doc_id IS NOT NULL")
     summed = (
         met.where("lines > 1").select("title", pair).groupBy("title", "word").agg(F.sum("tf").alias("tf"))
     )
-    return alone.select("doc_id", pair).select("word", "doc_id", "tf").unionByName(
-        with_doc_ids(summed, ids, strict).select("word", "doc_id", "tf")
+    summed = with_doc_ids(summed, ids, strict)
+    if block is None:
+        return alone.select("doc_id", pair).select("word", "doc_id", "tf").unionByName(
+            summed.select("word", "doc_id", "tf")
+        )
+    counts = alone.select("doc_id", "words", "tfs").unionByName(
+        summed.select("doc_id", F.col("word").alias("words"), F.array("tf").alias("tfs"))
     )
+    parts = -(-ids.count() // TASK_DOCUMENTS) or 1
+    counts = counts.withColumn("block", F.floor(F.col("doc_id") / block)).repartitionByRange(parts, "block")
+    return counts.select("doc_id", "block", pair).select("word", "doc_id", "tf", "block")
 
 
 def _ends(found: str, differ) -> Column:

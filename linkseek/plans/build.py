@@ -119,11 +119,17 @@ def build_stats(tables: SearchTables) -> DataFrame:
 
 
 def with_blocks(tables: SearchTables, work: Workspace, block: int = blocks_op.BLOCK) -> SearchTables:
-    """The same tables with posting blocks, in word order so that lookups skip files."""
+    """The same tables with posting blocks, in word order so that lookups skip files.
+
+    Blocks put together from rows that lie by `block` stay in the files of their ids, so that none moves: each
+    file is in word order, and lookups skip its pages of other words and files of other ids.
+    """
     rows = blocks_op.posting_blocks(tables.tf, block)
-    rows = rows.repartitionByRange("word", "block").sortWithinPartitions("word", "block")
+    if "block" not in tables.tf.columns:
+        rows = rows.repartitionByRange("word", "block")
+    rows = rows.sortWithinPartitions("word", "block")
     return replace(
-        tables, blocks=work.save(rows, "posting-blocks"),
+        tables, blocks=work.save(rows, "posting-blocks", tidy=True),
         block_ranks=work.save(blocks_op.rank_blocks(tables.ranks, block), "block-ranks"),
     )
 

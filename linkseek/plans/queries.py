@@ -429,10 +429,9 @@ def _block_search(
 def search_blocks(spark: SparkSession, folder: str) -> DataFrame:
     """As `search_batch`, from posting blocks of 64 document ids."""
     work = Workspace(spark)
-    ranks = work.save(_document_ranks(spark, folder, work), "ranks")
-    return _block_search(
-        _passage_queries(spark, folder), _document_tf(spark, folder), ranks, ranks.count(), work, 64
-    )
+    ranks = work.save(_document_ranks(spark, folder, work), "ranks", tidy=True)
+    tf = I.term_frequencies(_documents(spark, folder), ranks, block=64)
+    return _block_search(_passage_queries(spark, folder), tf, ranks, ranks.count(), work, 64)
 
 
 @registered

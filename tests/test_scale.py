@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from linkseek.operators import blocks as O
 from linkseek.operators import index as I
 from linkseek.operators import search as S
+from linkseek.plans.build import SearchTables, with_blocks
 from linkseek.sources import files as L
 
 LINES = [(1, "A", "x y x"), (2, "B", "y 1 y"), (3, "A", "x z"), (4, "C", "12"), (5, "D", None), (6, "B", ""), (7, "E", "x")]
@@ -89,3 +90,56 @@ def test_only_rows_of_candidates_move(spark, work, monkeypatch, most):
     assert bool(re.search(r"BroadcastHashJoin \[doc_id#\d+L\], .*LeftSemi", plan(S._intersected(sets, tf, work, None)))) == (most > 2)
     got = sorted(tuple(r) for r in S.intersect_postings(queries, tf, work).collect())
     assert got == [(1, 3, 2), (1, 7, 3), (3, 7, 1), (4, 3, 3), (4, 7, 7), (4, 50, 50)]
+
+
+@pytest.mark.parametrize("block", [1, 2, 64, 100])
+def test_blocks_arise_where_the_counts_arrive(spark, block):
+    """No word is exchanged for a block; lines of repeated titles and ids of one title are as they were."""
+    docs, ids = corpus(spark)
+    plain = I.term_frequencies(docs, ids)
+    tf = I.term_frequencies(docs, ids, block=block)
+    assert sorted(tuple(r) for r in tf.drop("block").collect()) == sorted(tuple(r) for r in plain.collect())
+    assert all(r.block == r.doc_id // block for r in tf.collect())
+    blocks = O.posting_blocks(tf, block)
+    assert not re.search(r"Exchange \w+\((word#\d+|block#\d+L?, word#\d+)", plan(blocks))
+    assert sorted(map(str, blocks.collect())) == sorted(map(str, O.posting_blocks(plain, block).collect()))
+
+
+@pytest.mark.parametrize("lines,kept", [(LINES, "A"), (LINES[:0], None)])
+def test_blocks_of_counts_that_lack_ids(spark, lines, kept):
+    docs = spark.createDataFrame(lines, "seq long, title string, raw_text string")
+    ids = spark.createDataFrame([("A", 0)], "title string, doc_id long")
+    got = I.term_frequencies(docs, ids, strict=False, block=4).collect()
+    assert sorted(map(tuple, got)) == ([("x", 0, 3, 0), ("y", 0, 1, 0), ("z", 0, 1, 0)] if kept else [])
+    if kept:
+        with pytest.raises(Exception, match="no id for title"):
+            I.term_frequencies(docs, ids, block=4).collect()
+
+
+def _block_tables(spark, work, block):
+    tf = [(w, d, 1 + d % 3) for w, step in (("a", 1), ("b", 2), ("c", 5), ("rare", 50)) for d in range(0, 200, step)]
+    ranks = spark.range(200).selectExpr("id AS doc_id", "format_string('T%03d', id) AS title", "1D / (id % 7 + 1) AS pr")
+    tf = work.save(spark.createDataFrame(tf, "word string, doc_id long, tf long"), "tf")
+    return with_blocks(SearchTables(ranks, tf, None, 200, None), work, block)
+
+
+@pytest.mark.parametrize("checks,told", [(S.MAX_BROADCAST_CHECKS, S.MAX_BROADCAST_CANDIDATES), (0, 10_000), (0, 4), (0, 0)])
+def test_only_chosen_blocks_move(spark, work, monkeypatch, checks, told):
+    """Whatever Spark takes for the size of what is chosen, the index isn't exchanged for a few of its blocks."""
+    monkeypatch.setattr(S, "MAX_BROADCAST_CHECKS", checks)
+    monkeypatch.setattr(S, "MAX_BROADCAST_CANDIDATES", told)
+    tables = _block_tables(spark, work, 8)
+    asked = [(1, ["a", "b"]), (2, ["c", "b", "a"]), (3, ["rare"]), (4, ["a", "none"]), (5, ["rare", "c"])]
+    queries = spark.createDataFrame(asked, "query_id long, words array<string>")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        chosen = work.save(tables.blocks.where("block < 5").select("word", "block"), "chosen")
+        rows = O._rows(tables.blocks, chosen, "postings")
+        assert ("BroadcastHashJoin" in plan(rows)) == bool(told)
+        assert rows.count() == chosen.count()
+        got = O.search_blocks(queries, tables.blocks, tables.ranks, tables.block_ranks, 200, work).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = S.search(queries, tables.tf, tables.ranks, 200, work).collect()
+    shown = lambda rows: sorted((r.query_id, r["rank"], r.title, round(r.score, 12), r.df, r.tf) for r in rows)
+    assert shown(got) == shown(want) and len(got) > 20
